@@ -68,7 +68,14 @@ class IncrementalModel:
         if mode not in MODES:
             raise ValueError(f"mode must be one of {MODES}")
         rows = self.rows(*inputs)
-        changed = self.changed(rows, target)
+        return self.incremental_from(rows, self.changed(rows, target), target=target, run=run, mode=mode,
+                                     on_duplicate=on_duplicate)
+
+    def incremental_from(self, rows: DataFrame, changed: DataFrame, target: DataFrame, run: RunInfo = RunInfo(),
+                         mode: str = "recompute", on_duplicate: str = "error") -> DataFrame:
+        """As ``incremental`` with the changed rows given (e.g. a stream's new files)."""
+        if mode not in MODES:
+            raise ValueError(f"mode must be one of {MODES}")
         if mode == "delta":
             per_key = on_duplicate == "combine"
             src = with_audit(self.aggregate(changed, per_key=per_key), run, first_load=False)
@@ -76,6 +83,14 @@ class IncrementalModel:
                                 on_duplicate=on_duplicate, combine=(lambda s: s) if per_key else None)
         return self._recompute(rows, changed, target, run)
 
+    def touched_partitions(self, *inputs: DataFrame, target: DataFrame) -> DataFrame:
+        """Distinct values of ``partition_col`` holding a key changed by this run."""
+        if self.partition_col is None:
+            raise ValueError(f"{self.name} is not partitioned")
+        rows = self.rows(*inputs)
+        expr = self.key_exprs()[self.partition_col]
+        return self.changed(rows, target).select(expr.alias(self.partition_col)).distinct()
+
     def _recompute(self, rows: DataFrame, changed: DataFrame, target: DataFrame, run: RunInfo) -> DataFrame:
         exprs = self.key_exprs()
         tmp = {k: f"_mk_{k}" for k in exprs}
