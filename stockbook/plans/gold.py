@@ -86,8 +86,11 @@ _SUM_TYPE = DecimalType(30, 4)
 def snapshot_marks(forecast: DataFrame) -> tuple[Column, Column]:
     """(current, last): the newest forecast snapshot and the month before.
 
-    Both are scalar subqueries over the forecast fact, evaluated once by
-    Spark; ``last`` is computed, not looked up, so it may hold no forecast.
+    Both are uncorrelated scalar subqueries over the forecast fact: Spark runs
+    the one-row aggregate once (identical subqueries are reused at run time)
+    and feeds the value into every filter that needs it, so no branch is
+    joined with anything. ``last`` is computed, not looked up, so it may hold
+    no forecast; an empty forecast makes both NULL and the book empty.
     """
     current = forecast.select(F.max("forecast_snapshot")).scalar()
     return current, F.add_months(current, -1)
@@ -102,36 +105,44 @@ def planning_versions(forecast: DataFrame) -> DataFrame:
     )))
 
 
-def _aligned(df: DataFrame, date_col: str, snapshot: Column, present: list[str]) -> DataFrame:
+def _aligned(df: DataFrame, date_col: str, present: list[str]) -> DataFrame:
     zero = F.lit(0.0).cast("double")
     return df.select(
         F.col("product_id"), F.col("country_id"), F.col(date_col).alias("financial_date"),
-        snapshot.alias("forecast_snapshot"),
+        F.col("_snap").alias("forecast_snapshot"), F.col("_version").alias("Version"),
         *[(F.col(m) if m in present else zero).alias(m) for m in MEASURES])
 
 
-def _as_of_versions(date_col: str, current: Column, last: Column) -> Column:
-    """Snapshots a month of actuals belongs to: every version it precedes.
+def _as_of_versions(d: Column, current: Column, last: Column) -> Column:
+    """(snapshot, label) of every version a month of actuals precedes.
 
-    A generator over at most two values instead of a join with the versions
-    relation: each fact row is read once and emitted zero, one or two times.
+    Rows reach here only when their month is before the current snapshot;
+    they also belong to the last version when they precede it. A generator
+    over two values: each fact row is read once and emitted once or twice,
+    never paired with anything else.
     """
-    d = F.col(date_col)
-    return F.explode(F.array(F.when(d < current, current), F.when(d < last, last)))
+    return F.inline(F.array(
+        F.struct(current.alias("_snap"), F.lit("Current").alias("_version")),
+        F.struct(F.when(d < last, last).alias("_snap"), F.lit("Last").alias("_version")),
+    ))
 
 
-def planning_aligned_union(sales: DataFrame, forecast: DataFrame, pos: DataFrame, wholesale: DataFrame) -> DataFrame:
+def planning_aligned_union(sales: DataFrame, forecast: DataFrame, pos: DataFrame, wholesale: DataFrame,
+                           with_version: bool = False) -> DataFrame:
     """Actuals before each snapshot plus forecasts from it on, on one column list.
 
     Forecast rows enter a version when their snapshot is that version and
     their month is not before it; sales, POS and wholesale rows enter every
     version whose snapshot lies after their month, relabelled with it.
+    Only the columns a branch really carries are read; the others are
+    constant zeros.
     """
     current, last = snapshot_marks(forecast)
-    fc = forecast.filter(
-        ((F.col("forecast_snapshot") == current) & (F.col("forecast_date") >= current))
-        | ((F.col("forecast_snapshot") == last) & (F.col("forecast_date") >= last)))
-    branches = [_aligned(fc, "forecast_date", F.col("forecast_snapshot"), MEASURES)]
+    snap, fdate = F.col("forecast_snapshot"), F.col("forecast_date")
+    fc = forecast.filter(((snap == current) & (fdate >= current)) | ((snap == last) & (fdate >= last)))
+    fc = fc.select("*", snap.alias("_snap"),
+                   F.when(snap == current, F.lit("Current")).otherwise(F.lit("Last")).alias("_version"))
+    branches = [_aligned(fc, "forecast_date", MEASURES)]
     for df, date_col, present in [
         (sales, "shipped_date", ["quantity", "amount"]),
         (pos, "transaction_date", ["pos_sell_out_quantity", "pos_open_quantity", "pos_end_quantity",
@@ -139,31 +150,35 @@ def planning_aligned_union(sales: DataFrame, forecast: DataFrame, pos: DataFrame
         (wholesale, "transaction_date", ["whrs_sell_in_quantity", "whrs_open_quantity", "whrs_end_quantity",
                                          "whrs_sell_in_amount", "whrs_open_amount", "whrs_end_amount"]),
     ]:
-        v = df.select("*", _as_of_versions(date_col, current, last).alias("_snap")).filter(F.col("_snap").isNotNull())
-        branches.append(_aligned(v, date_col, F.col("_snap"), present))
-    return reduce(DataFrame.unionByName, branches)
+        d = F.col(date_col)
+        keep = ["product_id", "country_id", date_col, *present]
+        v = (df.filter(d < current).select(*keep, _as_of_versions(d, current, last))
+             .filter(F.col("_snap").isNotNull()))
+        branches.append(_aligned(v, date_col, present))
+    out = reduce(DataFrame.unionByName, branches)
+    return out if with_version else out.drop("Version")
 
 
 def planning_book(sales: DataFrame, forecast: DataFrame, pos: DataFrame, wholesale: DataFrame) -> DataFrame:
     """Product x country x month x snapshot, in units (EA) and value (GTS).
 
     One aggregation over the union (partial sums per branch, one shuffle),
-    then one generator writes each group out as its EA and GTS rows.
+    then one generator writes each group out as its EA and GTS rows. The
+    version label travels with the rows (it is fixed by the snapshot), so no
+    second look at the snapshots is needed after the aggregation.
     """
-    current, _ = snapshot_marks(forecast)
-    unioned = planning_aligned_union(sales, forecast, pos, wholesale)
-    sums = unioned.groupBy(*BOOK_KEYS).agg(
+    unioned = planning_aligned_union(sales, forecast, pos, wholesale, with_version=True)
+    sums = unioned.groupBy(*BOOK_KEYS, "Version").agg(
         *[F.sum(F.col(m).cast(_SUM_TYPE)).cast("double").alias(m) for m in MEASURES])
     rows = F.inline(F.array(
         F.struct(F.lit("EA").alias("Measure"), *[F.col(m).alias(b) for m, b in zip(QTY_MEASURES, BOOK_COLUMNS)]),
         F.struct(F.lit("GTS").alias("Measure"), *[F.col(m).alias(b) for m, b in zip(AMT_MEASURES, BOOK_COLUMNS)]),
     ))
-    version = F.when(F.col("forecast_snapshot") == current, F.lit("Current")).otherwise(F.lit("Last"))
     return sums.select(
         F.col("product_id").alias("IdProduct"),
         F.col("country_id").alias("IDCountry"),
         F.col("financial_date").alias("Date"),
         "forecast_snapshot",
-        version.alias("Version"),
+        "Version",
         rows,
     ).select("IdProduct", "IDCountry", "Date", "forecast_snapshot", "Measure", "Version", *BOOK_COLUMNS)
