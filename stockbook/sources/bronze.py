@@ -7,7 +7,7 @@ folders, catalog tables or frames built in tests.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, fields, replace
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,22 +15,39 @@ from pyspark.sql import functions as F
 from stockbook.sources.schemas import BRONZE_SCHEMAS
 
 
-@dataclass(frozen=True)
 class Bronze:
-    customers: DataFrame
-    countries: DataFrame
-    products: DataFrame
-    orders: DataFrame
-    order_details: DataFrame
-    forecast_details: DataFrame
-    inventory_pos_history_details: DataFrame
-    inventory_wholesaler_history_details: DataFrame
+    """The eight bronze tables, each a DataFrame or a zero-argument factory.
+
+    Factories run on first access only, so a query that needs two tables
+    never builds (or lists files for) the other six.
+    """
+
+    TABLES = tuple(BRONZE_SCHEMAS)
+
+    def __init__(self, **tables: DataFrame | Callable[[], DataFrame]) -> None:
+        unknown = set(tables) - set(self.TABLES)
+        missing = set(self.TABLES) - set(tables)
+        if unknown or missing:
+            raise TypeError(f"bronze tables: unknown {sorted(unknown)}, missing {sorted(missing)}")
+        self._src = dict(tables)
+        self._done: dict[str, DataFrame] = {}
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name.startswith("_") or name not in self.TABLES:
+            raise AttributeError(name)
+        if name not in self._done:
+            src = self._src[name]
+            self._done[name] = src() if callable(src) else src
+        return self._done[name]
+
+    def source(self, name: str) -> DataFrame | Callable[[], DataFrame]:
+        return self._src[name]
 
     def with_tables(self, **frames: DataFrame) -> "Bronze":
-        return replace(self, **frames)
+        return Bronze(**{**self._src, **frames})
 
     def names(self) -> list[str]:
-        return [f.name for f in fields(self)]
+        return list(self.TABLES)
 
 
 def conform(df: DataFrame, table: str) -> DataFrame:
@@ -45,15 +62,16 @@ def conform(df: DataFrame, table: str) -> DataFrame:
 
 def read_bronze(spark: SparkSession, root: str, fmt: str = "parquet") -> Bronze:
     """Read ``{root}/{table}`` for every bronze table with an explicit schema."""
-    frames = {}
-    for table, schema in BRONZE_SCHEMAS.items():
-        frames[table] = spark.read.schema(schema).format(fmt).load(f"{root.rstrip('/')}/{table}")
-    return Bronze(**frames)
+    def reader(table: str) -> Callable[[], DataFrame]:
+        return lambda: spark.read.schema(BRONZE_SCHEMAS[table]).format(fmt).load(f"{root.rstrip('/')}/{table}")
+    return Bronze(**{t: reader(t) for t in BRONZE_SCHEMAS})
 
 
 def read_bronze_tables(spark: SparkSession, database: str) -> Bronze:
     """Read the bronze tables from a catalog database."""
-    return Bronze(**{t: conform(spark.read.table(f"{database}.{t}"), t) for t in BRONZE_SCHEMAS})
+    def reader(table: str) -> Callable[[], DataFrame]:
+        return lambda: conform(spark.read.table(f"{database}.{table}"), table)
+    return Bronze(**{t: reader(t) for t in BRONZE_SCHEMAS})
 
 
 def bronze_from_frames(**frames: DataFrame) -> Bronze:

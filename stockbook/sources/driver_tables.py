@@ -43,9 +43,23 @@ INCREMENTAL_CUTS = {
 DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 
 
+class _DriverTables(dict):
+    """Driver tables read on first use (each read lists files and a footer)."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str) -> None:
+        super().__init__()
+        self._spark, self._root = spark, sf_dir.rstrip("/")
+
+    def __missing__(self, name: str) -> DataFrame:
+        if name not in DRIVER_TABLES:
+            raise KeyError(name)
+        df = self._spark.read.parquet(f"{self._root}/{name}.parquet")
+        self[name] = df
+        return df
+
+
 def read_driver(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    root = sf_dir.rstrip("/")
-    return {t: spark.read.parquet(f"{root}/{t}.parquet") for t in DRIVER_TABLES}
+    return _DriverTables(spark, sf_dir)
 
 
 def _plus_days(d: Column, n: Column | int) -> Column:
@@ -217,26 +231,28 @@ def forecast(t: dict[str, DataFrame]) -> DataFrame:
 def bronze_from_driver(spark: SparkSession, sf_dir: str) -> Bronze:
     t = read_driver(spark, sf_dir)
     return Bronze(
-        customers=customers(t),
-        countries=countries(t),
-        products=products(t),
-        orders=orders(t),
-        order_details=order_details(t),
-        forecast_details=forecast(t),
-        inventory_pos_history_details=pos(t),
-        inventory_wholesaler_history_details=wholesale(t),
+        customers=lambda: customers(t),
+        countries=lambda: countries(t),
+        products=lambda: products(t),
+        orders=lambda: orders(t),
+        order_details=lambda: order_details(t),
+        forecast_details=lambda: forecast(t),
+        inventory_pos_history_details=lambda: pos(t),
+        inventory_wholesaler_history_details=lambda: wholesale(t),
     )
 
 
 def before_cut(bronze: Bronze, cuts: dict[str, str] | None = None) -> Bronze:
     """The bronze rows whose update clock lies before each table's cut."""
     cuts = cuts or INCREMENTAL_CUTS
-    frames = {}
-    for name in bronze.names():
-        df = getattr(bronze, name)
+
+    def cut_table(name: str):
         cut = cuts.get(name)
-        frames[name] = df if cut is None else df.filter(F.col("update_date") < F.lit(cut).cast("timestamp_ntz"))
-    return Bronze(**frames)
+        if cut is None:
+            return lambda: getattr(bronze, name)
+        return lambda: getattr(bronze, name).filter(F.col("update_date") < F.lit(cut).cast("timestamp_ntz"))
+
+    return Bronze(**{name: cut_table(name) for name in bronze.names()})
 
 
 def cut_date(table: str) -> _dt.date:
