@@ -22,6 +22,11 @@ _DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Only write the month partitions a merge touches.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Broadcast a join side only on its measured size: plan-time estimates
+    # after generators, joins and aggregations can be far too low, while AQE
+    # decides from the bytes a finished shuffle stage actually wrote.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
 }
 
 
