@@ -595,6 +595,16 @@ def _q_check_duplicate_customers() -> str:
                  "SELECT customer_id, count(*) AS cnt FROM d GROUP BY customer_id HAVING count(*) > 1")
 
 
+def _q_customer_column_tests() -> str:
+    parts = [f"SELECT 'not_null' AS test, '{c}' AS column, CAST(customer_id AS VARCHAR) AS key FROM d WHERE {c} IS NULL"
+             for c in ["customer_id", "country_id", "company_name", "last_update"]]
+    parts.append("SELECT 'unique' AS test, 'customer_id' AS column, CAST(customer_id AS VARCHAR) AS key FROM d "
+                 "WHERE customer_id IN (SELECT customer_id FROM d WHERE customer_id IS NOT NULL "
+                 "GROUP BY customer_id HAVING count(*) > 1)")
+    # update_ts is always stamped by the run, so its not_null test cannot fail
+    return _with(BRONZE + [("d", customer_rows_sql())], "\nUNION ALL\n".join(parts))
+
+
 def all_sql() -> dict[str, str]:
     out = {
         "dim_customers_full": _q_dim_customers_full(),
@@ -621,5 +631,6 @@ def all_sql() -> dict[str, str]:
         "check_duplicate_customers": _q_check_duplicate_customers(),
         "check_row_rule": _q_check_row_rule(),
         "orphan_keys": _q_orphan_keys(),
+        "customer_column_tests": _q_customer_column_tests(),
     })
     return out

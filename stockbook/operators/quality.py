@@ -61,3 +61,27 @@ def orphan_keys(df: DataFrame, key: str, reference: DataFrame, ref_key: str | No
     right = (normalized(ref_key) if normalize else F.col(ref_key)).alias("_ref_key")
     ref = reference.select(right)
     return df.join(ref, left == ref["_ref_key"], "left_anti")
+
+
+def column_tests(df: DataFrame, key: str, not_null: Sequence[str] = (), unique: Sequence[str] = ()) -> DataFrame:
+    """Generic column tests as one frame of failures: (test, column, ``key`` value).
+
+    ``not_null`` lists every row whose column is NULL; ``unique`` lists every
+    row whose (non-NULL) value occurs more than once. One pass per test, all
+    lazily unioned; an empty result means every test passes.
+    """
+    parts = []
+    for c in not_null:
+        parts.append(check_not_null(df, c).select(
+            F.lit("not_null").alias("test"), F.lit(c).alias("column"), F.col(key).cast("string").alias("key")))
+    for c in unique:
+        dup = check_unique(df, c).select(F.col(c).alias("_v"))
+        rows = df.join(dup, df[c] == dup["_v"], "left_semi")
+        parts.append(rows.select(
+            F.lit("unique").alias("test"), F.lit(c).alias("column"), F.col(key).cast("string").alias("key")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+# Column tests declared for the customer dimension.
+CUSTOMER_NOT_NULL = ("customer_id", "country_id", "company_name", "last_update", "update_ts")
+CUSTOMER_UNIQUE = ("customer_id",)

@@ -216,6 +216,13 @@ def check_row_rule_query(spark: SparkSession, sf_dir: str) -> DataFrame:
                                            quality.country_integrity_rule()))
 
 
+def customer_column_tests_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The customer dimension's declared column tests (not_null x5, unique)."""
+    b = _bronze(spark, sf_dir)
+    return quality.column_tests(dims.dim_customers(b.customers, b.countries, RUN), "customer_id",
+                                quality.CUSTOMER_NOT_NULL, quality.CUSTOMER_UNIQUE)
+
+
 def orphan_keys_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines whose product is missing from the product dimension."""
     b = _bronze(spark, sf_dir)
@@ -250,5 +257,6 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "check_duplicate_customers": check_duplicate_customers_query,
         "check_row_rule": check_row_rule_query,
         "orphan_keys": orphan_keys_query,
+        "customer_column_tests": customer_column_tests_query,
     })
     return q

@@ -35,6 +35,12 @@ def save_table(df: DataFrame, path: str, partition_by: str | None = None) -> Non
     w.parquet(path)
 
 
+def as_view(df: DataFrame, name: str) -> DataFrame:
+    """View sink: register ``df`` under ``name`` for SQL, nothing is written."""
+    df.createOrReplaceTempView(name)
+    return df
+
+
 def load_table(spark: SparkSession, path: str, like: DataFrame | None = None) -> DataFrame:
     """Read a stored table; ``like`` restores the column order and types."""
     df = spark.read.parquet(path)

@@ -268,3 +268,29 @@ def test_q20_no_forecast_rows_empty_book(spark):
     fc = FACT_FORECAST.full(frame(spark, "forecast_details", []), run=RUN)
     sales = FACT_SALES.full(_orders(spark, []), _lines(spark, []), _cust(spark), run=RUN)
     assert gold.planning_book(sales, fc, FACT_POS.full(pos, run=RUN), _empty_wh(spark)).count() == 0
+
+
+# ----------------------------------------------------------------- checks
+
+def test_column_tests_report_each_failure(spark):
+    from stockbook.operators.quality import CUSTOMER_NOT_NULL, CUSTOMER_UNIQUE, column_tests
+    cust = customers(spark, [(10, 1, "A", "a", "c", T("2024-01-01 00:00:00")),
+                             (10, 1, None, "a", "c", T("2024-01-01 00:00:00")),
+                             (30, 2, "C", "a", "c", None)])
+    dim = dims.dim_customers(cust, countries(spark), RUN)
+    got = _rows(column_tests(dim, "customer_id", CUSTOMER_NOT_NULL, CUSTOMER_UNIQUE), "test", "column", "key")
+    assert got == [("not_null", "company_name", "10"), ("not_null", "last_update", "30"),
+                   ("unique", "customer_id", "10"), ("unique", "customer_id", "10")]
+
+
+def test_orphan_names_compare_normalised(spark):
+    from stockbook.operators.quality import orphan_keys
+    objects = spark.createDataFrame([(" S_F_SALES ",), ("old_backup",), ("G_DIM_DATES",)], "name string")
+    managed = spark.createDataFrame([("s_f_sales",), ("g_dim_dates",)], "model string")
+    assert _rows(orphan_keys(objects, "name", managed, "model", normalize=True), "name") == [("old_backup",)]
+
+
+def test_view_sink_registers_sql_name(spark):
+    from stockbook.sources.tables import as_view
+    as_view(_cust(spark), "s_dim_customers_v")
+    assert spark.sql("SELECT count(*) FROM s_dim_customers_v").first()[0] == 2
