@@ -521,13 +521,14 @@ def _q_gold_regions() -> str:
 # ------------------------------------------------------------------ operators
 
 def _q_merge_upsert() -> str:
-    """Plain keyed merge of every customer row into the dimension built before the cut."""
+    """Plain keyed merge of the customers delivered since April 2000 into the dimension built before the cut."""
     cols = CUSTOMER_COLS + ["updated_by", "inserted_by"]
     update = ["company_name", "address", "city", "customer_update_date", "last_update", "updated_by"]
     ctes = BRONZE + [
         _cut("b_customers"),
         ("tgt", f"SELECT *, {_audit(True)} FROM ({customer_rows_sql('b_customers_cut', 'b_countries')}) x"),
-        ("src", f"SELECT *, {_audit(False)} FROM ({customer_rows_sql()}) x WHERE customer_id % 2 = 0"),
+        ("src", f"SELECT *, {_audit(False)} FROM ({customer_rows_sql()}) x "
+                f"WHERE customer_update_date >= {_ts('2000-04-01')}"),
         ("merged", merge_sql("tgt", "src", cols, ["customer_id"], update)),
     ]
     return _with(ctes, "SELECT * FROM merged")

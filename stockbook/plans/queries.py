@@ -140,10 +140,13 @@ def planning_book(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ------------------------------------------------------------ operators
 
 def merge_upsert_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Plain keyed merge: every second customer merged into the dimension built before the cut."""
+    """Plain keyed merge (no mark): customers delivered from April 2000 on,
+    merged into the dimension built from deliveries before July 2000, so rows
+    match, insert, and stay untouched."""
     b = _bronze(spark, sf_dir)
     target = dims.dim_customers(before_cut(b).customers, b.countries, RUN)
-    rows = dims.customer_rows(b.customers, b.countries).filter(F.col("customer_id") % 2 == 0)
+    since = F.lit("2000-04-01").cast("timestamp_ntz")
+    rows = dims.customer_rows(b.customers, b.countries).filter(F.col("customer_update_date") >= since)
     src = with_audit(rows, RUN, first_load=False)
     merged = merge_upsert(target, src, ["customer_id"],
                           ["company_name", "address", "city", "customer_update_date", "last_update",
