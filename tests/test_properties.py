@@ -88,3 +88,15 @@ def test_book_totals_equal_filtered_fact_totals(spark, bronze):
     exp += fc.filter((F.col("forecast_snapshot") == F.lit(cur)) & (F.col("forecast_date") >= F.lit(cur))).agg(
         F.sum("pos_sell_out_quantity")).first()[0]
     assert got == pytest.approx(exp)
+
+
+def test_book_from_stored_silver_equals_book_from_frames(spark, bronze):
+    from stockbook.plans import gold
+    d = tempfile.mkdtemp(prefix="lake-", dir="/tmp")
+    customers = dims.customer_rows(bronze.customers, bronze.countries)
+    frames = []
+    for name in ("sales", "forecast", "pos", "wholesale"):
+        load_model(spark, MODELS[name], *_inputs(name, bronze, customers), path=f"{d}/{name}", run=RUN)
+        frames.append(MODELS[name].full(*_inputs(name, bronze, customers), run=RUN))
+    stored = [load_table(spark, f"{d}/{n}") for n in ("sales", "forecast", "pos", "wholesale")]
+    assert _rows(gold.planning_book(*stored)) == _rows(gold.planning_book(*frames))
