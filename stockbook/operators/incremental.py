@@ -159,3 +159,20 @@ def merge_upsert(
     hit = target.select(*keys).join(src_keys, keys, "left_semi")
     inserted = src.join(hit.distinct(), keys, "left_anti").select(*cols)
     return updated.unionByName(inserted)
+
+
+def merge_into_table(source: DataFrame, table: str, keys: Sequence[str], update_cols: Sequence[str]) -> None:
+    """MERGE into a catalog table whose format supports row-level changes.
+
+    For Delta or Iceberg tables this hands the merge to the table format
+    (``DataFrame.mergeInto``): matched rows get ``update_cols`` from the
+    source, unmatched source rows are inserted whole. Plain parquet tables
+    reject row-level MERGE; use ``merge_upsert`` with ``sources.tables``.
+    """
+    src = source.alias("s")
+    t = table.split(".")[-1]
+    cond = reduce(lambda a, b: a & b, [F.col(f"s.{k}") == F.col(f"{t}.{k}") for k in keys])
+    (src.mergeInto(table, cond)
+     .whenMatched().update({c: F.col(f"s.{c}") for c in update_cols if c not in keys})
+     .whenNotMatched().insertAll()
+     .merge())
