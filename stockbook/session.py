@@ -20,6 +20,10 @@ _DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a skewed join partition even when the aggregation after it then
+    # needs its own shuffle: the sales versioning reuses the order_id
+    # partitioning of its join, and a hot order would otherwise stay in one task.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # Only write the month partitions a merge touches.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # Broadcast a join side only on its measured size: plan-time estimates
