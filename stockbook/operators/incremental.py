@@ -12,10 +12,12 @@ nothing is collected to the driver by our code and no join is planned.
 * target only: unchanged.
 
 It is laid out so that a small source never forces a shuffle of the large
-target: the target is streamed through a left join against the source, and
-the keys that matched are found by a semi join whose build side is again the
-source. Adaptive execution turns both into broadcast hash joins when the
-source proves small at run time and keeps sort-merge joins otherwise.
+target: the source is reduced to one row per key (with its row count), the
+target is streamed through a left join against it, and the keys that matched
+are found by a semi join whose build side is again the source. Adaptive
+execution turns both into broadcast hash joins when the source proves small
+at run time and keeps sort-merge joins otherwise. No step gathers all rows
+of a key in one task: duplicate detection is a partial aggregation.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_FALLBACK = "1900-01-01"
@@ -132,26 +134,28 @@ def merge_upsert(
 
     src = source.select(*cols)
 
-    # 1. every target row, updated where a source row matches
-    s = src.select(*[F.col(k).alias(f"_s_{k}") for k in keys],
-                   *[F.col(c).alias(f"_s_{c}") for c in update_cols if c not in keys],
-                   F.lit(True).alias("_matched"))
-    if on_duplicate == "error":
-        s = s.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(*[f"_s_{k}" for k in keys])))
+    # 1. every target row, updated where a source row matches. The source is
+    #    first reduced to one row per key (a partial aggregation, so a hot key
+    #    costs one row per map task) together with its row count; the update
+    #    values are only used where that count is 1.
+    upd = [c for c in update_cols if c not in keys]
+    s = src.groupBy(*keys).agg(
+        *[F.any_value(c).alias(f"_s_{c}") for c in upd],
+        F.count(F.lit(1)).alias("_n"))
+    s = s.select(*[F.col(k).alias(f"_s_{k}") for k in keys], *[f"_s_{c}" for c in upd], "_n")
     cond = reduce(lambda a, b: a & b, [target[k] == s[f"_s_{k}"] for k in keys])
     joined = target.join(s, cond, "left")
-    matched = F.col("_matched").isNotNull()
+    matched = F.col("_n").isNotNull()
     out = []
     for c in cols:
-        if c in update_cols and c not in keys:
+        if c in upd:
             out.append(F.when(matched, F.col(f"_s_{c}")).otherwise(F.col(c)).alias(c))
         else:
             out.append(F.col(c))
-    if on_duplicate == "error":
-        guard = F.when(matched & (F.col("_n") > 1),
-                       F.raise_error(F.lit("merge: a target row matches several source rows"))
-                       ).otherwise(F.lit(True))
-        joined = joined.filter(guard.cast("boolean"))
+    guard = F.when(matched & (F.col("_n") > 1),
+                   F.raise_error(F.lit("merge: a target row matches several source rows"))
+                   ).otherwise(F.lit(True))
+    joined = joined.filter(guard.cast("boolean"))
     updated = joined.select(*out)
 
     # 2. source rows whose key is in no target row
