@@ -62,24 +62,6 @@ def above_any_mark(df: DataFrame, pairs: Sequence[tuple[Column | str, Column]])
 
 # ---------------------------------------------------------------- keys
 
-def key_match(left: DataFrame, right: DataFrame, keys: Sequence[str], null_safe: bool) -> Column:
-    conds = [(left[k].eqNullSafe(right[k]) if null_safe else left[k] == right[k]) for k in keys]
-    return reduce(lambda a, b: a & b, conds)
-
-
-def changed_keys(changed_rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Distinct keys touched by the changed rows (partial aggregation first)."""
-    return changed_rows.select(*keys).distinct()
-
-
-def restrict_to_keys(df: DataFrame, keys_df: DataFrame, keys: Sequence[str], null_safe: bool = True) -> DataFrame:
-    """Rows of ``df`` whose key is among ``keys_df`` (left semi join)."""
-    k = keys_df.select(*[F.col(c).alias(f"_k_{c}") for c in keys])
-    cond = reduce(lambda a, b: a & b, [
-        (df[c].eqNullSafe(k[f"_k_{c}"]) if null_safe else df[c] == k[f"_k_{c}"]) for c in keys])
-    return df.join(k, cond, "left_semi")
-
-
 def drop_keys(df: DataFrame, keys_df: DataFrame, keys: Sequence[str], null_safe: bool = True) -> DataFrame:
     """Rows of ``df`` whose key is not among ``keys_df`` (left anti join)."""
     k = keys_df.select(*[F.col(c).alias(f"_k_{c}") for c in keys])

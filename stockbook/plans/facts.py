@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from stockbook.functions.dates import month_floor
 from stockbook.functions.exact import as_double, price, qty, round_money, weighted_price
 from stockbook.functions.nulls import strict_greatest
-from stockbook.operators.incremental import above_any_mark, above_mark, high_water_mark
+from stockbook.operators.incremental import above_mark, high_water_mark
 from stockbook.operators.versions import newest_version_totals
 from stockbook.plans.model import IncrementalModel
 
@@ -226,4 +226,4 @@ FACT_POS = FactPos()
 FACT_WHOLESALE = FactWholesale()
 
 __all__ = ["FACT_FORECAST", "FACT_POS", "FACT_SALES", "FACT_WHOLESALE", "FactForecast", "FactPos",
-           "FactSales", "FactWholesale", "above_any_mark"]
+           "FactSales", "FactWholesale"]

@@ -12,8 +12,6 @@ over a one- or two-element array: one scan, no self-union.
 
 from __future__ import annotations
 
-import datetime as _dt
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -254,6 +252,3 @@ def before_cut(bronze: Bronze, cuts: dict[str, str] | None = None) -> Bronze:
 
     return Bronze(**{name: cut_table(name) for name in bronze.names()})
 
-
-def cut_date(table: str) -> _dt.date:
-    return _dt.date.fromisoformat(INCREMENTAL_CUTS[table])

@@ -27,9 +27,19 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(conf).exists(p)
 
 
+def _balanced(df: DataFrame, partition_by: str) -> DataFrame:
+    """Group rows by output partition before writing (AQE ``REBALANCE``).
+
+    Without it every task writes a small file into every month it holds;
+    with it AQE cuts large months into several tasks and merges small ones,
+    so files come out near the advisory size.
+    """
+    return df.hint("rebalance", partition_by)
+
+
 def save_table(df: DataFrame, path: str, partition_by: str | None = None) -> None:
     """Full rebuild (first load, full refresh, gold tables)."""
-    w = df.write.mode("overwrite")
+    w = (_balanced(df, partition_by) if partition_by else df).write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(partition_by)
     w.parquet(path)
@@ -74,6 +84,6 @@ def load_model(spark: SparkSession, model: IncrementalModel, *inputs: DataFrame,
     changed = merged.join(probe, merged[part].eqNullSafe(probe["_p"]), "left_semi")
     ensure_checkpoint_dir(spark)
     staged = changed.checkpoint(eager=True)
-    (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (_balanced(staged, part).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(part).parquet(path))
     return "partitions"
