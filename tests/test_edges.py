@@ -294,3 +294,27 @@ def test_view_sink_registers_sql_name(spark):
     from stockbook.sources.tables import as_view
     as_view(_cust(spark), "s_dim_customers_v")
     assert spark.sql("SELECT count(*) FROM s_dim_customers_v").first()[0] == 2
+
+
+def test_q5_same_day_clock_is_reloaded_without_changing_the_result(spark):
+    orders = _orders(spark, [(1, 10, D("2024-01-01"), D("2024-01-31"), D("2024-01-05"), T("2024-01-02 00:00:00"))])
+    lines = _lines(spark, [(1, 5, 2.0, 3.0, 0.1, T("2024-01-04 10:30:00"))])
+    target = FACT_SALES.full(orders, lines, _cust(spark), run=RUN)
+    # the target keeps the clock as a DATE: the mark is midnight, so the 10:30 line passes again
+    changed = FACT_SALES.changed(FACT_SALES.rows(orders, lines, _cust(spark)), target)
+    assert changed.count() == 1
+    again = FACT_SALES.incremental(orders, lines, _cust(spark), target=target, run=RUN, mode="delta",
+                                   on_duplicate="combine")
+    cols = ["country_id", "product_id", "shipped_date", "quantity", "amount", "unit_price"]
+    assert _rows(again, *cols) == _rows(target, *cols)
+
+
+def test_q12_moved_customer_keeps_old_country_until_full_refresh(spark):
+    orders = _orders(spark, [(1, 10, D("2024-01-01"), D("2024-01-31"), D("2024-01-05"), T("2024-01-02 00:00:00"))])
+    lines = _lines(spark, [(1, 5, 2.0, 3.0, 0.1, T("2024-01-04 00:00:00"))])
+    target = FACT_SALES.full(orders, lines, _cust(spark), run=RUN)
+    moved = dims.customer_rows(customers(spark, [(10, 2, "Apteka A", "addr", "Berlin", T("2024-03-01 00:00:00"))]),
+                               countries(spark))
+    inc = FACT_SALES.incremental(orders, lines, moved, target=target, run=RUN, mode="delta", on_duplicate="combine")
+    assert _rows(inc, "country_id") == [(1,)]
+    assert _rows(FACT_SALES.full(orders, lines, moved, run=RUN), "country_id") == [(2,)]
