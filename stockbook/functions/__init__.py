@@ -3,7 +3,6 @@
 from stockbook.functions.audit import RunInfo, with_audit, AUDIT_COLUMNS
 from stockbook.functions.dates import month_floor, date_lit, ts_lit, day_sequence
 from stockbook.functions.exact import (
-    AMOUNT_TYPE,
     PRICE_TYPE,
     QTY_TYPE,
     as_double,
@@ -12,13 +11,11 @@ from stockbook.functions.exact import (
     qty_total,
     round_money,
     rounded_ratio,
-    sum_exact,
     weighted_price,
 )
 from stockbook.functions.nulls import strict_greatest
 
 __all__ = [
-    "AMOUNT_TYPE",
     "AUDIT_COLUMNS",
     "PRICE_TYPE",
     "QTY_TYPE",
@@ -33,7 +30,6 @@ __all__ = [
     "round_money",
     "rounded_ratio",
     "strict_greatest",
-    "sum_exact",
     "ts_lit",
     "weighted_price",
     "with_audit",

@@ -21,7 +21,6 @@ from pyspark.sql.types import DecimalType
 QTY_TYPE = DecimalType(18, 4)
 PRICE_TYPE = DecimalType(18, 4)
 # qty x price is decimal(37, 8); its sum is decimal(38, 8).
-AMOUNT_TYPE = DecimalType(38, 8)
 
 
 def _col(c: Column | str) -> Column:
@@ -36,11 +35,6 @@ def price(c: Column | str) -> Column:
     return _col(c).cast(PRICE_TYPE)
 
 
-def sum_exact(c: Column | str, scale: int = 4) -> Column:
-    """SUM over a decimal grid (use ``as_double`` on the result)."""
-    return F.sum(_col(c).cast(DecimalType(18 if scale <= 4 else 28, scale)))
-
-
 def qty_total(c: Column | str) -> Column:
     """Exact SUM(q); decimal(28, 4)."""
     return F.sum(qty(c))
