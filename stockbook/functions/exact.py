@@ -28,11 +28,11 @@ def _col(c: Column | str) -> Column:
 
 
 def qty(c: Column | str) -> Column:
-    return _col(c).cast(QTY_TYPE)
+    return _col(c).cast(QTY_TYPE.simpleString())
 
 
 def price(c: Column | str) -> Column:
-    return _col(c).cast(PRICE_TYPE)
+    return _col(c).cast(PRICE_TYPE.simpleString())
 
 
 def qty_total(c: Column | str) -> Column:
@@ -63,10 +63,10 @@ def rounded_ratio(num: Column | str, den: Column | str, digits: int = 2) -> Colu
     digits. The sign is restored afterwards, which gives half away from zero.
     """
     n, d = _col(num), _col(den)
-    a = F.abs(n).cast(DecimalType(33, 8))
-    q = F.abs(d).cast(DecimalType(26, 4))
-    scale = F.lit(2 * 10 ** digits).cast(DecimalType(digits + 2, 0))
-    two = F.lit(2).cast(DecimalType(1, 0))
+    a = F.abs(n).cast("decimal(33,8)")
+    q = F.abs(d).cast("decimal(26,4)")
+    scale = F.lit(2 * 10 ** digits).cast(f"decimal({digits + 2},0)")
+    two = F.lit(2).cast("decimal(1,0)")
     units = _integral_divide(a * scale + q, q * two)
     signed = (F.signum(n) * F.signum(d) * units.cast("double")) / F.lit(float(10 ** digits))
     # "+ 0.0" folds a negative zero into zero.

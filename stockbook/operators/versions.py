@@ -32,7 +32,6 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType
 
 
 def newest_row(df: DataFrame, key: Sequence[str], clock: str, tie_break: Sequence[str] = ()) -> DataFrame:
@@ -62,15 +61,15 @@ def clock_order(clocks: Sequence[str]) -> Column:
     if len(clocks) != 2:
         raise ValueError("at most two clocks are supported")
     epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    shift = F.lit(10 ** 17).cast(DecimalType(38, 0))
-    scale = F.lit(10 ** 18).cast(DecimalType(38, 0))
+    shift = F.lit(10 ** 17).cast("decimal(38,0)")
+    scale = F.lit(10 ** 18).cast("decimal(38,0)")
 
     def micros(c: str) -> Column:
-        return F.timestamp_diff("MICROSECOND", epoch, F.col(c).cast("timestamp_ntz")).cast(DecimalType(38, 0))
+        return F.timestamp_diff("MICROSECOND", epoch, F.col(c).cast("timestamp_ntz")).cast("decimal(38,0)")
 
     packed = (micros(clocks[0]) + shift) * scale + (micros(clocks[1]) + shift)
     all_set = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in clocks])
-    return F.when(all_set, packed.cast(DecimalType(38, 0)))
+    return F.when(all_set, packed.cast("decimal(38,0)"))
 
 
 def newest_version_totals(

@@ -41,6 +41,9 @@ def get_session(master: str | None = None, app_name: str = "stockbook",
     if master:
         builder = builder.master(master)
     builder = builder.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
+    # Static: the Python call-site capture behind DataFrame error contexts
+    # costs several JVM round trips per Column built on the driver.
+    builder = builder.config("spark.python.sql.dataFrameDebugging.enabled", "false")
     if shuffle_partitions is not None:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = builder.getOrCreate()

@@ -57,7 +57,7 @@ def conform(df: DataFrame, table: str) -> DataFrame:
     turning into NULL.
     """
     schema = BRONZE_SCHEMAS[table]
-    return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    return df.select([F.col(f.name).cast(f.dataType.simpleString()).alias(f.name) for f in schema.fields])
 
 
 def read_bronze(spark: SparkSession, root: str, fmt: str = "parquet") -> Bronze:

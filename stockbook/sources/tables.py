@@ -55,7 +55,7 @@ def load_table(spark: SparkSession, path: str, like: DataFrame | None = None) ->
     """Read a stored table; ``like`` restores the column order and types."""
     df = spark.read.parquet(path)
     if like is not None:
-        df = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in like.schema.fields])
+        df = df.select(*[F.col(f.name).cast(f.dataType.simpleString()).alias(f.name) for f in like.schema.fields])
     return df
 
 
