@@ -12,6 +12,7 @@ then written over the target's partitions.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,10 +22,12 @@ from stockbook.session import ensure_checkpoint_dir
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(conf).exists(p)
+    """True when ``path`` holds a readable parquet table (lists files, reads no rows)."""
+    try:
+        spark.read.parquet(path).schema
+    except AnalysisException:
+        return False
+    return True
 
 
 def _balanced(df: DataFrame, partition_by: str) -> DataFrame:
