@@ -7,11 +7,18 @@ Two flavours, as the models need them:
     A window with ``rn = 1`` lets Catalyst insert a ``WindowGroupLimit`` that
     drops losing rows before the shuffle's sort buffers fill up.
 
+``newest_version_rows``
+    All rows of the newest version are kept (ties count): the pattern
+    ``MAX(clock) OVER (PARTITION BY key)`` followed by ``clock = max_clock``.
+    Written as the maxima per key (a partially pre-aggregated hash
+    aggregation) and a left semi join of the rows on (key, clocks). A window
+    would send every row of a key to one task; here a hot key costs one
+    partial row per map task in the aggregation, and the join is either a
+    broadcast (when AQE measures the maxima as small) or a sort-merge join
+    whose skewed partitions AQE splits. Rows are shuffled at most once.
+
 ``newest_version_totals``
-    All rows of the newest version are kept (ties count), summed per key.
-    This is the pattern ``MAX(clock) OVER (PARTITION BY key)`` followed by
-    ``clock = max_clock`` and a grouped SUM. It is written as two aggregations
-    instead of a window, so it never needs one task to hold all rows of a key:
+    The same selection, already summed per key, as two hash aggregations:
 
       1. ``GROUP BY key, clocks``  -> one row per delivered version,
          with partial aggregation on the map side;
@@ -19,10 +26,10 @@ Two flavours, as the models need them:
          ``max_by``, the version whose clocks are lexicographically largest,
          again with partial aggregation and a hash-based aggregate.
 
-    A version survives only if it holds every clock's maximum at once, which is
-    what ``a = max_a AND b = max_b`` does with two independent maxima. A key
-    that holds a third of all rows still arrives at its reducer as one partial
-    row per map task.
+    It never joins the rows back, so it is the better form when the rows are
+    already partitioned by a prefix of the key (the sales lines come out of
+    their join on ``order_id``): both aggregations then run without any
+    shuffle and without sorting.
 """
 
 from __future__ import annotations
@@ -47,6 +54,19 @@ def newest_row(df: DataFrame, key: Sequence[str], clock: str, tie_break: Sequenc
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
 
 
+def newest_version_rows(df: DataFrame, key: Sequence[str], clocks: Sequence[str]) -> DataFrame:
+    """Rows of the newest version per ``key``: every clock at its maximum.
+
+    NULL keys group together (as in a window partition); a row with a NULL
+    clock never qualifies, but its other clocks still count in the maxima.
+    """
+    key, clocks = list(key), list(clocks)
+    maxima = df.groupBy(*key).agg(*[F.max(c).alias(f"_max_{c}") for c in clocks]).select(
+        *[F.col(k).alias(f"_key_{k}") for k in key], *[f"_max_{c}" for c in clocks])
+    cond = [df[k].eqNullSafe(maxima[f"_key_{k}"]) for k in key] + [df[c] == maxima[f"_max_{c}"] for c in clocks]
+    return df.join(maxima, reduce(lambda a, b: a & b, cond), "left_semi")
+
+
 def clock_order(clocks: Sequence[str]) -> Column:
     """A single ordering value for one or more clocks, NULL if any clock is NULL.
 

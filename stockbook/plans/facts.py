@@ -16,7 +16,7 @@ from stockbook.functions.dates import month_floor
 from stockbook.functions.exact import as_double, price, qty, round_money, weighted_price
 from stockbook.functions.nulls import strict_greatest
 from stockbook.operators.incremental import above_mark, high_water_mark
-from stockbook.operators.versions import newest_version_totals
+from stockbook.operators.versions import newest_version_rows, newest_version_totals
 from stockbook.plans.model import IncrementalModel
 
 
@@ -111,12 +111,13 @@ class FactForecast(IncrementalModel):
             *FORECAST_QTY, "unit_price")
 
     def aggregate(self, rows: DataFrame, per_key: bool = False) -> DataFrame:
-        sums = {f"q{i}": qty(c) for i, c in enumerate(FORECAST_QTY)}
-        sums.update({f"a{i}": qty(c) * price("unit_price") for i, c in enumerate(FORECAST_QTY)})
-        latest = newest_version_totals(rows, key=list(self.keys), clocks=["update_date"], sums=sums)
-        return latest.select(
-            "product_id", "country_id", "forecast_date", "forecast_snapshot",
-            F.col("update_date").alias("forecast_update_date"),
+        latest = newest_version_rows(rows, list(self.keys), ["update_date"])
+        g = latest.groupBy(*self.keys).agg(
+            F.max("update_date").alias("forecast_update_date"),
+            *[F.sum(qty(c)).alias(f"q{i}") for i, c in enumerate(FORECAST_QTY)],
+            *[F.sum(qty(c) * price("unit_price")).alias(f"a{i}") for i, c in enumerate(FORECAST_QTY)])
+        return g.select(
+            "product_id", "country_id", "forecast_date", "forecast_snapshot", "forecast_update_date",
             *[as_double(f"q{i}").alias(c) for i, c in enumerate(FORECAST_QTY)],
             *[round_money(f"a{i}").alias(c) for i, c in enumerate(FORECAST_AMT)],
             weighted_price("a0", "q0").alias("unit_price"))
@@ -150,13 +151,12 @@ class FactPos(IncrementalModel):
                 "transaction_date": month_floor("transaction_date")}
 
     def aggregate(self, rows: DataFrame, per_key: bool = False) -> DataFrame:
-        sums = {f"q{i}": qty(c) for i, c in enumerate(POS_QTY)}
-        sums.update({f"a{i}": qty(c) * price("unit_price") for i, c in enumerate(POS_QTY)})
         # newest version per product, country and DAY, then months
-        latest = newest_version_totals(rows, key=["product_id", "country_id", "transaction_date"],
-                                       clocks=["update_date"], sums=sums)
+        latest = newest_version_rows(rows, ["product_id", "country_id", "transaction_date"], ["update_date"])
         g = (latest.groupBy("product_id", "country_id", month_floor("transaction_date").alias("transaction_date"))
-             .agg(F.max("update_date").alias("pos_update_date"), *_sum_cols(list(sums))))
+             .agg(F.max("update_date").alias("pos_update_date"),
+                  *[F.sum(qty(c)).alias(f"q{i}") for i, c in enumerate(POS_QTY)],
+                  *[F.sum(qty(c) * price("unit_price")).alias(f"a{i}") for i, c in enumerate(POS_QTY)]))
         return g.select(
             "product_id", "country_id", "transaction_date",
             *[as_double(f"q{i}").alias(c) for i, c in enumerate(POS_QTY)],
@@ -197,18 +197,17 @@ class FactWholesale(IncrementalModel):
                 "transaction_date": month_floor("transaction_date")}
 
     def aggregate(self, rows: DataFrame, per_key: bool = False) -> DataFrame:
-        sums = {f"q{i}": qty(c) for i, c in enumerate(WH_QTY)}
-        sums.update({f"a{i}": qty(c) * price("unit_price") for i, c in enumerate(WH_QTY)})
         # newest version per product, country and DAY: the wholesaler is not in
         # the key, so only those delivered last for that day count
-        latest = newest_version_totals(rows, key=["product_id", "country_id", "transaction_date"],
-                                       clocks=["whrs_update_date"], sums=sums)
+        latest = newest_version_rows(rows, ["product_id", "country_id", "transaction_date"], ["whrs_update_date"])
         month = month_floor("transaction_date").alias("transaction_date")
+        sums = [*[F.sum(qty(c)).alias(f"q{i}") for i, c in enumerate(WH_QTY)],
+                *[F.sum(qty(c) * price("unit_price")).alias(f"a{i}") for i, c in enumerate(WH_QTY)]]
         if per_key:
             g = latest.groupBy("product_id", "country_id", month).agg(
-                F.max("whrs_update_date").alias("whrs_update_date"), *_sum_cols(list(sums)))
+                F.max("whrs_update_date").alias("whrs_update_date"), *sums)
         else:
-            g = latest.groupBy("product_id", "country_id", month, "whrs_update_date").agg(*_sum_cols(list(sums)))
+            g = latest.groupBy("product_id", "country_id", month, "whrs_update_date").agg(*sums)
         return g.select(
             "product_id", "country_id", "transaction_date",
             *[as_double(f"q{i}").alias(c) for i, c in enumerate(WH_QTY)],

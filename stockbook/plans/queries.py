@@ -20,7 +20,7 @@ from stockbook.functions.exact import as_double, money_total, qty, qty_total, ro
 from stockbook.functions.nulls import strict_greatest
 from stockbook.operators import quality
 from stockbook.operators.incremental import merge_upsert
-from stockbook.operators.versions import newest_version_totals
+from stockbook.operators.versions import newest_version_rows
 from stockbook.plans import dimensions as dims
 from stockbook.plans import gold
 from stockbook.plans.facts import FACT_FORECAST, FACT_POS, FACT_SALES, FACT_WHOLESALE
@@ -176,12 +176,11 @@ def weighted_price_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 def newest_version_ties_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """POS rows of the newest version per product, country and day (ties summed)."""
     rows = FACT_POS.rows(_bronze(spark, sf_dir).inventory_pos_history_details)
-    sums = {c: qty(c) for c in ["pos_sell_out_quantity", "pos_open_quantity", "pos_end_quantity"]}
-    sums["n_rows"] = F.lit(1).cast("long")
-    latest = newest_version_totals(rows, ["product_id", "country_id", "transaction_date"], ["update_date"], sums)
-    return latest.select("product_id", "country_id", "transaction_date", "update_date", "n_rows",
-                         *[as_double(c).alias(c) for c in ["pos_sell_out_quantity", "pos_open_quantity",
-                                                           "pos_end_quantity"]])
+    qcols = ["pos_sell_out_quantity", "pos_open_quantity", "pos_end_quantity"]
+    latest = newest_version_rows(rows, ["product_id", "country_id", "transaction_date"], ["update_date"])
+    return latest.groupBy("product_id", "country_id", "transaction_date").agg(
+        F.max("update_date").alias("update_date"), F.count(F.lit(1)).alias("n_rows"),
+        *[as_double(F.sum(qty(c))).alias(c) for c in qcols])
 
 
 def greatest_nullable_query(spark: SparkSession, sf_dir: str) -> DataFrame:
