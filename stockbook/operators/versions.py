@@ -1,35 +1,23 @@
 """Keep the newest delivered version of a key.
 
-Two flavours, as the models need them:
-
 ``newest_row``
     One row per key, the one with the latest clock (``ROW_NUMBER() ... = 1``).
-    A window with ``rn = 1`` lets Catalyst insert a ``WindowGroupLimit`` that
-    drops losing rows before the shuffle's sort buffers fill up.
+    A window with ``rn = 1`` lets Catalyst insert a partial
+    ``WindowGroupLimit`` before the shuffle, so only the top row per key and
+    map task is shuffled.
 
 ``newest_version_rows``
-    All rows of the newest version are kept (ties count): the pattern
-    ``MAX(clock) OVER (PARTITION BY key)`` followed by ``clock = max_clock``.
-    Written as the maxima per key (a partially pre-aggregated hash
-    aggregation) and a left semi join of the rows on (key, clocks). A window
-    would send every row of a key to one task; here a hot key costs one
-    partial row per map task in the aggregation, and the join is either a
-    broadcast (when AQE measures the maxima as small) or a sort-merge join
-    whose skewed partitions AQE splits. Rows are shuffled at most once.
-
-``newest_version_totals``
-    The same selection, already summed per key, as two hash aggregations:
-
-      1. ``GROUP BY key, clocks``  -> one row per delivered version,
-         with partial aggregation on the map side;
-      2. ``GROUP BY key``          -> the maximum of every clock and, with
-         ``max_by``, the version whose clocks are lexicographically largest,
-         again with partial aggregation and a hash-based aggregate.
-
-    It never joins the rows back, so it is the better form when the rows are
-    already partitioned by a prefix of the key (the sales lines come out of
-    their join on ``order_id``): both aggregations then run without any
-    shuffle and without sorting.
+    All rows of the newest version (ties kept): the pattern
+    ``MAX(clock) OVER (PARTITION BY key)`` then ``clock = max_clock``, with one
+    or several independent clocks. A window would send every row of a key to
+    one task. Here the maxima per key come from a hash aggregation with
+    map-side partial results (a hot key costs one partial row per map task),
+    and the rows are kept by a left semi join on (key, clocks) that builds a
+    hash table from the maxima (one row per key, however hot the key) and
+    streams the rows past it: no sort, and AQE splits a skewed partition of
+    the streamed side. When the rows are already partitioned by a prefix of
+    the key (sales lines leave their join on ``order_id``), neither step
+    shuffles.
 """
 
 from __future__ import annotations
@@ -37,7 +25,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -61,72 +49,8 @@ def newest_version_rows(df: DataFrame, key: Sequence[str], clocks: Sequence[str]
     clock never qualifies, but its other clocks still count in the maxima.
     """
     key, clocks = list(key), list(clocks)
-    maxima = df.groupBy(*key).agg(*[F.max(c).alias(f"_max_{c}") for c in clocks]).select(
-        *[F.col(k).alias(f"_key_{k}") for k in key], *[f"_max_{c}" for c in clocks])
+    maxima = (df.groupBy(*key).agg(*[F.max(c).alias(f"_max_{c}") for c in clocks])
+              .select(*[F.col(k).alias(f"_key_{k}") for k in key], *[f"_max_{c}" for c in clocks])
+              .hint("shuffle_hash"))
     cond = [df[k].eqNullSafe(maxima[f"_key_{k}"]) for k in key] + [df[c] == maxima[f"_max_{c}"] for c in clocks]
     return df.join(maxima, reduce(lambda a, b: a & b, cond), "left_semi")
-
-
-def clock_order(clocks: Sequence[str]) -> Column:
-    """A single ordering value for one or more clocks, NULL if any clock is NULL.
-
-    One clock orders by itself. Two zone-less timestamp clocks are packed into
-    one DECIMAL(38, 0) as ``(a + k) * 10^18 + (b + k)`` (microseconds since
-    1970, shifted positive by ``k``): its order is the lexicographic order of
-    ``(a, b)``, and a decimal keeps the aggregate hash-based where a struct
-    would force a sort-based one.
-    """
-    if len(clocks) == 1:
-        return F.col(clocks[0])
-    if len(clocks) != 2:
-        raise ValueError("at most two clocks are supported")
-    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    shift = F.lit(10 ** 17).cast("decimal(38,0)")
-    scale = F.lit(10 ** 18).cast("decimal(38,0)")
-
-    def micros(c: str) -> Column:
-        return F.timestamp_diff("MICROSECOND", epoch, F.col(c).cast("timestamp_ntz")).cast("decimal(38,0)")
-
-    packed = (micros(clocks[0]) + shift) * scale + (micros(clocks[1]) + shift)
-    all_set = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in clocks])
-    return F.when(all_set, packed.cast("decimal(38,0)"))
-
-
-def newest_version_totals(
-    df: DataFrame,
-    key: Sequence[str],
-    clocks: Sequence[str],
-    sums: dict[str, Column],
-) -> DataFrame:
-    """Per ``key``: the newest version's clocks and the sums of its rows.
-
-    ``sums`` maps an output name to a per-row expression (typically a decimal
-    quantity or ``qty * price``); each is summed over the rows of the newest
-    version. Rows with a NULL clock never count, but a clock that is set on a
-    row still raises that clock's maximum, exactly like the window form.
-    Keys whose maxima are not reached by any single version vanish.
-    """
-    key, clocks = list(key), list(clocks)
-    src = df.select(*key, *clocks, *[e.alias(n) for n, e in sums.items()])
-    if len(clocks) == 1:
-        # A NULL clock row cannot raise the maximum of anything: drop it at the scan.
-        src = src.filter(F.col(clocks[0]).isNotNull())
-
-    # 1. one row per delivered version (map-side partial sums)
-    versions = src.groupBy(*key, *clocks).agg(*[F.sum(n).alias(n) for n in sums])
-
-    # 2. the newest version per key: versions are unique per (key, clocks), so
-    #    max_by over one ordering value picks the same version for every column
-    order = clock_order(clocks).alias("_order")
-    ranked = versions.select("*", order)
-    aggs = [F.max_by(c, "_order").alias(f"_best_{c}") for c in clocks]
-    aggs += [F.max_by(n, "_order").alias(n) for n in sums]
-    if len(clocks) > 1:
-        aggs += [F.max(c).alias(f"_max_{c}") for c in clocks]
-    per_key = ranked.groupBy(*key).agg(*aggs)
-
-    keep = reduce(lambda a, b: a & b, [F.col(f"_best_{c}").isNotNull() for c in clocks])
-    if len(clocks) > 1:
-        keep = keep & reduce(lambda a, b: a & b, [F.col(f"_best_{c}") == F.col(f"_max_{c}") for c in clocks])
-    return per_key.filter(keep).select(
-        *key, *[F.col(f"_best_{c}").alias(c) for c in clocks], *list(sums))

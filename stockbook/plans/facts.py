@@ -16,14 +16,10 @@ from stockbook.functions.dates import month_floor
 from stockbook.functions.exact import as_double, price, qty, round_money, weighted_price
 from stockbook.functions.nulls import strict_greatest
 from stockbook.operators.incremental import above_mark, high_water_mark
-from stockbook.operators.versions import newest_version_rows, newest_version_totals
+from stockbook.operators.versions import newest_version_rows
 from stockbook.plans.model import IncrementalModel
 
 
-def _sum_cols(names: list[str]) -> list[Column]:
-    return [F.sum(n).alias(n) for n in names]
-
-
 # ============================================================ sales
 
 class FactSales(IncrementalModel):
@@ -56,16 +52,21 @@ class FactSales(IncrementalModel):
                         "discount", "order_details_update_date", "order_update_date"))
 
     def aggregate(self, rows: DataFrame, per_key: bool = False) -> DataFrame:
-        latest = newest_version_totals(
-            rows, key=["order_id", "product_id", "country_id", "shipped_date"], clocks=list(self.clocks),
-            sums={"q": qty("quantity"), "d": qty("discount"), "a": qty("quantity") * price("unit_price")})
+        # newest version per order LINE (order, product, country, ship month),
+        # each clock at its own maximum; then country x product x month
+        latest = newest_version_rows(rows, ["order_id", "product_id", "country_id", "shipped_date"],
+                                     list(self.clocks))
         if per_key:
             group = list(self.keys)
             clocks = [F.max(c).alias(c) for c in self.clocks]
         else:
             group = list(self.keys) + list(self.clocks)
             clocks = []
-        g = latest.groupBy(*group).agg(*clocks, *_sum_cols(["q", "d", "a"]))
+        g = latest.groupBy(*group).agg(
+            *clocks,
+            F.sum(qty("quantity")).alias("q"),
+            F.sum(qty("discount")).alias("d"),
+            F.sum(qty("quantity") * price("unit_price")).alias("a"))
         return g.select(
             "country_id", "product_id", "shipped_date",
             as_double("q").alias("quantity"),
