@@ -42,15 +42,21 @@ def newest_row(df: DataFrame, key: Sequence[str], clock: str, tie_break: Sequenc
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
 
 
-def newest_version_rows(df: DataFrame, key: Sequence[str], clocks: Sequence[str]) -> DataFrame:
+def newest_version_rows(df: DataFrame, key: Sequence[str], clocks: Sequence[str],
+                        never_null: Sequence[str] = ()) -> DataFrame:
     """Rows of the newest version per ``key``: every clock at its maximum.
 
     NULL keys group together (as in a window partition); a row with a NULL
     clock never qualifies, but its other clocks still count in the maxima.
+    Key columns listed in ``never_null`` (e.g. the key of an inner join just
+    before) are compared with plain ``=``; that keeps the join on the same
+    columns as the input's partitioning, so it can be reused without a shuffle.
     """
     key, clocks = list(key), list(clocks)
     maxima = (df.groupBy(*key).agg(*[F.max(c).alias(f"_max_{c}") for c in clocks])
               .select(*[F.col(k).alias(f"_key_{k}") for k in key], *[f"_max_{c}" for c in clocks])
               .hint("shuffle_hash"))
-    cond = [df[k].eqNullSafe(maxima[f"_key_{k}"]) for k in key] + [df[c] == maxima[f"_max_{c}"] for c in clocks]
+    cond = [(df[k] == maxima[f"_key_{k}"]) if k in never_null else df[k].eqNullSafe(maxima[f"_key_{k}"])
+            for k in key]
+    cond += [df[c] == maxima[f"_max_{c}"] for c in clocks]
     return df.join(maxima, reduce(lambda a, b: a & b, cond), "left_semi")

@@ -55,7 +55,7 @@ class FactSales(IncrementalModel):
         # newest version per order LINE (order, product, country, ship month),
         # each clock at its own maximum; then country x product x month
         latest = newest_version_rows(rows, ["order_id", "product_id", "country_id", "shipped_date"],
-                                     list(self.clocks))
+                                     list(self.clocks), never_null=["order_id"])
         if per_key:
             group = list(self.keys)
             clocks = [F.max(c).alias(c) for c in self.clocks]

@@ -24,6 +24,10 @@ _DEFAULTS = {
     # needs its own shuffle: the sales versioning reuses the order_id
     # partitioning of its join, and a hot order would otherwise stay in one task.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Let a join reuse its inputs' hash partitioning on a subset of the join
+    # keys (as aggregations already do): the sales versioning joins on
+    # (order_id, ...) right after the join on order_id.
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     # Only write the month partitions a merge touches.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # Broadcast a join side only on its measured size: plan-time estimates
