@@ -50,3 +50,15 @@ def test_high_water_mark_is_a_scalar_subquery(spark):
 def test_recompute_uses_semi_and_anti_joins(spark):
     plan = _plan(spark, "fact_pos_recompute")
     assert "LeftSemi" in plan and "LeftAnti" in plan
+
+
+def test_sales_versioning_reuses_the_order_partitioning(spark):
+    """Maxima and semi join sit directly on the join on order_id: no shuffle of their own."""
+    import re
+
+    lines = [re.sub(r"#\d+L?", "", line) for line in _plan(spark, "fact_sales_full").splitlines()]
+    i = next(n for n, line in enumerate(lines) if "ShuffledHashJoin [order_id" in line)
+    assert "LeftSemi" in lines[i]
+    # the rows side: a projection of the order_id join, no Exchange in between
+    assert "Exchange" not in lines[i + 1] and "Exchange" not in lines[i + 2]
+    assert "Join [order_id], [order_id], Inner" in lines[i + 2], lines[i + 2]
