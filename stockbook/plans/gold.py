@@ -105,12 +105,30 @@ def planning_versions(forecast: DataFrame) -> DataFrame:
     )))
 
 
-def _aligned(df: DataFrame, date_col: str, present: list[str]) -> DataFrame:
-    zero = F.lit(0.0).cast("double")
+_BRANCH_MEASURES = {
+    "forecast": MEASURES,
+    "sales": ["quantity", "amount"],
+    "pos": ["pos_sell_out_quantity", "pos_open_quantity", "pos_end_quantity",
+            "pos_sell_out_amount", "pos_open_amount", "pos_end_amount"],
+    "wholesale": ["whrs_sell_in_quantity", "whrs_open_quantity", "whrs_end_quantity",
+                  "whrs_sell_in_amount", "whrs_open_amount", "whrs_end_amount"],
+}
+
+
+def _aligned(df: DataFrame, date_col: str, branch: str, sparse: bool) -> DataFrame:
+    """One branch on the canonical column list.
+
+    Measures the branch does not carry are 0.0 (``sparse=False``, the
+    aligned union as written) or NULL plus a branch tag (``sparse=True``,
+    for the book's own aggregation, which then skips the fillers).
+    """
+    present = _BRANCH_MEASURES[branch]
+    filler = F.lit(None).cast("double") if sparse else F.lit(0.0).cast("double")
+    extra = [F.lit(branch).alias("_branch")] if sparse else []
     return df.select(
         F.col("product_id"), F.col("country_id"), F.col(date_col).alias("financial_date"),
         F.col("_snap").alias("forecast_snapshot"), F.col("_version").alias("Version"),
-        *[(F.col(m) if m in present else zero).alias(m) for m in MEASURES])
+        *[(F.col(m) if m in present else filler).alias(m) for m in MEASURES], *extra)
 
 
 def _as_of_versions(d: Column, current: Column, last: Column) -> Column:
@@ -128,7 +146,7 @@ def _as_of_versions(d: Column, current: Column, last: Column) -> Column:
 
 
 def planning_aligned_union(sales: DataFrame, forecast: DataFrame, pos: DataFrame, wholesale: DataFrame,
-                           with_version: bool = False) -> DataFrame:
+                           with_version: bool = False, sparse: bool = False) -> DataFrame:
     """Actuals before each snapshot plus forecasts from it on, on one column list.
 
     Forecast rows enter a version when their snapshot is that version and
@@ -142,19 +160,14 @@ def planning_aligned_union(sales: DataFrame, forecast: DataFrame, pos: DataFrame
     fc = forecast.filter(((snap == current) & (fdate >= current)) | ((snap == last) & (fdate >= last)))
     fc = fc.select("*", snap.alias("_snap"),
                    F.when(snap == current, F.lit("Current")).otherwise(F.lit("Last")).alias("_version"))
-    branches = [_aligned(fc, "forecast_date", MEASURES)]
-    for df, date_col, present in [
-        (sales, "shipped_date", ["quantity", "amount"]),
-        (pos, "transaction_date", ["pos_sell_out_quantity", "pos_open_quantity", "pos_end_quantity",
-                                   "pos_sell_out_amount", "pos_open_amount", "pos_end_amount"]),
-        (wholesale, "transaction_date", ["whrs_sell_in_quantity", "whrs_open_quantity", "whrs_end_quantity",
-                                         "whrs_sell_in_amount", "whrs_open_amount", "whrs_end_amount"]),
-    ]:
+    branches = [_aligned(fc, "forecast_date", "forecast", sparse)]
+    for df, date_col, branch in [(sales, "shipped_date", "sales"), (pos, "transaction_date", "pos"),
+                                 (wholesale, "transaction_date", "wholesale")]:
         d = F.col(date_col)
-        keep = ["product_id", "country_id", date_col, *present]
+        keep = ["product_id", "country_id", date_col, *_BRANCH_MEASURES[branch]]
         v = (df.filter(d < current).select(*keep, _as_of_versions(d, current, last))
              .filter(F.col("_snap").isNotNull()))
-        branches.append(_aligned(v, date_col, present))
+        branches.append(_aligned(v, date_col, branch, sparse))
     out = reduce(DataFrame.unionByName, branches)
     return out if with_version else out.drop("Version")
 
@@ -164,15 +177,30 @@ def planning_book(sales: DataFrame, forecast: DataFrame, pos: DataFrame, wholesa
 
     One aggregation over the union (partial sums per branch, one shuffle),
     then one generator writes each group out as its EA and GTS rows. The
-    version label travels with the rows (it is fixed by the snapshot), so no
-    second look at the snapshots is needed after the aggregation.
+    version label travels with the rows (it is fixed by the snapshot).
+
+    The union is built sparse: a branch leaves the measures it does not carry
+    NULL, so the exact decimal sums only touch real values (a sales row adds
+    2 of the 14 measures, not 14). A measure whose group holds no real value
+    is 0.0 when any other branch contributed a row to the group (its 0.0
+    fillers) and NULL otherwise, which is what summing the zero-filled union
+    gives.
     """
-    unioned = planning_aligned_union(sales, forecast, pos, wholesale, with_version=True)
+    unioned = planning_aligned_union(sales, forecast, pos, wholesale, with_version=True, sparse=True)
+    has = {b: F.max((F.col("_branch") == b).cast("int")).alias(f"_has_{b}") for b in _BRANCH_MEASURES}
     sums = unioned.groupBy(*BOOK_KEYS, "Version").agg(
-        *[F.sum(F.col(m).cast(_SUM_TYPE)).cast("double").alias(m) for m in MEASURES])
+        *[F.sum(F.col(m).cast(_SUM_TYPE)).cast("double").alias(m) for m in MEASURES], *has.values())
+
+    def total(m: str) -> Column:
+        fillers = [b for b, carried in _BRANCH_MEASURES.items() if m not in carried]
+        if not fillers:
+            return F.col(m)
+        filled = reduce(lambda a, b: a | b, [F.col(f"_has_{b}") == 1 for b in fillers])
+        return F.coalesce(F.col(m), F.when(filled, F.lit(0.0)))
+
     rows = F.inline(F.array(
-        F.struct(F.lit("EA").alias("Measure"), *[F.col(m).alias(b) for m, b in zip(QTY_MEASURES, BOOK_COLUMNS)]),
-        F.struct(F.lit("GTS").alias("Measure"), *[F.col(m).alias(b) for m, b in zip(AMT_MEASURES, BOOK_COLUMNS)]),
+        F.struct(F.lit("EA").alias("Measure"), *[total(m).alias(b) for m, b in zip(QTY_MEASURES, BOOK_COLUMNS)]),
+        F.struct(F.lit("GTS").alias("Measure"), *[total(m).alias(b) for m, b in zip(AMT_MEASURES, BOOK_COLUMNS)]),
     ))
     return sums.select(
         F.col("product_id").alias("IdProduct"),

@@ -318,3 +318,31 @@ def test_q12_moved_customer_keeps_old_country_until_full_refresh(spark):
     inc = FACT_SALES.incremental(orders, lines, moved, target=target, run=RUN, mode="delta", on_duplicate="combine")
     assert _rows(inc, "country_id") == [(1,)]
     assert _rows(FACT_SALES.full(orders, lines, moved, run=RUN), "country_id") == [(2,)]
+
+
+def test_book_null_measure_only_without_fillers(spark):
+    """A NULL quantity stays NULL unless another branch put a 0.0 filler in the group."""
+    from stockbook.plans.gold import MEASURES
+
+    fc_cols = ", ".join(f"{m} double" for m in MEASURES)
+    forecast = spark.createDataFrame(
+        [tuple([7, 1, D("2024-05-01"), D("2024-05-01")] + [1.0] * len(MEASURES))],
+        f"product_id long, country_id int, forecast_date date, forecast_snapshot date, {fc_cols}")
+    sales = spark.createDataFrame(
+        [(1, 1, D("2024-01-01"), None, 5.0), (2, 1, D("2024-01-01"), None, 6.0)],
+        "product_id long, country_id int, shipped_date date, quantity double, amount double")
+    pos_cols = ["pos_sell_out_quantity", "pos_open_quantity", "pos_end_quantity",
+                "pos_sell_out_amount", "pos_open_amount", "pos_end_amount"]
+    pos = spark.createDataFrame(
+        [(2, 1, D("2024-01-01"), 1.0, 1.0, 1.0, 1.0, 1.0, 1.0)],
+        "product_id long, country_id int, transaction_date date, " + ", ".join(f"{c} double" for c in pos_cols))
+    wh_cols = ["whrs_sell_in_quantity", "whrs_open_quantity", "whrs_end_quantity",
+               "whrs_sell_in_amount", "whrs_open_amount", "whrs_end_amount"]
+    wh = spark.createDataFrame([], "product_id long, country_id int, transaction_date date, "
+                               + ", ".join(f"{c} double" for c in wh_cols))
+    book = gold.planning_book(sales, forecast, pos, wh).filter(
+        (F.col("Measure") == "EA") & (F.col("Version") == "Current"))
+    got = _rows(book, "IdProduct", "Ex_Factory", "Sales_to_pharmacies", "Consumer_Off_Take")
+    # product 1: sales only -> quantity NULL, wholesale measures 0.0 (sales fillers)
+    # product 2: sales + POS -> the POS row's 0.0 filler makes the quantity 0.0
+    assert got == [(1, None, 0.0, 0.0), (2, 0.0, 0.0, 1.0), (7, 1.0, 1.0, 1.0)]
