@@ -64,13 +64,17 @@ def apply_defaults(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
+def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
     """Use the cluster's ``spark.checkpoint.dir``; set a scratch one only if unset.
 
     On a cluster this must be a shared, fault-tolerant folder (HDFS, object
-    store); the local fallback is for tests on one machine.
+    store); the local fallback is for tests on one machine. Under Spark
+    Connect the server owns the setting and nothing is changed here.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no driver-side context
+        return None
     current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if current:
         if not sc.getCheckpointDir():
