@@ -48,6 +48,8 @@ def get_session(master: str | None = None, app_name: str = "stockbook",
     # Static: the Python call-site capture behind DataFrame error contexts
     # costs several JVM round trips per Column built on the driver.
     builder = builder.config("spark.python.sql.dataFrameDebugging.enabled", "false")
+    # Remove a reliable checkpoint's files once its DataFrame is garbage collected.
+    builder = builder.config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     if shuffle_partitions is not None:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = builder.getOrCreate()
