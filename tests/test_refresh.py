@@ -53,3 +53,16 @@ def test_command_line_run_on_bronze_folders(spark):
                  "--user", "cli"]) == 0
     book = load_table(spark, f"{root}/lake/gold/g_f_planning_book")
     assert book.count() > 0
+
+
+def test_command_line_fails_when_a_data_test_finds_rows(spark):
+    from stockbook.plans.refresh import main
+
+    b = bronze_from_driver(spark, SF_SMALL)
+    root = tempfile.mkdtemp(prefix="cli-", dir="/tmp")
+    for name in b.names():
+        df = getattr(b, name)
+        if name == "customers":          # a customer delivered twice: duplicate-key test must fail
+            df = df.unionByName(df.limit(1))
+        df.write.parquet(f"{root}/bronze/{name}")
+    assert main(["--bronze", f"{root}/bronze", "--lake", f"{root}/lake", "--as-of", "2024-06-15"]) == 1
