@@ -2,7 +2,8 @@
 
 Every query shapes the driver tables into bronze (``sources.driver_tables``)
 and runs library code on all of it. Incremental queries build the target
-from the rows before each table's cut and then load everything into it.
+from the rows before each table's cut, materialize it (as a stored table
+would be), and then load everything into it.
 Audit timestamps are dropped from the outputs (they carry the run time);
 the audit users are pinned so outputs repeat.
 """
