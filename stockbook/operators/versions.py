@@ -25,7 +25,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -42,6 +42,25 @@ def newest_row(df: DataFrame, key: Sequence[str], clock: str, tie_break: Sequenc
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
 
 
+def _null_safe_parts(df: DataFrame, k: str) -> list[Column]:
+    """``k`` as (value with NULL replaced, is-NULL flag): equal pairs iff ``k <=> k'``.
+
+    Joining on these with plain ``=`` is what ``<=>`` does inside Spark; doing
+    it in the open lets the maxima be grouped by the very columns the join
+    uses, so the join reuses their partitioning instead of shuffling them again.
+    """
+    dtype = df.schema[k].dataType.simpleString()
+    if dtype == "string":
+        fill = F.lit("")
+    elif dtype == "boolean":
+        fill = F.lit(False)
+    elif dtype in ("date", "timestamp", "timestamp_ntz"):
+        fill = F.lit("1970-01-01").cast(dtype)
+    else:
+        fill = F.lit(0).cast(dtype)
+    return [F.coalesce(F.col(k), fill).alias(f"_v_{k}"), F.col(k).isNull().alias(f"_n_{k}")]
+
+
 def newest_version_rows(df: DataFrame, key: Sequence[str], clocks: Sequence[str],
                         never_null: Sequence[str] = ()) -> DataFrame:
     """Rows of the newest version per ``key``: every clock at its maximum.
@@ -49,14 +68,24 @@ def newest_version_rows(df: DataFrame, key: Sequence[str], clocks: Sequence[str]
     NULL keys group together (as in a window partition); a row with a NULL
     clock never qualifies, but its other clocks still count in the maxima.
     Key columns listed in ``never_null`` (e.g. the key of an inner join just
-    before) are compared with plain ``=``; that keeps the join on the same
-    columns as the input's partitioning, so it can be reused without a shuffle.
+    before) are used as they are; the others are compared NULL-safely. Either
+    way the maxima are grouped by exactly the join's columns, so the join
+    reuses their partitioning (and, for ``never_null`` keys, the input's).
     """
     key, clocks = list(key), list(clocks)
-    maxima = (df.groupBy(*key).agg(*[F.max(c).alias(f"_max_{c}") for c in clocks])
-              .select(*[F.col(k).alias(f"_key_{k}") for k in key], *[f"_max_{c}" for c in clocks])
+    parts: list[Column] = []
+    names: list[str] = []
+    for k in key:
+        if k in never_null:
+            parts.append(F.col(k).alias(f"_v_{k}"))
+            names.append(f"_v_{k}")
+        else:
+            parts.extend(_null_safe_parts(df, k))
+            names.extend([f"_v_{k}", f"_n_{k}"])
+    keyed = df.select("*", *parts)
+    maxima = (keyed.groupBy(*names).agg(*[F.max(c).alias(f"_max_{c}") for c in clocks])
+              .select(*[F.col(n).alias(f"_m{n}") for n in names], *[f"_max_{c}" for c in clocks])
               .hint("shuffle_hash"))
-    cond = [(df[k] == maxima[f"_key_{k}"]) if k in never_null else df[k].eqNullSafe(maxima[f"_key_{k}"])
-            for k in key]
-    cond += [df[c] == maxima[f"_max_{c}"] for c in clocks]
-    return df.join(maxima, reduce(lambda a, b: a & b, cond), "left_semi")
+    cond = [keyed[n] == maxima[f"_m{n}"] for n in names]
+    cond += [keyed[c] == maxima[f"_max_{c}"] for c in clocks]
+    return keyed.join(maxima, reduce(lambda a, b: a & b, cond), "left_semi").drop(*names)
