@@ -10,10 +10,11 @@ Documents with equal sets are one node. Nodes that share a band key meet in
 groups, blocked to a bounded size (a large group becomes block pairs, not one
 task). Inside a group no pair list is made: Prim's algorithm over sketch
 estimates gives a maximum spanning forest, at most members - 1 candidate links.
-These are confirmed on the full shingle sets. A second round looks only at
-groups that the confirmed links leave in several components and there takes
-every remaining pair the sketches do not rule out, so no link that would join
-two components is lost to the forest.
+These are confirmed on the full shingle sets. A second round looks only at groups
+that the confirmed links leave in several components: members that the sketches
+do not keep apart from all other components bring their full sets, and inside
+the group all intersections are counted at once. No pair leaves a task but the
+links found, so no link that would join two components is lost to the forest.
 
 A group's candidates need an estimate of ``threshold - slack`` and sizes whose
 ratio allows the threshold; bands and slack leave a link at exactly the
@@ -43,6 +44,7 @@ BANDS, ROWS = 32, 6
 SKETCH_BITS = 512
 SLACK = 0.18
 BLOCK = 2048
+BLOCK_SHINGLES = 1 << 20
 WORD = r"[^\x20\x09-\x0D]"
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
@@ -137,31 +139,32 @@ def text_hash(text: Column) -> Column:
 
 
 def profile(docs: DataFrame, shingle: int) -> DataFrame:
-    """One row a document: doc_id, th (hash of its text), n_shingles, node (null: empty set), keys, sketch."""
+    """One row a document: doc_id, th (hash of its text), n_shingles, node (null: empty set), keys (also as bytes), sketch."""
     a, b = _constants(BANDS * ROWS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for lo in range(0, whole.num_rows, 512):
                 batch = whole.slice(lo, 512)
-                n, node, keys, sketch = [], [], [], []
+                n, node, keys, packed, sketch = [], [], [], [], []
                 for t in batch.column(1):
                     s = shingle_set(t.as_py(), shingle)
                     n.append(len(s))
                     if not len(s):
-                        node.append(None), keys.append(None), sketch.append(None)
+                        node.append(None), keys.append(None), packed.append(None), sketch.append(None)
                         continue
                     node.append(node_of(s))
                     sig = signature(s, a, b)
                     keys.append(band_keys(sig))
+                    packed.append(keys[-1].tobytes())
                     sketch.append(odd_sketch(sig))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0), batch.column(2), pa.array(n, pa.int64()), pa.array(node, pa.int64()),
-                     pa.array(keys, pa.list_(pa.int64())), pa.array(sketch, pa.binary())],
-                    names=["doc_id", "th", "n_shingles", "node", "keys", "sketch"])
+                     pa.array(keys, pa.list_(pa.int64())), pa.array(packed, pa.binary()), pa.array(sketch, pa.binary())],
+                    names=["doc_id", "th", "n_shingles", "node", "keys", "packed", "sketch"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", text_hash(F.col("text")).alias("th")).mapInArrow(
-        run, "doc_id long, th long, n_shingles long, node long, keys array<long>, sketch binary")
+        run, "doc_id long, th long, n_shingles long, node long, keys array<long>, packed binary, sketch binary")
 
 
 def _blocked(members: DataFrame, sizes: DataFrame, block: int) -> DataFrame:
@@ -173,38 +176,120 @@ def _blocked(members: DataFrame, sizes: DataFrame, block: int) -> DataFrame:
     return joined.select("key", "node", F.explode(pairs).alias("part"))
 
 
-def _candidates(groups: DataFrame, nodes: DataFrame, threshold: float, forest: bool) -> DataFrame:
-    """Distinct candidate pairs (a < b) of the groups' members.
+def _runs_of(groups: DataFrame, facts: DataFrame) -> DataFrame:
+    full = groups.join(facts, "node").repartition("key", "part")
+    return full.sortWithinPartitions("key", "part", "node")
 
-    ``forest``: a spanning forest a group; else every pair across components.
-    """
+
+def _forest_pairs(groups: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
+    """Distinct candidate pairs (a < b): a spanning forest of each group by estimate."""
     table, least = estimate_table(), threshold - SLACK
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a: list[int] = []
         b: list[int] = []
         for g in sorted_runs(batches, ["key", "part"], ("sketch",)):
-            node, size, sk = g["node"], g["n_shingles"], g["sketch"]
+            node = g["node"]
             if len(node) > 1:
-                if forest:
-                    for i, j in spanning_forest(sk, size, least, threshold, table):
-                        a.append(min(node[i], node[j])), b.append(max(node[i], node[j]))
-                else:
-                    comp = g["component"]
-                    for i in range(len(node) - 1):
-                        est = table[np.bitwise_count(sk[i + 1:] ^ sk[i]).sum(axis=1, dtype=np.int64)]
-                        lo, hi = np.minimum(size[i + 1:], size[i]), np.maximum(size[i + 1:], size[i])
-                        for j in np.flatnonzero((est >= least) & (comp[i + 1:] != comp[i]) & (lo >= threshold * hi)) + i + 1:
-                            a.append(min(node[i], node[j])), b.append(max(node[i], node[j]))
+                for i, j in spanning_forest(g["sketch"], g["n_shingles"], least, threshold, table):
+                    a.append(min(node[i], node[j])), b.append(max(node[i], node[j]))
             if len(a) > 50_000:
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+                yield _pairs(a, b)
                 a, b = [], []
-        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+        yield _pairs(a, b)
+
+    return _runs_of(groups, nodes).mapInArrow(run, "a long, b long").distinct()
+
+
+def _pairs(a: list[int], b: list[int]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+
+def _open_members(groups: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
+    """Members (key, part, node) whose sketch rules in some member of another component."""
+    table, least = estimate_table(), threshold - SLACK
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for g in sorted_runs(batches, ["key", "part"], ("sketch",)):
+            node, size, sk, comp = g["node"], g["n_shingles"], g["sketch"], g["component"]
+            hit = np.zeros(len(node), bool)
+            for i in range(len(node) - 1):
+                est = table[np.bitwise_count(sk[i + 1:] ^ sk[i]).sum(axis=1, dtype=np.int64)]
+                lo, hi = np.minimum(size[i + 1:], size[i]), np.maximum(size[i + 1:], size[i])
+                near = (est >= least) & (comp[i + 1:] != comp[i]) & (lo >= threshold * hi)
+                hit[i] |= near.any()
+                hit[i + 1:] |= near
+            if hit.any():
+                yield pa.RecordBatch.from_arrays([pa.array(g[c][hit]) for c in ("key", "part", "node")], names=["key", "part", "node"])
+
+    return _runs_of(groups, nodes).mapInArrow(run, "key long, part long, node long")
+
+
+def links_across(sets: list[np.ndarray], keys: np.ndarray, key: int, comp: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """A spanning forest of the links between components, by exact intersections of all sets at once.
+
+    A pair that shares an earlier band key than ``key`` is left to that band's group.
+    """
+    _, flat = np.unique(np.concatenate(sets), return_inverse=True)
+    sizes = np.array([len(x) for x in sets])
+    starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+    mark = np.zeros(int(flat.max()) + 1, bool)
+    band = int(np.flatnonzero(keys[0] == key)[0])
+    comp = comp.copy()
+    links = []
+    for i in range(len(sets) - 1):
+        own = flat[starts[i]:starts[i] + sizes[i]]
+        mark[own] = True
+        both = np.add.reduceat(mark[flat[starts[i + 1]:]], starts[i + 1:] - starts[i + 1], dtype=np.int64)
+        mark[own] = False
+        linked = (100 * both >= percent * (sizes[i + 1:] + sizes[i] - both)) & (comp[i + 1:] != comp[i])
+        if band:
+            linked &= ~(keys[i + 1:, :band] == keys[i, :band]).any(axis=1)
+        for j in (np.flatnonzero(linked) + i + 1).tolist():
+            if comp[j] != comp[i]:
+                links.append((i, j))
+                comp[comp == comp[j]] = comp[i]
+    return links
+
+
+def _links_between(members: DataFrame, facts: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between components among the groups' members; facts: node, n_shingles, component, set, keys."""
+    size = members.join(facts.select("node", "n_shingles"), "node").groupBy("key", "part").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("shingles"))
+    n = F.greatest(F.ceil(F.col("n") / BLOCK), F.ceil(F.col("shingles") / BLOCK_SHINGLES))
+    mine = F.pmod(F.xxhash64("node", F.lit(13)), n)
+    blocks = F.transform(F.sequence(F.lit(0).cast("long"), n - 1), lambda x: F.least(x, mine) * n + F.greatest(x, mine))
+    dealt = members.join(size, ["key", "part"]).select("key", "part", "node", F.explode(blocks).alias("block"))
+    full = dealt.join(facts, "node").select("key", "part", "block", "node", "component", "set", "keys")
+    full = full.repartition("key", "part", "block").sortWithinPartitions("key", "part", "block", "node")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for g in sorted_runs(batches, ["key", "part", "block"], ("keys",)):
+            node = g["node"]
+            if len(node) > 1:
+                sets = [np.frombuffer(x, np.uint64) for x in g["set"].tolist()]
+                links = links_across(sets, g["keys"].view(np.int64), int(g["key"][0]), g["component"], percent)
+                if links:
+                    yield _pairs([int(min(node[i], node[j])) for i, j in links], [int(max(node[i], node[j])) for i, j in links])
 
-    full = groups.join(nodes, "node").repartition("key", "part").sortWithinPartitions("key", "part", "node")
     return full.mapInArrow(run, "a long, b long").distinct()
 
 
+def _sets(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
+    """node, set (its shingles) of the wanted nodes; wanted: node, rep_id."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for lo in range(0, whole.num_rows, 512):
+                batch = whole.slice(lo, 512)
+                got = [(n, x) for n, t in zip(batch.column(0).to_pylist(), batch.column(1), strict=True)
+                       if node_of(x := shingle_set(t.as_py(), shingle)) == n]
+                yield pa.RecordBatch.from_arrays([pa.array([n for n, _ in got], pa.int64()), pa.array([x.tobytes() for _, x in got], pa.binary())],
+                                                 names=["node", "set"])
+
+    texts = docs.select(null_id().alias("rep_id"), "text").join(small(wanted), "rep_id").select("node", "text")
+    return texts.mapInArrow(run, "node long, set binary").dropDuplicates(["node"])
+
+
 def _confirmed(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
     """Pairs whose full sets have 100 * intersection >= percent * union."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -230,10 +315,10 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     some = prof.filter(F.col("node").isNotNull())
     nodes = stored(some.groupBy("node").agg(
         F.min(null_id()).alias("rep_id"), F.first("n_shingles").alias("n_shingles"),
-        F.first("keys").alias("keys"), F.first("sketch").alias("sketch")))
-    members = nodes.select(F.explode("keys").alias("key"), "node")
-    sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
-    groups = stored(_blocked(members, sizes, BLOCK))
+        F.first("keys").alias("keys"), F.first("packed").alias("packed"), F.first("sketch").alias("sketch")))
+    banded = nodes.select(F.explode("keys").alias("key"), "node")
+    sizes = banded.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+    groups = stored(_blocked(banded, sizes, BLOCK))
     facts = nodes.select("node", "n_shingles", "sketch")
 
     def confirm(pairs: DataFrame) -> DataFrame:
@@ -242,16 +327,19 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
         texts = docs.select(null_id().alias("rep_id"), "text").join(small(reps), "rep_id").select("node", "text")
         return stored(_confirmed(pairs, texts, shingle, percent))
 
-    first = stored(_candidates(groups, facts, threshold, forest=True))
+    first = stored(_forest_pairs(groups, facts, threshold))
     links = confirm(first)
     comp = connected_components(links)
     labelled = facts.join(comp, "node", "left").withColumn("component", F.coalesce("component", "node"))
     split = groups.join(labelled.select("node", "component"), "node").groupBy("key", "part").agg(
         F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("key", "part")
-    open_groups = groups.join(split, ["key", "part"])
-    second = stored(_candidates(open_groups, labelled, threshold, forest=False).join(first, ["a", "b"], "left_anti"))
-    if not second.isEmpty():
-        comp = connected_components(links.union(confirm(second)))
+    members = stored(_open_members(groups.join(split, ["key", "part"]), labelled, threshold))
+    if not members.isEmpty():
+        wanted = stored(members.select("node").distinct().join(nodes.select("node", "rep_id"), "node"))
+        sets = _sets(docs, wanted, shingle)
+        more = labelled.select("node", "n_shingles", "component").join(sets, "node").join(
+            nodes.select("node", F.col("packed").alias("keys")), "node")
+        comp = connected_components(links.union(_links_between(members, stored(more), percent)))
     label = prof.select("doc_id", "th", "n_shingles", "node").join(comp, "node", "left").withColumn(
         "component", F.coalesce("component", "node"))
     low = label.filter("node is not null").groupBy("component").agg(F.min("doc_id").alias("low"))
