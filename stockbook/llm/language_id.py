@@ -42,13 +42,16 @@ def vocabulary_path() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
-def words_of(text: str | None) -> list[str]:
-    out = []
-    for w in WORD.findall((text or "").lower()):
-        if w.isalpha() or any(map(str.isalpha, w)):
-            w = MARK + w
-            out += [w] if len(w) <= LONGEST else [w[i:i + LONGEST] for i in range(0, len(w), LONGEST)]
-    return out
+def raw_words(text: str | None) -> list[str]:
+    return WORD.findall((text or "").lower())
+
+
+def stretches(word: str) -> list[str]:
+    """What is scored of a run of word characters: none without a letter, else it with the mark, in stretches."""
+    if not (word.isalpha() or any(map(str.isalpha, word))):
+        return []
+    word = MARK + word
+    return [word] if len(word) <= LONGEST else [word[i:i + LONGEST] for i in range(0, len(word), LONGEST)]
 
 
 def _codes(words: list[str]) -> np.ndarray:
@@ -63,7 +66,14 @@ def _grow(h: np.ndarray, codes: np.ndarray) -> np.ndarray:
 
 
 class Pieces:
-    """The vocabulary's pieces by hash; id 0 is the unknown character."""
+    """The vocabulary's pieces by hash of each of their prefixes; id 0 is the unknown character.
+
+    ``nodes`` are the prefixes' hashes, ``piece`` the id of the piece a prefix
+    is (-1: none). A prefix is found by one of two tables of slots: the second
+    holds those whose slot in the first is taken.
+    """
+
+    SLOTS = 20
 
     def __init__(self, path: str) -> None:
         import sentencepiece
@@ -72,80 +82,115 @@ class Pieces:
         names = [sp.id_to_piece(i) for i in range(sp.get_piece_size())
                  if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i) or sp.is_unused(i))]
         names = sorted({p for p in names if len(p) <= 16 and p == p.lower() and p.strip(MARK).isalpha() or p == MARK})
-        hashes = np.empty(len(names), np.uint64)
-        for i, p in enumerate(names):
+        prefixes = sorted({p[:k] for p in names for k in range(1, len(p) + 1)})
+        number = {p: k + 1 for k, p in enumerate(names)}
+        hashes = np.empty(len(prefixes), np.uint64)
+        for i, p in enumerate(prefixes):
             h = np.zeros(1, np.uint64)
             for c in _codes([p])[0]:
                 h = _grow(h, c)
             hashes[i] = h[0]
-        order = np.argsort(hashes)
-        self.hashes, self.size, self.longest = hashes[order], len(names) + 1, max(map(len, names), default=1)
-
-    def ids(self, codes: np.ndarray) -> dict[tuple[int, int], np.ndarray]:
-        """For each stretch [i, j) that is a piece of some word: the ids, -1 where it is none."""
-        out = {}
+        self.size, self.longest = len(names) + 1, max(map(len, names), default=1)
+        self.nodes = np.concatenate([np.zeros(1, np.uint64), hashes])  # node 0: no prefix
+        self.piece = np.array([-1] + [number.get(p, -1) for p in prefixes], np.int64)
+        self.first, left = self._table(np.arange(1, len(self.nodes)), 0)
+        self.second, rest = self._table(left, self.SLOTS)
+        self.rest = rest[np.argsort(self.nodes[rest])]  # in neither table; looked up by search
+
+    def _slot(self, h: np.ndarray, shift: int) -> np.ndarray:
+        return ((h >> np.uint64(shift)) & np.uint64((1 << self.SLOTS) - 1)).astype(np.int64)
+
+    def _table(self, nodes: np.ndarray, shift: int) -> tuple[np.ndarray, np.ndarray]:
+        table = np.zeros(1 << self.SLOTS, np.int32)
+        slot = self._slot(self.nodes[nodes], shift)
+        _, one = np.unique(slot, return_index=True)
+        table[slot[one]] = nodes[one]
+        return table, np.delete(nodes, one)
+
+    def find(self, h: np.ndarray) -> np.ndarray:
+        """The nodes with hashes ``h``, 0 where there is none."""
+        node = self.first[self._slot(h, 0)]
+        miss = np.flatnonzero(self.nodes[node] != h)
+        if len(miss):
+            again = self.second[self._slot(h[miss], self.SLOTS)]
+            again[self.nodes[again] != h[miss]] = 0
+            if len(self.rest):
+                own = self.nodes[self.rest]
+                at = np.minimum(np.searchsorted(own, h[miss]), len(own) - 1)
+                again = np.where(own[at] == h[miss], self.rest[at], again)
+            node[miss] = again
+        return node
+
+    def steps(self, codes: np.ndarray) -> list[tuple[int, int, np.ndarray, np.ndarray]]:
+        """(i, j, rows, piece ids) for each stretch [i, j) that is a piece of some of the words, by i."""
+        out = []
         n = codes.shape[1]
         for i in range(n):
-            h = np.zeros(len(codes), np.uint64)
+            rows, h = np.arange(len(codes)), np.zeros(len(codes), np.uint64)
             for j in range(i + 1, min(n, i + self.longest) + 1):
-                h = _grow(h, codes[:, j - 1])
-                at = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
-                got = np.where(self.hashes[at] == h, at + 1, 0 if j == i + 1 else -1)
-                if (got >= 0).any():
-                    out[i, j] = got
+                h = _grow(h, codes[rows, j - 1])
+                node = self.find(h)
+                got = self.piece[node]
+                if j == i + 1:
+                    out.append((i, j, rows, np.maximum(got, 0)))
+                else:
+                    some = got > 0
+                    if some.any():
+                        out.append((i, j, rows[some], got[some]))
+                alive = node > 0
+                if not alive.all():
+                    rows, h = rows[alive], h[alive]
+                    if not len(rows):
+                        break
         return out
 
 
-def _forward(n: int, ids: dict, probs: np.ndarray, rows: int) -> tuple[list[np.ndarray], dict]:
-    """probs: (pieces + 1, k), the last row zeros, so that id -1 adds nothing."""
+def _by_length(words: list[str]) -> Iterator[tuple[int, list[int]]]:
+    by: dict[int, list[int]] = {}
+    for k, w in enumerate(words):
+        by.setdefault(len(w), []).append(k)
+    for n, at in by.items():
+        for lo in range(0, len(at), 8192):
+            yield n, at[lo:lo + 8192]
+
+
+def _forward(n: int, steps: list, probs: np.ndarray, rows: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
     alpha = [np.ones((rows, probs.shape[1]))] + [np.zeros((rows, probs.shape[1])) for _ in range(n)]
-    steps = {}
-    for (i, j), got in ids.items():  # by i ascending: alpha[i] is complete
-        steps[i, j] = step = probs[got] * LIFT ** (j - i)
-        alpha[j] += alpha[i] * step
-    return alpha, steps
+    used = []
+    for i, j, r, ids in steps:  # by i ascending: alpha[i] is complete
+        p = probs[ids] * LIFT ** (j - i)
+        used.append(p)
+        if len(r) == rows:
+            alpha[j] += alpha[i] * p
+        else:
+            alpha[j][r] += alpha[i][r] * p
+    return alpha, used
 
 
 def log_likelihoods(words: list[str], pieces: Pieces, probs: np.ndarray) -> np.ndarray:
     """(words, languages): log of the sum over all segmentations."""
-    out = np.empty((len(words), probs.shape[1] if probs.ndim > 1 else 1))
-    by: dict[int, list[int]] = {}
-    for k, w in enumerate(words):
-        by.setdefault(len(w), []).append(k)
-    for n, all_at in by.items():
-        for lo in range(0, len(all_at), 4096):
-            at = all_at[lo:lo + 4096]
-            alpha, _ = _forward(n, pieces.ids(_codes([words[k] for k in at])), probs, len(at))
-            out[at] = np.log(alpha[n]) - n * np.log(LIFT)
+    out = np.empty((len(words), probs.shape[1]))
+    for n, at in _by_length(words):
+        alpha, _ = _forward(n, pieces.steps(_codes([words[k] for k in at])), probs, len(at))
+        out[at] = np.log(alpha[n]) - n * np.log(LIFT)
     return out
 
 
 def expected_counts(words: list[str], counts: np.ndarray, pieces: Pieces, probs: np.ndarray) -> np.ndarray:
     """Expected uses of each piece over all segmentations of ``words`` (one language)."""
     total = np.zeros(pieces.size)
-    by: dict[int, list[int]] = {}
-    for k, w in enumerate(words):
-        by.setdefault(len(w), []).append(k)
-    for n, all_at in by.items():
-        for lo in range(0, len(all_at), 4096):
-            at = all_at[lo:lo + 4096]
-            ids = pieces.ids(_codes([words[k] for k in at]))
-            alpha, steps = _forward(n, ids, probs, len(at))
-            beta = [np.zeros((len(at), 1)) for _ in range(n)] + [np.ones((len(at), 1))]
-            for (i, j), step in reversed(steps.items()):
-                beta[i] += step * beta[j]
-            scale = counts[at][:, None] / alpha[n]
-            for (i, j), step in steps.items():
-                use = (alpha[i] * step * beta[j] * scale)[:, 0]
-                got = ids[i, j]
-                total += np.bincount(got[got >= 0], weights=use[got >= 0], minlength=pieces.size)
+    for n, at in _by_length(words):
+        steps = pieces.steps(_codes([words[k] for k in at]))
+        alpha, used = _forward(n, steps, probs, len(at))
+        beta = [np.zeros((len(at), 1)) for _ in range(n)] + [np.ones((len(at), 1))]
+        for (i, j, r, _), p in zip(reversed(steps), reversed(used), strict=True):
+            beta[i][r] += p * beta[j][r]
+        scale = counts[at][:, None] / alpha[n]
+        for (i, j, r, ids), p in zip(steps, used, strict=True):
+            total += np.bincount(ids, weights=(alpha[i][r] * p * beta[j][r] * scale[r])[:, 0], minlength=pieces.size)
     return total
 
 
-def _padded(probs: np.ndarray) -> np.ndarray:
-    return np.vstack([probs, np.zeros((1, probs.shape[1]))])
-
-
 class LanguageModel:
     def __init__(self, langs: list[str], pieces: Pieces, probs: np.ndarray, prior: np.ndarray) -> None:
         self.langs, self.pieces, self.probs, self.prior = langs, pieces, probs, prior
@@ -157,10 +202,14 @@ def train(docs: DataFrame, path: str | None = None, rounds: int = 2, smooth: flo
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            got: Counter = Counter()
+            raw: dict[str, Counter] = {}
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                for w, n in Counter(words_of(text.as_py())).items():
-                    got[lang, w] += n
+                raw.setdefault(lang, Counter()).update(raw_words(text.as_py()))
+            got: Counter = Counter()
+            for lang, counted in raw.items():
+                for w, n in counted.items():
+                    for x in stretches(w):
+                        got[lang, x] += n
             yield pa.RecordBatch.from_pydict({"lang": [k[0] for k in got], "word": [k[1] for k in got], "n": list(got.values())},
                                              schema=pa.schema([("lang", pa.string()), ("word", pa.string()), ("n", pa.int64())]))
 
@@ -170,7 +219,7 @@ def train(docs: DataFrame, path: str | None = None, rounds: int = 2, smooth: flo
     langs = sorted(totals)
     probs = np.full((pieces.size, len(langs)), 1 / pieces.size)
     for _ in range(rounds if langs else 0):
-        model = _padded(probs)
+        model = probs
         place = {lang: k for k, lang in enumerate(langs)}
 
         def expect(batches: Iterator[pa.RecordBatch], model=model) -> Iterator[pa.RecordBatch]:
@@ -197,35 +246,46 @@ def train(docs: DataFrame, path: str | None = None, rounds: int = 2, smooth: flo
 
 def predict(docs: DataFrame, model: LanguageModel) -> DataFrame:
     """doc_id, lang_pred, score, n_scored_words; a function of the text alone."""
-    langs, pieces, probs, prior = model.langs, model.pieces, _padded(model.probs), model.prior
+    langs, pieces, probs, prior = model.langs, model.pieces, model.probs, model.prior
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # run of word characters -> its row in `known`; row 0 is for those without a letter
         index: dict[str, int] = {}
-        known = np.zeros((0, len(langs)))
+        known = np.zeros((1, len(langs)))
         for whole in batches:
             for lo in range(0, whole.num_rows, 2048):
                 batch = whole.slice(lo, 2048)
-                rows = [words_of(t.as_py()) for t in batch.column(1)]
-                if len(index) > 300_000:  # the cache is bounded; what it holds is computed anew
-                    index, known = {}, known[:0]
-                new = list({w: None for r in rows for w in r if w not in index})
-                if new and langs:
-                    index.update(zip(new, range(len(index), len(index) + len(new)), strict=True))
-                    known = np.vstack([known, log_likelihoods(new, pieces, probs)])
-                pred, score = [], []
+                rows = [raw_words(t.as_py()) for t in batch.column(1)]
+                if len(index) > 400_000:  # the cache is bounded; what it held is computed anew
+                    index, known = {}, known[:1]
+                new = list(set().union(*rows).difference(index)) if langs else []
+                if new:
+                    parts = [stretches(w) for w in new]
+                    flat = list(dict.fromkeys(x for p in parts for x in p))
+                    ll = dict(zip(flat, log_likelihoods(flat, pieces, probs), strict=True))
+                    at = len(known)
+                    more = []
+                    for w, p in zip(new, parts, strict=True):
+                        index[w] = at + len(more) if p else 0
+                        if p:
+                            more.append(ll[p[0]] if len(p) == 1 else np.sum([ll[x] for x in p], axis=0))
+                    if more:
+                        known = np.vstack([known, more])
+                pred, score, scored = [], [], []
                 for r in rows:
-                    if not r or not langs:
+                    at = np.fromiter(map(index.__getitem__, r), np.int64, len(r)) if langs else np.zeros(0, np.int64)
+                    scored.append(int(np.count_nonzero(at)))
+                    if not scored[-1]:
                         pred.append("und")
                         score.append(0.0)
                         continue
-                    total = prior + known[np.fromiter(map(index.__getitem__, r), np.int64, len(r))].sum(axis=0)
+                    total = prior + known[at].sum(axis=0)
                     p = np.exp(total - total.max())
                     k = int(total.argmax())
                     pred.append(langs[k])
                     score.append(float(p[k] / p.sum()))
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(pred, pa.string()), pa.array(score, pa.float64()),
-                                                  pa.array([len(r) for r in rows], pa.int64())],
-                                                 names=["doc_id", "lang_pred", "score", "n_scored_words"])
+                                                  pa.array(scored, pa.int64())], names=["doc_id", "lang_pred", "score", "n_scored_words"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
         run, "doc_id long, lang_pred string, score double, n_scored_words long")
