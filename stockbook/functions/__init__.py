@@ -3,9 +3,9 @@
 from stockbook.functions.audit import RunInfo, with_audit, AUDIT_COLUMNS
 from stockbook.functions.dates import month_floor, date_lit, ts_lit, day_sequence
 from stockbook.functions.exact import (
-    PRICE_TYPE,
-    QTY_TYPE,
+    GRID,
     as_double,
+    money,
     money_total,
     qty,
     qty_total,
@@ -17,12 +17,12 @@ from stockbook.functions.nulls import strict_greatest
 
 __all__ = [
     "AUDIT_COLUMNS",
-    "PRICE_TYPE",
-    "QTY_TYPE",
+    "GRID",
     "RunInfo",
     "as_double",
     "date_lit",
     "day_sequence",
+    "money",
     "money_total",
     "month_floor",
     "qty",

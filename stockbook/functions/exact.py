@@ -3,8 +3,8 @@
 Quantities and prices arrive as DOUBLE. Summing doubles gives results that
 depend on the order of the rows, hence on partitioning, so two runs (or two
 engines) can disagree in the last bit and, after ``ROUND(.., 2)``, in the
-cent. Every sum here is taken over DECIMALs and cast to DOUBLE at the end:
-exact, order-free, and the same on 8 or 8,000 cores.
+cent. Every sum here is taken over DECIMALs of 12 decimals and cast to DOUBLE at
+the end: order-free, and the same on 8 or 8,000 cores.
 
 Ratios (volume-weighted prices) are rounded half away from zero with integer
 division, so no intermediate decimal rounding can move a value across a
@@ -17,32 +17,38 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-# Input grids: 4 decimals hold every quantity and price the sources carry.
-QTY_TYPE = DecimalType(18, 4)
-PRICE_TYPE = DecimalType(18, 4)
-# qty x price is decimal(37, 8); its sum is decimal(38, 8).
+# The grid of every sum: 12 decimals, 26 digits before the point. A product is
+# taken in DOUBLE, as a row's amount, and put on the grid once; the sums are
+# exact from there. Values beyond 10^26 raise an overflow error, none is cut.
+GRID = DecimalType(38, 12)
 
 
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def on_grid(c: Column | str) -> Column:
+    """The DOUBLE's shortest decimal form on the grid (12 decimals)."""
+    return _col(c).cast(GRID.simpleString())
+
+
 def qty(c: Column | str) -> Column:
-    return _col(c).cast(QTY_TYPE.simpleString())
+    return on_grid(_col(c).cast("double"))
 
 
-def price(c: Column | str) -> Column:
-    return _col(c).cast(PRICE_TYPE.simpleString())
+def money(q: Column | str, p: Column | str) -> Column:
+    """One row's quantity times price."""
+    return on_grid(_col(q).cast("double") * _col(p).cast("double"))
 
 
 def qty_total(c: Column | str) -> Column:
-    """Exact SUM(q); decimal(28, 4)."""
+    """SUM(q) on the grid, in any order the same."""
     return F.sum(qty(c))
 
 
 def money_total(q: Column | str, p: Column | str) -> Column:
-    """Exact SUM(q * p); decimal(38, 8)."""
-    return F.sum(qty(q) * price(p))
+    """SUM(q * p) on the grid, in any order the same."""
+    return F.sum(money(q, p))
 
 
 def as_double(c: Column | str) -> Column:
@@ -57,15 +63,16 @@ def round_money(c: Column | str, digits: int = 2) -> Column:
 def rounded_ratio(num: Column | str, den: Column | str, digits: int = 2) -> Column:
     """ROUND(num / NULLIF(den, 0), digits) computed exactly, as DOUBLE.
 
-    ``num`` has at most 8 decimals and ``den`` at most 4. With a = |num| and
-    q = |den|, ``round(a / q, d) * 10^d = floor((2 * 10^d * a + q) / (2 * q))``;
-    ``div`` on decimals truncates exactly, and both operands stay within 38
-    digits. The sign is restored afterwards, which gives half away from zero.
+    Both are sums on the grid. With a = |num| and q = |den|,
+    ``round(a / q, d) * 10^d = floor((2 * 10^d * a + q) / (2 * q))``; ``div`` on
+    decimals truncates exactly, and both operands stay within 38 digits for
+    sums under 10^21 (larger ones raise an error). The sign is restored
+    afterwards, which gives half away from zero.
     """
     n, d = _col(num), _col(den)
-    a = F.abs(n).cast("decimal(33,8)")
-    q = F.abs(d).cast("decimal(26,4)")
-    scale = F.lit(2 * 10 ** digits).cast(f"decimal({digits + 2},0)")
+    a = F.abs(n).cast("decimal(33,12)")
+    q = F.abs(d).cast("decimal(33,12)")
+    scale = F.lit(2 * 10 ** digits).cast(f"decimal({digits + 1},0)")
     two = F.lit(2).cast("decimal(1,0)")
     units = _integral_divide(a * scale + q, q * two)
     signed = (F.signum(n) * F.signum(d) * units.cast("double")) / F.lit(float(10 ** digits))

@@ -6,18 +6,16 @@
     ``WindowGroupLimit`` before the shuffle, so only the top row per key and
     map task is shuffled.
 
+``newest_version_sums``
+    Sums over all rows of the newest version (ties kept): the pattern
+    ``MAX(clock) OVER (PARTITION BY key)`` then ``clock = max_clock`` then
+    ``SUM``, with one or several independent clocks, as two aggregations over
+    one scan. A window would send every row of a key to one task.
+
 ``newest_version_rows``
-    All rows of the newest version (ties kept): the pattern
-    ``MAX(clock) OVER (PARTITION BY key)`` then ``clock = max_clock``, with one
-    or several independent clocks. A window would send every row of a key to
-    one task. Here the maxima per key come from a hash aggregation with
-    map-side partial results (a hot key costs one partial row per map task),
-    and the rows are kept by a left semi join on (key, clocks) that builds a
-    hash table from the maxima (one row per key, however hot the key) and
-    streams the rows past it: no sort, and AQE splits a skewed partition of
-    the streamed side. When the rows are already partitioned by a prefix of
-    the key (sales lines leave their join on ``order_id``), neither step
-    shuffles.
+    The rows themselves, for callers that need them: the maxima per key come
+    from an aggregation and the rows are kept by a left semi join, so the
+    input is read twice.
 """
 
 from __future__ import annotations
@@ -25,7 +23,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -42,6 +40,33 @@ def newest_row(df: DataFrame, key: Sequence[str], clock: str, tie_break: Sequenc
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
 
 
+def newest_version_sums(df: DataFrame, key: Sequence[str], clocks: Sequence[str], sums: dict[str, Column]) -> DataFrame:
+    """Sums over the rows of the newest version per ``key``: key, clocks, sums.
+
+    One pass over the input. Rows are first summed per key and clocks (a hot
+    key costs a row per clock value and map task), then the lexicographically
+    largest clocks of each key are picked and kept if every clock is at its
+    own maximum. NULL keys group together; rows with a NULL clock never
+    qualify, but their other clocks count in the maxima.
+    """
+    key, clocks, names = list(key), list(clocks), list(sums)
+    if len(clocks) > 2:
+        raise ValueError("one or two clocks")
+    parts = df.groupBy(*key, *clocks).agg(*[F.sum(c).alias(n) for n, c in sums.items()])
+    order = F.col(clocks[0]) if len(clocks) == 1 else (_order(clocks[0]) * F.lit(10**18).cast("decimal(19,0)") * 10).cast("decimal(38,0)") + _order(clocks[1])
+    # fixed-width buffers only, so the picks stay hash aggregations
+    best = parts.withColumn("_order", order).groupBy(*key).agg(
+        *[F.max(c).alias(f"_max_{c}") for c in clocks], *[F.max_by(c, "_order").alias(c) for c in [*clocks, *names]])
+    at_max = reduce(lambda a, b: a & b, [F.col(c) == F.col(f"_max_{c}") for c in clocks])
+    return best.filter(at_max).select(*key, *clocks, *names)
+
+
+def _order(clock: str) -> Column:
+    """A timestamp as a positive number of at most 19 digits, NULL as 0."""
+    micros = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col(clock).cast("timestamp_ntz"))
+    return F.coalesce(micros.cast("decimal(38,0)") + F.lit(10**18).cast("decimal(19,0)"), F.lit(0).cast("decimal(38,0)")).cast("decimal(19,0)")
+
+
 def newest_version_rows(df: DataFrame, key: Sequence[str], clocks: Sequence[str],
                         never_null: Sequence[str] = ()) -> DataFrame:
     """Rows of the newest version per ``key``: every clock at its maximum.
@@ -54,8 +79,7 @@ def newest_version_rows(df: DataFrame, key: Sequence[str], clocks: Sequence[str]
     """
     key, clocks = list(key), list(clocks)
     maxima = (df.groupBy(*key).agg(*[F.max(c).alias(f"_max_{c}") for c in clocks])
-              .select(*[F.col(k).alias(f"_key_{k}") for k in key], *[f"_max_{c}" for c in clocks])
-              .hint("shuffle_hash"))
+              .select(*[F.col(k).alias(f"_key_{k}") for k in key], *[f"_max_{c}" for c in clocks]))
     cond = [(df[k] == maxima[f"_key_{k}"]) if k in never_null else df[k].eqNullSafe(maxima[f"_key_{k}"])
             for k in key]
     cond += [df[c] == maxima[f"_max_{c}"] for c in clocks]

@@ -1,7 +1,7 @@
 """Silver facts: sales, forecast, pharmacy stock (POS), wholesaler stock.
 
-Every fact keeps the newest delivered version of its version key (see
-``operators.versions``), sums it exactly, and rolls it up to months.
+Every fact sums the newest delivered version of its version key in one pass
+(see ``operators.versions``) and rolls it up to months.
 Versioning grains differ on purpose, as in the source models:
 sales per order line, POS per day, wholesale per day (no customer in the
 key), forecast per month and snapshot month.
@@ -13,13 +13,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stockbook.functions.dates import month_floor
-from stockbook.functions.exact import as_double, price, qty, round_money, weighted_price
+from stockbook.functions.exact import as_double, money, qty, round_money, weighted_price
 from stockbook.functions.nulls import strict_greatest
 from stockbook.operators.incremental import above_mark, high_water_mark
-from stockbook.operators.versions import newest_version_rows
+from stockbook.operators.versions import newest_version_sums
 from stockbook.plans.model import IncrementalModel
 
 
+def _measures(quantities: list[str]) -> dict[str, Column]:
+    """q0, q1, ... the quantities and a0, a1, ... their amounts, on the grid."""
+    return ({f"q{i}": qty(c) for i, c in enumerate(quantities)}
+            | {f"a{i}": money(c, "unit_price") for i, c in enumerate(quantities)})
+
+
 # ============================================================ sales
 
 class FactSales(IncrementalModel):
@@ -54,8 +60,8 @@ class FactSales(IncrementalModel):
     def aggregate(self, rows: DataFrame, per_key: bool = False) -> DataFrame:
         # newest version per order LINE (order, product, country, ship month),
         # each clock at its own maximum; then country x product x month
-        latest = newest_version_rows(rows, ["order_id", "product_id", "country_id", "shipped_date"],
-                                     list(self.clocks), never_null=["order_id"])
+        latest = newest_version_sums(rows, ["order_id", "product_id", "country_id", "shipped_date"], self.clocks, {
+            "q": qty("quantity"), "d": qty("discount"), "a": money("quantity", "unit_price")})
         if per_key:
             group = list(self.keys)
             clocks = [F.max(c).alias(c) for c in self.clocks]
@@ -64,9 +70,7 @@ class FactSales(IncrementalModel):
             clocks = []
         g = latest.groupBy(*group).agg(
             *clocks,
-            F.sum(qty("quantity")).alias("q"),
-            F.sum(qty("discount")).alias("d"),
-            F.sum(qty("quantity") * price("unit_price")).alias("a"))
+            *[F.sum(c).alias(c) for c in ("q", "d", "a")])
         return g.select(
             "country_id", "product_id", "shipped_date",
             as_double("q").alias("quantity"),
@@ -112,11 +116,9 @@ class FactForecast(IncrementalModel):
             *FORECAST_QTY, "unit_price")
 
     def aggregate(self, rows: DataFrame, per_key: bool = False) -> DataFrame:
-        latest = newest_version_rows(rows, list(self.keys), ["update_date"])
-        g = latest.groupBy(*self.keys).agg(
-            F.max("update_date").alias("forecast_update_date"),
-            *[F.sum(qty(c)).alias(f"q{i}") for i, c in enumerate(FORECAST_QTY)],
-            *[F.sum(qty(c) * price("unit_price")).alias(f"a{i}") for i, c in enumerate(FORECAST_QTY)])
+        # the version key is the table's key: one row a key is left
+        g = newest_version_sums(rows, self.keys, ["update_date"], _measures(FORECAST_QTY)).withColumnRenamed(
+            "update_date", "forecast_update_date")
         return g.select(
             "product_id", "country_id", "forecast_date", "forecast_snapshot", "forecast_update_date",
             *[as_double(f"q{i}").alias(c) for i, c in enumerate(FORECAST_QTY)],
@@ -153,11 +155,10 @@ class FactPos(IncrementalModel):
 
     def aggregate(self, rows: DataFrame, per_key: bool = False) -> DataFrame:
         # newest version per product, country and DAY, then months
-        latest = newest_version_rows(rows, ["product_id", "country_id", "transaction_date"], ["update_date"])
+        latest = newest_version_sums(rows, ["product_id", "country_id", "transaction_date"], ["update_date"], _measures(POS_QTY))
         g = (latest.groupBy("product_id", "country_id", month_floor("transaction_date").alias("transaction_date"))
              .agg(F.max("update_date").alias("pos_update_date"),
-                  *[F.sum(qty(c)).alias(f"q{i}") for i, c in enumerate(POS_QTY)],
-                  *[F.sum(qty(c) * price("unit_price")).alias(f"a{i}") for i, c in enumerate(POS_QTY)]))
+                  *[F.sum(c).alias(c) for c in _measures(POS_QTY)]))
         return g.select(
             "product_id", "country_id", "transaction_date",
             *[as_double(f"q{i}").alias(c) for i, c in enumerate(POS_QTY)],
@@ -200,10 +201,9 @@ class FactWholesale(IncrementalModel):
     def aggregate(self, rows: DataFrame, per_key: bool = False) -> DataFrame:
         # newest version per product, country and DAY: the wholesaler is not in
         # the key, so only those delivered last for that day count
-        latest = newest_version_rows(rows, ["product_id", "country_id", "transaction_date"], ["whrs_update_date"])
+        latest = newest_version_sums(rows, ["product_id", "country_id", "transaction_date"], ["whrs_update_date"], _measures(WH_QTY))
         month = month_floor("transaction_date").alias("transaction_date")
-        sums = [*[F.sum(qty(c)).alias(f"q{i}") for i, c in enumerate(WH_QTY)],
-                *[F.sum(qty(c) * price("unit_price")).alias(f"a{i}") for i, c in enumerate(WH_QTY)]]
+        sums = [F.sum(c).alias(c) for c in _measures(WH_QTY)]
         if per_key:
             g = latest.groupBy("product_id", "country_id", month).agg(
                 F.max("whrs_update_date").alias("whrs_update_date"), *sums)

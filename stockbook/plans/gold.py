@@ -7,8 +7,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType
 
+from stockbook.functions.exact import on_grid
 from stockbook.functions.dates import day_sequence
 
 # Fixed values of the calendar.
@@ -80,7 +80,6 @@ BOOK_KEYS = ["product_id", "country_id", "financial_date", "forecast_snapshot"]
 ALIGNED_COLUMNS = BOOK_KEYS + MEASURES
 BOOK_COLUMNS = ["Ex_Factory", "Sales_to_pharmacies", "Open_Stock", "Close_Stock",
                 "Consumer_Off_Take", "Open_Stock_Pharmacies", "Close_Stock_Pharmacies"]
-_SUM_TYPE = DecimalType(30, 4)
 
 
 def snapshot_marks(forecast: DataFrame) -> tuple[Column, Column]:
@@ -189,7 +188,7 @@ def planning_book(sales: DataFrame, forecast: DataFrame, pos: DataFrame, wholesa
     unioned = planning_aligned_union(sales, forecast, pos, wholesale, with_version=True, sparse=True)
     has = {b: F.max((F.col("_branch") == b).cast("int")).alias(f"_has_{b}") for b in _BRANCH_MEASURES}
     sums = unioned.groupBy(*BOOK_KEYS, "Version").agg(
-        *[F.sum(F.col(m).cast(_SUM_TYPE)).cast("double").alias(m) for m in MEASURES], *has.values())
+        *[F.sum(on_grid(m)).cast("double").alias(m) for m in MEASURES], *has.values())
 
     def total(m: str) -> Column:
         fillers = [b for b, carried in _BRANCH_MEASURES.items() if m not in carried]

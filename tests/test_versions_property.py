@@ -10,6 +10,8 @@ import datetime as dt
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import functions as F
+
 from stockbook.operators.versions import newest_version_rows
 
 T0 = dt.datetime(2024, 1, 1)
@@ -72,3 +74,25 @@ def test_merge_upsert_matches_merge_semantics(spark, target, source):
     tkeys = {t[0] for t in target if t[0] is not None}
     exp += [r for r in src if r[0] is None or r[0] not in tkeys]
     assert sorted(map(tuple, got), key=repr) == sorted(exp, key=repr)
+
+
+def test_newest_version_sums_matches_window_semantics(spark):
+    import datetime as dt
+    import random
+
+    from stockbook.operators.versions import newest_version_sums
+
+    rng = random.Random(5)
+    when = lambda: rng.choice([None, *[dt.datetime(2000, 1, d) for d in range(1, 4)]])
+    rows = [(rng.choice([None, *range(30)]), when(), when(), rng.randrange(9)) for _ in range(400)]
+    df = spark.createDataFrame(rows, "k int, a timestamp_ntz, b timestamp_ntz, x long")
+    for clocks in (["a"], ["a", "b"]):
+        got = newest_version_sums(df, ["k"], clocks, {"s": F.col("x")}).collect()
+        want = {}
+        for k in {r[0] for r in rows}:
+            own = [r for r in rows if r[0] == k]
+            top = [max((r[1 + i] for r in own if r[1 + i] is not None), default=None) for i in range(len(clocks))]
+            kept = [r[3] for r in own if None not in top and all(r[1 + i] == t for i, t in enumerate(top))]
+            if kept:
+                want[k] = sum(kept)
+        assert {r.k: r.s for r in got} == want
