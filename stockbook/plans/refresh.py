@@ -23,7 +23,6 @@ from stockbook.operators import quality
 from stockbook.plans import dimensions as dims
 from stockbook.plans import gold
 from stockbook.plans.facts import FACT_FORECAST, FACT_POS, FACT_SALES, FACT_WHOLESALE
-from stockbook.session import ensure_checkpoint_dir
 from stockbook.sources.bronze import Bronze, read_bronze
 from stockbook.sources.tables import load_model, load_table, save_table, table_exists
 
@@ -41,19 +40,23 @@ def _gold(lake: str, name: str) -> str:
 
 def _load_dimension(spark: SparkSession, path: str, full: Callable[[], DataFrame],
                     incremental: Callable[[DataFrame], DataFrame], full_refresh: bool) -> str:
-    """First load, or merge into the stored dimension (rewritten whole: dimensions are small)."""
+    """First load, or merge into the stored dimension, which is written anew beside the old one and switched."""
     if full_refresh or not table_exists(spark, path):
         save_table(full(), path)
         return "full"
     target = load_table(spark, path, like=full())
-    ensure_checkpoint_dir(spark)
-    save_table(incremental(target).checkpoint(eager=True), path)
+    save_table(incremental(target), path)
     return "merged"
 
 
 def refresh_silver(spark: SparkSession, bronze: Bronze, lake: str, run: RunInfo = RunInfo(),
-                   mode: str = "recompute", full_refresh: bool = False) -> dict[str, str]:
-    """Load the six silver tables; returns what was done per table."""
+                   mode: str = "recompute", full_refresh: bool = False, on_duplicate: str = "error") -> dict[str, str]:
+    """Load the six silver tables; returns what was done per table.
+
+    ``on_duplicate`` matters to ``delta`` runs of sales and wholesale, whose
+    grain is finer than their merge key: ``error`` stops as a warehouse MERGE
+    does, ``combine`` merges one combined row a key.
+    """
     done = {}
     done["s_dim_customers"] = _load_dimension(
         spark, _silver(lake, "s_dim_customers"),
@@ -68,10 +71,10 @@ def refresh_silver(spark: SparkSession, bronze: Bronze, lake: str, run: RunInfo
         full_refresh)
     customers = load_table(spark, _silver(lake, "s_dim_customers")).select("customer_id", "country_id")
     facts = [
-        ("s_f_sales", FACT_SALES, (bronze.orders, bronze.order_details, customers), "combine"),
+        ("s_f_sales", FACT_SALES, (bronze.orders, bronze.order_details, customers), on_duplicate),
         ("s_f_forecast", FACT_FORECAST, (bronze.forecast_details,), "error"),
         ("s_f_pos", FACT_POS, (bronze.inventory_pos_history_details,), "error"),
-        ("s_f_wh_data", FACT_WHOLESALE, (bronze.inventory_wholesaler_history_details, customers), "combine"),
+        ("s_f_wh_data", FACT_WHOLESALE, (bronze.inventory_wholesaler_history_details, customers), on_duplicate),
     ]
     for name, model, inputs, on_dup in facts:
         done[name] = load_model(spark, model, *inputs, path=_silver(lake, name), run=run, mode=mode,
@@ -111,6 +114,8 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--format", default="parquet")
     ap.add_argument("--mode", choices=("recompute", "delta"), default="recompute")
     ap.add_argument("--full-refresh", action="store_true")
+    ap.add_argument("--on-duplicate", choices=("error", "combine"), default="error",
+                    help="delta runs: several source rows for one key stop the run, or are combined")
     ap.add_argument("--as-of", default=None, help="date for the calendar's YTD flag (default: today)")
     ap.add_argument("--user", default=None, help="run user for the audit columns")
     args = ap.parse_args(argv)
@@ -120,7 +125,7 @@ def main(argv: list[str] | None = None) -> int:
     spark = get_session()
     run = RunInfo(user=args.user)
     done = refresh_silver(spark, read_bronze(spark, args.bronze, args.format), args.lake, run,
-                          mode=args.mode, full_refresh=args.full_refresh)
+                          mode=args.mode, full_refresh=args.full_refresh, on_duplicate=args.on_duplicate)
     refresh_gold(spark, args.lake, as_of=args.as_of)
     failed = 0
     for name, df in data_tests(spark, args.lake).items():

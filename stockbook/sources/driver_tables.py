@@ -22,8 +22,8 @@ from stockbook.sources.bronze import Bronze, conform
 EPOCH = "2000-01-01"              # base of the synthetic dimension clocks
 REDELIVERY_LAG_DAYS = 7           # second delivery of a line: clock + 7 days
 FORECAST_SNAPSHOTS = ("2000-07-01", "2000-06-01")
-FORECAST_FROM = "2000-06-01"      # forecast lines: l_shipdate >= this
-PRODUCT_COUNT = 20                # product_id = l_partkey % 20
+FORECAST_START = "2000-05-01"     # ship dates, taken modulo a year from SHIP_BASE on, are laid from here
+SHIP_BASE = "1995-01-01"
 
 # Update-clock cuts for incremental runs: rows before the cut build the target,
 # the full tables are then merged into it.
@@ -74,13 +74,13 @@ def _lines(lineitem: DataFrame) -> DataFrame:
     return (
         lineitem.select(
             "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-            "l_extendedprice", "l_discount", "l_returnflag", "l_shipdate", v)
+            "l_extendedprice", "l_discount", "l_shipdate", v)
         .withColumn("l_quantity", F.col("l_quantity") + F.when(F.col("v") > 0, 1).otherwise(0))
     )
 
 
 def _product_id() -> Column:
-    return (F.col("l_partkey") % PRODUCT_COUNT).alias("product_id")
+    return F.col("l_partkey").alias("product_id")
 
 
 def countries(t: dict[str, DataFrame]) -> DataFrame:
@@ -179,7 +179,7 @@ def wholesale(t: dict[str, DataFrame]) -> DataFrame:
 
 
 def pos(t: dict[str, DataFrame]) -> DataFrame:
-    line = _lines(t["lineitem"]).filter(F.col("l_returnflag") == "R")
+    line = _lines(t["lineitem"])
     s = t["supplier"].select("s_suppkey", "s_nationkey")
     return conform(
         line.join(s, line.l_suppkey == s.s_suppkey).select(
@@ -197,9 +197,9 @@ def pos(t: dict[str, DataFrame]) -> DataFrame:
 
 
 def forecast(t: dict[str, DataFrame]) -> DataFrame:
-    """Lines of every fourth order shipped from June 2000 on, once per snapshot."""
-    line = _lines(t["lineitem"]).filter(
-        (F.col("l_shipdate") >= F.lit(FORECAST_FROM).cast("timestamp_ntz")) & (F.col("l_orderkey") % 4 == 0))
+    """Every line, once per snapshot; ship dates are shifted into the year around the snapshots."""
+    line = _lines(t["lineitem"])
+    day = F.date_diff(F.col("l_shipdate").cast("date"), date_lit(SHIP_BASE)) % 365
     o = t["orders"].select("o_orderkey", "o_custkey")
     c = t["customer"].select("c_custkey", "c_nationkey")
     snap = F.explode(F.array(*[date_lit(s) for s in FORECAST_SNAPSHOTS])).alias("snapshot")
@@ -211,7 +211,7 @@ def forecast(t: dict[str, DataFrame]) -> DataFrame:
             _product_id(),
             F.col("c_nationkey").alias("country_id"),
             _plus_days(F.col("snapshot"), F.col("v")).alias("update_date"),
-            F.col("l_shipdate").cast("date").alias("forecast_date"),
+            F.date_add(date_lit(FORECAST_START), day).alias("forecast_date"),
             F.col("snapshot").alias("forecast_snapshot"),
             F.col("l_quantity").alias("quantity"),
             F.col("l_quantity").alias("whrs_sell_in_quantity"),

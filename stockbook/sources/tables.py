@@ -1,13 +1,15 @@
 """Silver and gold tables on storage: full rebuild and incremental load.
 
-Tables are parquet folders. Facts are partitioned by month (their merge key
-always holds a month), so an incremental run rewrites only the months it
-touched, with dynamic partition overwrite, instead of the whole table.
-
-Spark will not overwrite files it is still reading. The merged partitions
-are therefore materialized first with ``DataFrame.checkpoint()`` into the
-cluster's ``spark.checkpoint.dir`` (reliable storage, lineage cut), and only
-then written over the target's partitions.
+Tables are parquet folders. A rebuild writes a fresh folder beside the table
+and then switches: the old folder is renamed away, the new one takes its
+name, and only then the old one is deleted. A failed write leaves the table as
+it was, and no partition of an earlier build survives.
+
+Facts are partitioned by month (their merge key always holds a month), so an
+incremental run replaces only the months it touched, with dynamic partition
+overwrite asked for at that write alone. Months the run left empty are dropped.
+Spark will not overwrite files it is still reading, so the merged partitions
+are first checkpointed into the cluster's ``spark.checkpoint.dir``.
 """
 
 from __future__ import annotations
@@ -22,14 +24,44 @@ from stockbook.session import ensure_checkpoint_dir
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    """True when ``path`` holds a readable parquet table (lists files, reads no rows)."""
+    """Whether ``path`` holds a parquet table (lists files, reads no rows).
+
+    Only a missing path counts as absent; a table that cannot be read is an
+    error, never a reason to load it anew. A rebuild that broke off between its
+    two renames is completed by putting the old table back.
+    """
+    fs, old = _fs(spark, path), f"{path.rstrip('/')}{_OLD}"
+    if not _has(spark, fs, path) and _has(spark, fs, old):
+        _rename(spark, fs, old, path)
     try:
         spark.read.parquet(path).schema
-    except AnalysisException:
-        return False
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
     return True
 
 
+_NEW, _OLD = ".rebuild", ".replaced"
+
+
+def _path(spark: SparkSession, path: str):
+    return spark._jvm.org.apache.hadoop.fs.Path(path.rstrip("/"))
+
+
+def _fs(spark: SparkSession, path: str):
+    return _path(spark, path).getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _has(spark: SparkSession, fs, path: str) -> bool:
+    return fs.exists(_path(spark, path))
+
+
+def _rename(spark: SparkSession, fs, a: str, b: str) -> None:
+    if not fs.rename(_path(spark, a), _path(spark, b)):
+        raise OSError(f"cannot rename {a} to {b}")
+
+
 def _balanced(df: DataFrame, partition_by: str) -> DataFrame:
     """Group rows by output partition before writing (AQE ``REBALANCE``).
 
@@ -41,11 +73,37 @@ def _balanced(df: DataFrame, partition_by: str) -> DataFrame:
 
 
 def save_table(df: DataFrame, path: str, partition_by: str | None = None) -> None:
-    """Full rebuild (first load, full refresh, gold tables)."""
-    w = (_balanced(df, partition_by) if partition_by else df).write.mode("overwrite")
+    """Full rebuild (first load, full refresh, gold tables); ``df`` may read the old table."""
+    spark, path = df.sparkSession, path.rstrip("/")
+    fs, new, old = _fs(spark, path), path + _NEW, path + _OLD
+    w = (_balanced(df, partition_by) if partition_by else df).write.mode("overwrite").option("partitionOverwriteMode", "static")
     if partition_by:
         w = w.partitionBy(partition_by)
-    w.parquet(path)
+    w.parquet(new)
+    if _has(spark, fs, path):
+        fs.delete(_path(spark, old), True)
+        _rename(spark, fs, path, old)
+    _rename(spark, fs, new, path)
+    fs.delete(_path(spark, old), True)
+    spark.catalog.refreshByPath(path)
+
+
+def replace_partitions(staged: DataFrame, touched: DataFrame, path: str, part: str) -> None:
+    """Put the checkpointed ``staged`` rows in place of the ``touched`` values' partitions.
+
+    Values without a staged row lose their partition; both frames are one row
+    a month at most here (``touched``, and the staged values).
+    """
+    spark = staged.sparkSession
+    gone = touched.select(F.col(part).cast("string").alias("v")).distinct().join(
+        staged.select(F.col(part).cast("string").alias("v")).distinct().select(F.col("v").alias("w")),
+        F.col("v").eqNullSafe(F.col("w")), "left_anti").collect()
+    (_balanced(staged, part).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(part).parquet(path))
+    fs = _fs(spark, path)
+    for r in gone:
+        fs.delete(_path(spark, f"{path.rstrip('/')}/{part}={r.v if r.v is not None else '__HIVE_DEFAULT_PARTITION__'}"), True)
+    spark.catalog.refreshByPath(path)
 
 
 def as_view(df: DataFrame, name: str) -> DataFrame:
@@ -79,14 +137,11 @@ def load_model(spark: SparkSession, model: IncrementalModel, *inputs: DataFrame,
     target = load_table(spark, path, like=shape)
     merged = model.incremental(*inputs, target=target, run=run, mode=mode, on_duplicate=on_duplicate)
     if part is None:
-        ensure_checkpoint_dir(spark)
-        save_table(merged.checkpoint(eager=True), path)
+        save_table(merged, path)
         return "rewritten"
-    touched = model.touched_partitions(*inputs, target=target)
-    probe = touched.select(F.col(part).alias("_p"))
-    changed = merged.join(probe, merged[part].eqNullSafe(probe["_p"]), "left_semi")
     ensure_checkpoint_dir(spark)
-    staged = changed.checkpoint(eager=True)
-    (_balanced(staged, part).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(part).parquet(path))
+    touched = model.touched_partitions(*inputs, target=target).checkpoint(eager=True)
+    probe = touched.select(F.col(part).alias("_p"))
+    staged = merged.join(probe, merged[part].eqNullSafe(probe["_p"]), "left_semi").checkpoint(eager=True)
+    replace_partitions(staged, touched, path, part)
     return "partitions"

@@ -23,13 +23,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.sql import functions as F
 from pyspark.sql import DataFrame, SparkSession
 
 from stockbook.functions.audit import RunInfo
 from stockbook.plans.model import IncrementalModel
 from stockbook.session import ensure_checkpoint_dir
 from stockbook.sources.schemas import BRONZE_SCHEMAS
-from stockbook.sources.tables import load_table, save_table, table_exists
+from stockbook.sources.tables import load_table, replace_partitions, save_table, table_exists
 
 
 def stream_into_table(
@@ -71,12 +72,11 @@ def stream_into_table(
                                         on_duplicate=on_duplicate)
         part = model.partition_col
         exprs = model.key_exprs()
-        touched = changed.select(exprs[part].alias("_p")).distinct()
-        staged_src = merged.join(touched, merged[part].eqNullSafe(touched["_p"]), "left_semi")
         ensure_checkpoint_dir(batch_spark)
-        staged = staged_src.checkpoint(eager=True)
-        (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(part).parquet(target_path))
+        touched = changed.select(exprs[part].alias(part)).distinct().checkpoint(eager=True)
+        probe = touched.select(F.col(part).alias("_p"))
+        staged = merged.join(probe, merged[part].eqNullSafe(probe["_p"]), "left_semi").checkpoint(eager=True)
+        replace_partitions(staged, touched, target_path, part)
 
     return (stream.writeStream.foreachBatch(handle)
             .option("checkpointLocation", checkpoint_location)
