@@ -25,7 +25,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_FALLBACK = "1900-01-01"
@@ -100,7 +100,9 @@ def merge_upsert(
       * ``"error"``: a target row matched by more than one source row fails
         the job (the warehouse MERGE raises a non-deterministic-merge error);
       * ``"combine"``: ``combine(source)`` first reduces the source to one row
-        per key; duplicate *target* keys are all updated, as MERGE does.
+        per key, and target rows that share a matched key collapse into one
+        updated row, so sums over the table count the key once. Source and
+        target are each read once, by one full outer join.
     """
     keys, update_cols = list(keys), list(update_cols)
     cols = target.columns
@@ -115,6 +117,8 @@ def merge_upsert(
         raise MergeError(f"unknown on_duplicate={on_duplicate!r}")
 
     src = source.select(*cols)
+    if on_duplicate == "combine":
+        return _merge_one_each(target, src, keys, update_cols)
 
     # 1. every target row, updated where a source row matches. The source is
     #    first reduced to one row per key (a partial aggregation, so a hot key
@@ -147,6 +151,27 @@ def merge_upsert(
     return updated.unionByName(inserted)
 
 
+def _merge_one_each(target: DataFrame, src: DataFrame, keys: list[str], update_cols: list[str]) -> DataFrame:
+    """Full outer join of the target and a source with one row per key.
+
+    The order of a key's target rows decides which one's remaining columns
+    stay; it is fixed by those columns themselves.
+    """
+    cols = target.columns
+    rest = [c for c in cols if c not in keys and c not in update_cols]
+    t = target.select(*[F.col(c).alias(f"_t_{c}") for c in cols], F.lit(True).alias("_in_t"))
+    s = src.select(*cols, F.lit(True).alias("_in_s"))
+    cond = reduce(lambda a, b: a & b, [t[f"_t_{k}"] == s[k] for k in keys])
+    both = t.join(s, cond, "full_outer")
+    matched = F.col("_in_t").isNotNull() & F.col("_in_s").isNotNull()
+    own = {c: F.when(F.col("_in_t").isNull() | (matched & F.lit(c in update_cols)), F.col(c)).otherwise(F.col(f"_t_{c}")) for c in cols}
+    # matched rows of a key meet in one partition, all others stay spread and are kept
+    apart = F.when(~matched, F.monotonically_increasing_id())
+    out = both.select(*[e.alias(c) for c, e in own.items()], matched.alias("_matched"), apart.alias("_apart"))
+    w = Window.partitionBy(*keys, "_apart").orderBy(*[F.col(c).asc_nulls_last() for c in rest] or [F.lit(1)])
+    return out.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").select(*cols)
+
+
 def merge_into_table(source: DataFrame, table: str, keys: Sequence[str], update_cols: Sequence[str]) -> None:
     """MERGE into a catalog table whose format supports row-level changes.
 

@@ -7,6 +7,7 @@ configuration (shuffle partitions, checkpoint directory, ...) wins.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -21,19 +22,11 @@ _DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a skewed join partition even when the aggregation after it then
-    # needs its own shuffle: the sales versioning reuses the order_id
-    # partitioning of its join, and a hot order would otherwise stay in one task.
+    # needs its own shuffle: the sales sums reuse the order_id partitioning of
+    # their join, and a hot order would otherwise stay in one task.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    # Let a join reuse its inputs' hash partitioning on a subset of the join
-    # keys (as aggregations already do): the sales versioning joins on
-    # (order_id, ...) right after the join on order_id.
-    "spark.sql.requireAllClusterKeysForCoPartition": "false",
-    # Only write the month partitions a merge touches.
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
-    # Broadcast a join side only on its measured size: plan-time estimates
-    # after generators, joins and aggregations can be far too low, while AQE
-    # decides from the bytes a finished shuffle stage actually wrote.
-    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    # Plan-time broadcasts stay at the session's own size limit; a join side that
+    # proves small at run time may be broadcast up to this many measured bytes.
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
 }
 
@@ -62,26 +55,26 @@ def apply_defaults(spark: SparkSession) -> SparkSession:
     for key, value in _DEFAULTS.items():
         if conf.get(key, None) in (None, ""):
             conf.set(key, value)
-    ensure_checkpoint_dir(spark)
     return spark
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
-    """Use the cluster's ``spark.checkpoint.dir``; set a scratch one only if unset.
+    """Use the cluster's ``spark.checkpoint.dir``; a scratch folder only on one machine.
 
     On a cluster this must be a shared, fault-tolerant folder (HDFS, object
-    store); the local fallback is for tests on one machine. Under Spark
+    store), so a session on a cluster that names none is refused. Under Spark
     Connect the server owns the setting and nothing is changed here.
     """
     try:
         sc = spark.sparkContext
     except Exception:  # Spark Connect: no driver-side context
         return None
-    current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
-    if current:
-        if not sc.getCheckpointDir():
-            sc.setCheckpointDir(current)
+    if sc.getCheckpointDir():
         return sc.getCheckpointDir()
-    path = tempfile.mkdtemp(prefix="stockbook-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+    path = sc.getConf().get("spark.checkpoint.dir", None)
+    if not path:
+        if not re.match(r"local(\[|$)", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        path = tempfile.mkdtemp(prefix="stockbook-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir()

@@ -128,8 +128,8 @@ def test_q2_finer_grain_and_merge_modes(spark):
                                (2, 5, 2.0, 6.0, 0.1, T("2024-02-02 00:00:00"))])
     combined = FACT_SALES.incremental(orders, new_lines, _cust(spark), target=full, run=RUN,
                                       mode="delta", on_duplicate="combine")
-    # one combined source row (4 + 6) updates both duplicate target rows (Q3)
-    assert _rows(combined, "quantity") == [(10.0,), (10.0,)]
+    # one combined source row (4 + 6) takes the place of both target rows of its key: no sum counts it twice
+    assert _rows(combined, "quantity") == [(10.0,)]
     with pytest.raises(Exception):
         FACT_SALES.incremental(orders, new_lines, _cust(spark), target=full, run=RUN,
                                mode="delta", on_duplicate="error").collect()
@@ -346,3 +346,31 @@ def test_book_null_measure_only_without_fillers(spark):
     # product 1: sales only -> quantity NULL, wholesale measures 0.0 (sales fillers)
     # product 2: sales + POS -> the POS row's 0.0 filler makes the quantity 0.0
     assert got == [(1, None, 0.0, 0.0), (2, 0.0, 0.0, 1.0), (7, 1.0, 1.0, 1.0)]
+
+
+def test_small_prices_and_quantities_keep_their_amounts(spark):
+    """Nothing is cut: seven decimals, tiny times huge, and 2e14 units."""
+    import datetime as dt
+
+    from stockbook.plans.facts import FACT_POS
+
+    day, clock = dt.date(2000, 1, 5), dt.datetime(2000, 1, 6)
+    rows = [(1, 1, clock, day, 1e6, 0.0, 0.0, 0.00004), (2, 1, clock, day, 0.00004, 0.0, 0.0, 1e6),
+            (3, 1, clock, day, 2e14, 0.0, 0.0, 0.5), (4, 1, clock, day, 3e6, 0.0, 0.0, 0.0000001)]
+    df = spark.createDataFrame(rows, "product_id long, country_id int, update_date timestamp_ntz, transaction_date date, "
+                               "pos_sell_out_quantity double, pos_open_quantity double, pos_end_quantity double, unit_price double")
+    got = {r.product_id: r for r in FACT_POS.full(df).collect()}
+    assert [got[k].pos_sell_out_amount for k in (1, 2, 3, 4)] == [40.0, 40.0, 1e14, 0.3]
+    assert [got[k].pos_sell_out_quantity for k in (1, 2, 3, 4)] == [1e6, 0.00004, 2e14, 3e6]
+    assert [got[k].unit_price for k in (1, 2, 3, 4)] == [0.0, 1e6, 0.5, 0.0]
+
+
+def test_sums_beyond_the_grid_raise(spark):
+    import pytest
+    from pyspark.errors import PySparkException
+    from pyspark.sql import functions as F
+
+    from stockbook.functions.exact import qty_total
+
+    with pytest.raises(PySparkException, match="NUMERIC_VALUE_OUT_OF_RANGE|overflow|OVERFLOW"):
+        spark.range(1).select(F.lit(1e27).alias("q")).agg(qty_total("q")).collect()
