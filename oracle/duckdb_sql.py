@@ -4,9 +4,11 @@ These statements restate the planning models in plain SQL over the driver
 tables: the bronze shaping as UNION ALL and joins, newest versions with
 ``MAX(..) OVER (PARTITION BY ..)`` windows, merges as LEFT JOIN plus
 NOT EXISTS. The Spark side uses other plans (aggregations, generators,
-scalar subqueries), so agreement checks the semantics, not a shared recipe.
+scalar subqueries), so agreement checks the semantics; both sides agree on the
+12-decimal grid of the sums.
 
-Money is summed over DECIMAL and rounded exactly, as on the Spark side.
+Quantities and row amounts are summed over DECIMAL(38,12), made from the doubles'
+shortest text, and rounded exactly.
 Audit timestamps are left out of every comparison; the run user is pinned.
 """
 
@@ -17,11 +19,11 @@ RUN_USER = "stockbook"
 # ------------------------------------------------------------------ helpers
 
 def _q(c: str) -> str:
-    return f"CAST({c} AS DECIMAL(18,4))"
+    return f"CAST(CAST({c} AS VARCHAR) AS DECIMAL(38,12))"
 
 
 def _amt(q: str, p: str) -> str:
-    return f"CAST({q} AS DECIMAL(38,4)) * CAST({p} AS DECIMAL(38,4))"
+    return f"CAST(CAST({q} * {p} AS VARCHAR) AS DECIMAL(38,12))"
 
 
 def _round2(a: str) -> str:
@@ -33,11 +35,10 @@ def _dbl(c: str) -> str:
 
 
 def _wprice(a: str, q: str) -> str:
-    """ROUND(a / NULLIF(q, 0), 2) exactly: integer half-up on 1e-8 / 1e-4 units."""
-    a8 = f"CAST(abs({a}) * 100000000 AS HUGEINT)"
-    q4 = f"CAST(abs({q}) * 10000 AS HUGEINT)"
+    """ROUND(a / NULLIF(q, 0), 2) exactly: integer half-up on the 1e-12 units of both sums."""
+    au, qu = (f"CAST(replace(CAST(CAST(abs({x}) AS DECIMAL(38,12)) AS VARCHAR), '.', '') AS HUGEINT)" for x in (a, q))
     return (f"(CASE WHEN {q} = 0 THEN NULL ELSE "
-            f"sign({a}) * sign({q}) * ((2 * {a8} + 100 * {q4}) // (200 * {q4})) / 100 END)")
+            f"sign({a}) * sign({q}) * ((200 * {au} + {qu}) // (2 * {qu})) / 100 END)")
 
 
 def _month(c: str) -> str:
@@ -89,37 +90,36 @@ SELECT o_orderkey AS order_id, o_custkey AS customer_id, CAST(o_orderdate AS DAT
        CAST(CAST(o_orderdate AS DATE) + 45 AS TIMESTAMP) AS update_date
 FROM orders"""),
     ("b_order_details", """
-SELECT l_orderkey AS order_id, l_partkey % 20 AS product_id, l_extendedprice AS unit_price,
+SELECT l_orderkey AS order_id, l_partkey AS product_id, l_extendedprice AS unit_price,
        l_quantity AS quantity, l_discount AS discount,
        CAST(CAST(l_shipdate AS DATE) + v AS TIMESTAMP) AS update_date
 FROM line"""),
     ("b_wholesale", """
-SELECT l_suppkey AS customer_id, l_partkey % 20 AS product_id, CAST(l_shipdate AS DATE) AS transaction_date,
+SELECT l_suppkey AS customer_id, l_partkey AS product_id, CAST(l_shipdate AS DATE) AS transaction_date,
        CAST(CAST(l_shipdate AS DATE) + l_linenumber + v AS TIMESTAMP) AS update_date,
        l_extendedprice AS unit_price, l_quantity AS whrs_sell_in_quantity,
        CAST(l_quantity + l_linenumber AS DOUBLE) AS whrs_open_quantity,
        CAST(l_linenumber AS DOUBLE) AS whrs_end_quantity
 FROM line"""),
     ("b_pos", """
-SELECT l_partkey % 20 AS product_id, s_nationkey AS country_id,
+SELECT l_partkey AS product_id, s_nationkey AS country_id,
        CAST(CAST(l_shipdate AS DATE) + v AS TIMESTAMP) AS update_date,
        CAST(l_shipdate AS DATE) AS transaction_date,
        l_quantity AS pos_sell_out_quantity, CAST(l_quantity + l_linenumber AS DOUBLE) AS pos_open_quantity,
        CAST(l_linenumber AS DOUBLE) AS pos_end_quantity, l_extendedprice AS unit_price
-FROM line JOIN supplier ON l_suppkey = s_suppkey
-WHERE l_returnflag = 'R'"""),
+FROM line JOIN supplier ON l_suppkey = s_suppkey"""),
     ("b_forecast", """
-SELECT l_partkey % 20 AS product_id, c_nationkey AS country_id,
+SELECT l_partkey AS product_id, c_nationkey AS country_id,
        CAST(s.snapshot + v AS TIMESTAMP) AS update_date,
-       CAST(l_shipdate AS DATE) AS forecast_date, s.snapshot AS forecast_snapshot,
+       DATE '2000-05-01' + CAST(date_diff('day', DATE '1995-01-01', CAST(l_shipdate AS DATE)) % 365 AS INTEGER) AS forecast_date,
+       s.snapshot AS forecast_snapshot,
        l_quantity AS quantity, l_quantity AS whrs_sell_in_quantity,
        CAST(l_quantity + l_linenumber AS DOUBLE) AS whrs_open_quantity, CAST(l_linenumber AS DOUBLE) AS whrs_end_quantity,
        l_quantity AS pos_sell_out_quantity,
        CAST(l_quantity + l_linenumber AS DOUBLE) AS pos_open_quantity, CAST(l_linenumber AS DOUBLE) AS pos_end_quantity,
        l_extendedprice AS unit_price
 FROM line JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey,
-     (VALUES (DATE '2000-07-01'), (DATE '2000-06-01')) AS s(snapshot)
-WHERE l_shipdate >= TIMESTAMP '2000-06-01 00:00:00' AND l_orderkey % 4 = 0"""),
+     (VALUES (DATE '2000-07-01'), (DATE '2000-06-01')) AS s(snapshot)"""),
 ]
 
 CUTS = {
@@ -297,13 +297,17 @@ def _audit(first_load: bool) -> str:
     return f"'{RUN_USER}' AS updated_by, {ins} AS inserted_by"
 
 
-def merge_sql(target: str, source: str, cols: list[str], keys: list[str], update: list[str]) -> str:
+def merge_sql(target: str, source: str, cols: list[str], keys: list[str], update: list[str], collapse: bool = False) -> str:
+    """``collapse``: target rows that share a matched key become one."""
     on = " AND ".join(f"t.{k} = s.{k}" for k in keys)
     picks = ", ".join(
         (f"CASE WHEN s.{keys[0]} IS NOT NULL THEN s.{c} ELSE t.{c} END AS {c}" if c in update and c not in keys
          else f"t.{c} AS {c}") for c in cols)
+    left = (f"SELECT DISTINCT {picks} FROM {target} t JOIN {source} s ON {on}\nUNION ALL\n"
+            f"SELECT t.{', t.'.join(cols)} FROM {target} t WHERE NOT EXISTS (SELECT 1 FROM {source} s WHERE {on})"
+            if collapse else f"SELECT {picks} FROM {target} t LEFT JOIN {source} s ON {on}")
     return f"""
-SELECT {picks} FROM {target} t LEFT JOIN {source} s ON {on}
+{left}
 UNION ALL
 SELECT {', '.join('s.' + c for c in cols)} FROM {source} s
 WHERE NOT EXISTS (SELECT 1 FROM {target} t WHERE {on})"""
@@ -378,7 +382,7 @@ def _fact_queries(name: str, rows_fn, model_fn, cols, keys, update, hwm_where, k
     src_model = combine_fn or model_fn
     out[f"{name}_delta"] = _with(inc + [
         ("src", f"SELECT *, {_audit(False)} FROM ({src_model('changed')}) x"),
-        ("merged", merge_sql("tgt", "src", allc, keys, update)),
+        ("merged", merge_sql("tgt", "src", allc, keys, update, collapse=combine_fn is not None)),
     ], "SELECT * FROM merged")
     touched = ", ".join(f"{e.replace('{r}', '')} AS {k}" for k, e in key_exprs.items())
     out[f"{name}_recompute"] = _with(inc + [
@@ -481,7 +485,7 @@ BOOK_COLS = ["Ex_Factory", "Sales_to_pharmacies", "Open_Stock", "Close_Stock",
 
 
 def _q_planning_book() -> str:
-    sums = ", ".join(f"CAST(SUM(CAST({m} AS DECIMAL(30,4))) AS DOUBLE) AS {m}" for m in MEASURES)
+    sums = ", ".join(f"CAST(SUM({_q(m)}) AS DOUBLE) AS {m}" for m in MEASURES)
     version = ("CASE WHEN forecast_snapshot = (SELECT current_snapshot FROM snapshots) "
                "THEN 'Current' ELSE 'Last' END AS Version")
 
@@ -535,17 +539,29 @@ def _q_merge_upsert() -> str:
 
 
 def _q_high_water_mark() -> str:
-    """Order lines newer than the sales target built before the cut."""
-    q = _fact_sales()["fact_sales_delta"]
-    return q.replace("\nSELECT * FROM merged", "\nSELECT order_id, country_id, product_id, shipped_date, "
-                     "odu AS order_details_update_date, ou AS order_update_date FROM changed")
-
-
-def _q_weighted_price() -> str:
+    """Order lines newer than the newest clock that the target built before the cut holds.
+
+    The target keeps a line version's two clocks at day grain only where both
+    are the line's newest; the mark is the latest of the greater of the two.
+    """
+    ctes = [*BRONZE, _cut("b_customers"), _cut("b_countries"), _cut("b_orders"), _cut("b_order_details"),
+            ("customers", customer_rows_sql()),
+            ("old", sales_lines_sql("b_orders_cut", "b_order_details_cut", "customers")),
+            ("newest", "SELECT *, max(odu) OVER w AS m_odu, max(ou) OVER w AS m_ou FROM old "
+                       "WINDOW w AS (PARTITION BY order_id, product_id, country_id, shipped_date)"),
+            ("mark", "SELECT coalesce(max(greatest(CAST(CAST(odu AS DATE) AS TIMESTAMP), CAST(CAST(ou AS DATE) AS TIMESTAMP))), "
+                     "TIMESTAMP '1900-01-01 00:00:00') AS m FROM newest WHERE odu = m_odu AND ou = m_ou"),
+            ("lines", sales_lines_sql("b_orders", "b_order_details", "customers"))]
+    return _with(ctes, "SELECT order_id, country_id, product_id, shipped_date, odu AS order_details_update_date, "
+                       "ou AS order_update_date FROM lines, mark "
+                       "WHERE odu IS NOT NULL AND ou IS NOT NULL AND greatest(odu, ou) > m")
+
+
+def _q_weighted_price(quantity: str = "quantity", price: str = "unit_price") -> str:
     return _with(BRONZE, f"""
-SELECT product_id, {_month('update_date')} AS month, {_dbl('SUM(' + _q('quantity') + ')')} AS quantity,
-       {_round2('SUM(' + _amt('quantity', 'unit_price') + ')')} AS amount,
-       {_wprice('SUM(' + _amt('quantity', 'unit_price') + ')', 'SUM(' + _q('quantity') + ')')} AS unit_price
+SELECT product_id, {_month('update_date')} AS month, {_dbl('SUM(' + _q(quantity) + ')')} AS quantity,
+       {_round2('SUM(' + _amt(quantity, price) + ')')} AS amount,
+       {_wprice('SUM(' + _amt(quantity, price) + ')', 'SUM(' + _q(quantity) + ')')} AS unit_price
 FROM b_order_details GROUP BY product_id, {_month('update_date')}""")
 
 
@@ -579,20 +595,31 @@ def _q_check_duplicates() -> str:
                                        "GROUP BY country_id, product_id, shipped_date HAVING count(*) > 1")
 
 
+_TWICE = "SELECT * FROM b_customers UNION ALL SELECT * FROM b_customers WHERE customer_id % 40 = 0"
+
+
 def _q_check_row_rule() -> str:
-    return _with(BRONZE + [("d", customer_rows_sql())],
+    gaps = ("SELECT country_id, region_description, country, CASE WHEN country_id % 9 <> 4 THEN cluster END AS cluster, "
+            "update_date FROM b_countries")
+    return _with(BRONZE + [("gaps", gaps), ("d", customer_rows_sql(countries="gaps"))],
                  f"SELECT *, {_audit(True)} FROM d WHERE country_id IS NOT NULL "
                  "AND (country IS NULL OR region_description IS NULL OR cluster IS NULL)")
 
 
 def _q_orphan_keys() -> str:
-    return _with(BRONZE + [("d", products_sql("b_products"))],
+    return _with(BRONZE + [("kept", "SELECT * FROM b_products WHERE product_id % 50 <> 7"), ("d", products_sql("kept"))],
                  "SELECT od.* FROM b_order_details od WHERE NOT EXISTS "
                  "(SELECT 1 FROM d WHERE d.product_id = od.product_id)")
 
 
+def _q_orphan_names() -> str:
+    return _with(BRONZE + [_cut("b_products"), ("d", products_sql("b_products"))],
+                 "SELECT product_id, product_name FROM d WHERE lower(trim(product_name)) NOT IN "
+                 "(SELECT lower(product_name) FROM b_products_cut)")
+
+
 def _q_check_duplicate_customers() -> str:
-    return _with(BRONZE + [("d", customer_rows_sql())],
+    return _with(BRONZE + [("twice", _TWICE), ("d", customer_rows_sql("twice"))],
                  "SELECT customer_id, count(*) AS cnt FROM d GROUP BY customer_id HAVING count(*) > 1")
 
 
@@ -603,7 +630,8 @@ def _q_customer_column_tests() -> str:
                  "WHERE customer_id IN (SELECT customer_id FROM d WHERE customer_id IS NOT NULL "
                  "GROUP BY customer_id HAVING count(*) > 1)")
     # update_ts is always stamped by the run, so its not_null test cannot fail
-    return _with(BRONZE + [("d", customer_rows_sql())], "\nUNION ALL\n".join(parts))
+    gaps = f"SELECT * REPLACE (CASE WHEN customer_id % 25 <> 3 THEN company_name END AS company_name) FROM ({_TWICE}) t"
+    return _with(BRONZE + [("gaps", gaps), ("d", customer_rows_sql("gaps"))], "\nUNION ALL\n".join(parts))
 
 
 def all_sql() -> dict[str, str]:
@@ -624,6 +652,7 @@ def all_sql() -> dict[str, str]:
         "merge_upsert": _q_merge_upsert(),
         "high_water_mark": _q_high_water_mark(),
         "weighted_price": _q_weighted_price(),
+        "weighted_price_fine": _q_weighted_price("(quantity * 1000)", "(unit_price / 16384)"),
         "newest_version_ties": _q_newest_version_ties(),
         "greatest_nullable": _q_greatest_nullable(),
         "check_not_null": _q_check_not_null(),
@@ -632,6 +661,7 @@ def all_sql() -> dict[str, str]:
         "check_duplicate_customers": _q_check_duplicate_customers(),
         "check_row_rule": _q_check_row_rule(),
         "orphan_keys": _q_orphan_keys(),
+        "orphan_names": _q_orphan_names(),
         "customer_column_tests": _q_customer_column_tests(),
     })
     return out

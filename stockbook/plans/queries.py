@@ -21,7 +21,7 @@ from stockbook.functions.exact import as_double, money_total, qty, qty_total, ro
 from stockbook.functions.nulls import strict_greatest
 from stockbook.operators import quality
 from stockbook.operators.incremental import merge_upsert
-from stockbook.operators.versions import newest_version_rows
+from stockbook.operators.versions import newest_version_sums
 from stockbook.plans import dimensions as dims
 from stockbook.plans import gold
 from stockbook.plans.facts import FACT_FORECAST, FACT_POS, FACT_SALES, FACT_WHOLESALE
@@ -172,29 +172,38 @@ def high_water_mark_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines above the mark of the sales target built before the cut."""
     b = _bronze(spark, sf_dir)
     customers = _customers(b)
-    target = FACT_SALES.full(*_fact_inputs("sales", before_cut(b), customers), run=RUN)
+    target = _stored(FACT_SALES.full(*_fact_inputs("sales", before_cut(b), customers), run=RUN))
     rows = FACT_SALES.rows(*_fact_inputs("sales", b, customers))
     return FACT_SALES.changed(rows, target).select(
         "order_id", "country_id", "product_id", "shipped_date", "order_details_update_date", "order_update_date")
 
 
-def weighted_price_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Volume-weighted price per product and month of delivery."""
-    od = _bronze(spark, sf_dir).order_details
+def _weighted(od: DataFrame) -> DataFrame:
     g = od.groupBy("product_id", month_floor("update_date").alias("month")).agg(
         qty_total("quantity").alias("q"), money_total("quantity", "unit_price").alias("a"))
     return g.select("product_id", "month", as_double("q").alias("quantity"), round_money("a").alias("amount"),
                     weighted_price("a", "q").alias("unit_price"))
 
 
+def weighted_price_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Volume-weighted price per product and month of delivery."""
+    return _weighted(_bronze(spark, sf_dir).order_details)
+
+
+def weighted_price_fine_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with prices a unit of a ten-thousandth: six decimals and more in the input."""
+    return _weighted(_bronze(spark, sf_dir).order_details.select(
+        "product_id", "update_date", (F.col("quantity") * 1000).alias("quantity"), (F.col("unit_price") / 16384).alias("unit_price")))
+
+
 def newest_version_ties_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """POS rows of the newest version per product, country and day (ties summed)."""
     rows = FACT_POS.rows(_bronze(spark, sf_dir).inventory_pos_history_details)
     qcols = ["pos_sell_out_quantity", "pos_open_quantity", "pos_end_quantity"]
-    latest = newest_version_rows(rows, ["product_id", "country_id", "transaction_date"], ["update_date"])
-    return latest.groupBy("product_id", "country_id", "transaction_date").agg(
-        F.max("update_date").alias("update_date"), F.count(F.lit(1)).alias("n_rows"),
-        *[as_double(F.sum(qty(c))).alias(c) for c in qcols])
+    latest = newest_version_sums(rows, ["product_id", "country_id", "transaction_date"], ["update_date"],
+                                 {"n_rows": F.lit(1).cast("long")} | {f"q_{c}": qty(c) for c in qcols})
+    return latest.select("product_id", "country_id", "transaction_date", "update_date", "n_rows",
+                         *[as_double(f"q_{c}").alias(c) for c in qcols])
 
 
 def greatest_nullable_query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -221,28 +230,45 @@ def check_duplicates_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.check_duplicates(sales, ["country_id", "product_id", "shipped_date"])
 
 
+def _twice(customers: DataFrame) -> DataFrame:
+    """Customers, every fortieth delivered a second time."""
+    times = F.when(F.col("customer_id") % 40 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    return customers.withColumn("_n", F.explode(times)).drop("_n")
+
+
 def check_duplicate_customers_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customer keys that occur more than once where every fortieth customer is delivered twice."""
     b = _bronze(spark, sf_dir)
-    return quality.check_duplicates(dims.dim_customers(b.customers, b.countries, RUN), ["customer_id"])
+    return quality.check_duplicates(dims.dim_customers(_twice(b.customers), b.countries, RUN), ["customer_id"])
 
 
 def check_row_rule_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers whose country lacks an attribute, where every ninth country has no cluster."""
     b = _bronze(spark, sf_dir)
-    return _visible(quality.check_row_rule(dims.dim_customers(b.customers, b.countries, RUN),
-                                           quality.country_integrity_rule()))
+    countries = b.countries.withColumn("cluster", F.when(F.col("country_id") % 9 != 4, F.col("cluster")))
+    return _visible(quality.check_row_rule(dims.dim_customers(b.customers, countries, RUN), quality.country_integrity_rule()))
 
 
 def customer_column_tests_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The customer dimension's declared column tests (not_null x5, unique)."""
+    """The customer dimension's declared column tests (not_null x5, unique), with duplicates and nameless customers."""
     b = _bronze(spark, sf_dir)
-    return quality.column_tests(dims.dim_customers(b.customers, b.countries, RUN), "customer_id",
+    rows = _twice(b.customers).withColumn("company_name", F.when(F.col("customer_id") % 25 != 3, F.col("company_name")))
+    return quality.column_tests(dims.dim_customers(rows, b.countries, RUN), "customer_id",
                                 quality.CUSTOMER_NOT_NULL, quality.CUSTOMER_UNIQUE)
 
 
 def orphan_keys_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order lines whose product is missing from the product dimension."""
+    """Order lines whose product is missing from a product dimension without every fiftieth part."""
+    b = _bronze(spark, sf_dir)
+    return quality.orphan_keys(b.order_details, "product_id", dims.dim_products(b.products.filter("product_id % 50 <> 7"), RUN))
+
+
+def orphan_names_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Products whose name, trimmed and lower-cased, no product before the cut carries in capitals."""
     b = _bronze(spark, sf_dir)
-    return quality.orphan_keys(b.order_details, "product_id", dims.dim_products(b.products, RUN))
+    known = before_cut(b).products.select(F.concat(F.lit(" "), F.upper("product_name"), F.lit("  ")).alias("name"))
+    return quality.orphan_keys(dims.dim_products(b.products, RUN).select("product_id", "product_name"), "product_name", known,
+                               ref_key="name", normalize=True)
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -265,6 +291,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "merge_upsert": merge_upsert_query,
         "high_water_mark": high_water_mark_query,
         "weighted_price": weighted_price_query,
+        "weighted_price_fine": weighted_price_fine_query,
         "newest_version_ties": newest_version_ties_query,
         "greatest_nullable": greatest_nullable_query,
         "check_not_null": check_not_null_query,
@@ -273,6 +300,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "check_duplicate_customers": check_duplicate_customers_query,
         "check_row_rule": check_row_rule_query,
         "orphan_keys": orphan_keys_query,
+        "orphan_names": orphan_names_query,
         "customer_column_tests": customer_column_tests_query,
     })
     return q
