@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stockbook.functions.dates import month_floor
-from stockbook.functions.exact import as_double, money, qty, round_money, weighted_price
+from stockbook.functions.exact import as_double, round_money, weighted_price
 from stockbook.functions.nulls import strict_greatest
 from stockbook.operators.incremental import above_mark, high_water_mark
 from stockbook.operators.versions import newest_version_sums
@@ -21,9 +21,9 @@ from stockbook.plans.model import IncrementalModel
 
 
 def _measures(quantities: list[str]) -> dict[str, Column]:
-    """q0, q1, ... the quantities and a0, a1, ... their amounts, on the grid."""
-    return ({f"q{i}": qty(c) for i, c in enumerate(quantities)}
-            | {f"a{i}": money(c, "unit_price") for i, c in enumerate(quantities)})
+    """q0, q1, ... the quantities and a0, a1, ... a row's amounts."""
+    return ({f"q{i}": F.col(c).cast("double") for i, c in enumerate(quantities)}
+            | {f"a{i}": F.col(c).cast("double") * F.col("unit_price").cast("double") for i, c in enumerate(quantities)})
 
 
 # ============================================================ sales
@@ -61,7 +61,7 @@ class FactSales(IncrementalModel):
         # newest version per order LINE (order, product, country, ship month),
         # each clock at its own maximum; then country x product x month
         latest = newest_version_sums(rows, ["order_id", "product_id", "country_id", "shipped_date"], self.clocks, {
-            "q": qty("quantity"), "d": qty("discount"), "a": money("quantity", "unit_price")})
+            "q": F.col("quantity"), "d": F.col("discount"), "a": F.col("quantity") * F.col("unit_price")})
         if per_key:
             group = list(self.keys)
             clocks = [F.max(c).alias(c) for c in self.clocks]

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from stockbook.functions.audit import RunInfo, with_audit
 from stockbook.functions.dates import month_floor
-from stockbook.functions.exact import as_double, money_total, qty, qty_total, round_money, weighted_price
+from stockbook.functions.exact import as_double, money_total, qty_total, round_money, weighted_price
 from stockbook.functions.nulls import strict_greatest
 from stockbook.operators import quality
 from stockbook.operators.incremental import merge_upsert
@@ -201,8 +201,8 @@ def newest_version_ties_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = FACT_POS.rows(_bronze(spark, sf_dir).inventory_pos_history_details)
     qcols = ["pos_sell_out_quantity", "pos_open_quantity", "pos_end_quantity"]
     latest = newest_version_sums(rows, ["product_id", "country_id", "transaction_date"], ["update_date"],
-                                 {"n_rows": F.lit(1).cast("long")} | {f"q_{c}": qty(c) for c in qcols})
-    return latest.select("product_id", "country_id", "transaction_date", "update_date", "n_rows",
+                                 {"n_rows": F.lit(1)} | {f"q_{c}": F.col(c) for c in qcols})
+    return latest.select("product_id", "country_id", "transaction_date", "update_date", F.col("n_rows").cast("long").alias("n_rows"),
                          *[as_double(f"q_{c}").alias(c) for c in qcols])
 
 

@@ -96,3 +96,19 @@ def test_newest_version_sums_matches_window_semantics(spark):
             if kept:
                 want[k] = sum(kept)
         assert {r.k: r.s for r in got} == want
+
+
+def test_limb_sums_equal_decimal_sums(spark):
+    import random
+    from decimal import Decimal
+
+    from stockbook.functions.exact import limb_sums, limb_total, split_units
+
+    rng = random.Random(4)
+    values = [rng.choice([None, 0.0, -0.0001, 94567.89, -1234.5678, 1e-7, 0.30000000000000004, 2e14, 1e9, 999999999.9999,
+                          round(rng.uniform(-1e6, 1e6), rng.randrange(6))]) for _ in range(500)]
+    rows = [(k % 7 if v is not None else 7, v) for k, v in enumerate(values)] + [(8, None)]
+    df = spark.createDataFrame(rows, "k int, x double").withColumn("u", split_units(F.col("x")))
+    got = {r.k: r.s for r in df.groupBy("k").agg(*limb_sums("s", "x", "u")).select("k", limb_total("s").alias("s")).collect()}
+    want = {k: sum((Decimal(repr(v)).quantize(Decimal(10) ** -12) for j, v in rows if j == k and v is not None), Decimal(0)) for k in range(7)}
+    assert {k: v for k, v in got.items() if v is not None} == want and got[8] is None
