@@ -43,7 +43,7 @@ from stockbook.llm.common import BROADCAST_ROWS, null_id, sorted_runs, stored_ta
 from stockbook.llm.suffix_array import suffix_array
 
 LENGTH, GRAM = 100, 32
-STRETCH = 1 << 20
+STRETCH = 1 << 18
 #: Distinct chunks of one minimizer that one task may hold.
 PART = 16384
 BLOCK_BYTES = 1 << 16
@@ -308,10 +308,10 @@ def _keyed(docs: DataFrame, *more: Column) -> DataFrame:
 
 
 def _slices(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
-    """Slices of at most 512 rows, and about 16 MB of ``column``."""
+    """Slices of at most 512 rows, and about 4 MB of ``column``."""
     for whole in batches:
         sizes = pc.fill_null(pc.binary_length(whole.column(whole.schema.get_field_index(column))), 0).to_numpy().astype(np.int64)
-        cut = np.cumsum(sizes) // (16 << 20) * (1 << 32) + np.arange(len(sizes)) // 512
+        cut = np.cumsum(sizes) // (4 << 20) * (1 << 32) + np.arange(len(sizes)) // 512
         heads = [0, *(np.flatnonzero(np.diff(cut)) + 1).tolist(), len(sizes)]
         for a, b in zip(heads, heads[1:], strict=False):
             if b > a:
