@@ -67,13 +67,14 @@ def column_tests(df: DataFrame, key: str, not_null: Sequence[str] = (), unique:
     """Generic column tests as one frame of failures: (test, column, ``key`` value).
 
     ``not_null`` lists every row whose column is NULL; ``unique`` lists every
-    row whose (non-NULL) value occurs more than once. One pass per test, all
-    lazily unioned; an empty result means every test passes.
+    row whose (non-NULL) value occurs more than once. All not_null tests are one
+    pass, each unique test one more; an empty result means every test passes.
     """
     parts = []
-    for c in not_null:
-        parts.append(check_not_null(df, c).select(
-            F.lit("not_null").alias("test"), F.lit(c).alias("column"), F.col(key).cast("string").alias("key")))
+    if not_null:
+        failed = F.filter(F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in not_null]), lambda c: c.isNotNull())
+        parts.append(df.select(F.col(key).cast("string").alias("key"), F.explode(failed).alias("column")).select(
+            F.lit("not_null").alias("test"), "column", "key"))
     for c in unique:
         dup = check_unique(df, c).select(F.col(c).alias("_v"))
         rows = df.join(dup, df[c] == dup["_v"], "left_semi")
