@@ -25,6 +25,18 @@ def stored(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: Bytes of one Arrow batch of texts: Spark's own limits, 10,000 rows or 64 MB, let long texts fill a worker.
+BATCH_BYTES = 8 << 20
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``, whose texts go to Python workers in batches of some 8 MB, unless the session sets a limit of its own."""
+    conf = df.sparkSession.conf
+    if conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) in (None, ""):
+        conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return df
+
+
 #: Rows of (long, long) up to which a counted side may be broadcast: some 16 MB.
 BROADCAST_ROWS = 1_000_000
 

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stockbook.llm.common import stored
+from stockbook.llm.common import small_batches, stored
 
 WORD = re.compile(r"[^\W\d_]+")
 MARK = "▁"
@@ -213,7 +213,7 @@ def train(docs: DataFrame, path: str | None = None, rounds: int = 2, smooth: flo
             yield pa.RecordBatch.from_pydict({"lang": [k[0] for k in got], "word": [k[1] for k in got], "n": list(got.values())},
                                              schema=pa.schema([("lang", pa.string()), ("word", pa.string()), ("n", pa.int64())]))
 
-    known = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "text")
+    known = small_batches(docs).filter(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "text")
     counts = stored(known.mapInArrow(count, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n")))
     totals = {r[0]: r[1] for r in counts.groupBy("lang").agg(F.sum("n")).collect()}  # a row a language
     langs = sorted(totals)
@@ -287,7 +287,7 @@ def predict(docs: DataFrame, model: LanguageModel) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(pred, pa.string()), pa.array(score, pa.float64()),
                                                   pa.array(scored, pa.int64())], names=["doc_id", "lang_pred", "score", "n_scored_words"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
+    return small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
         run, "doc_id long, lang_pred string, score double, n_scored_words long")
 
 

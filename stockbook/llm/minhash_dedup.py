@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stockbook.llm.common import fresh, null_id, small, sorted_runs, stored
+from stockbook.llm.common import fresh, null_id, small, small_batches, sorted_runs, stored
 from stockbook.llm.graph import connected_components
 
 BANDS, ROWS = 32, 6
@@ -163,7 +163,7 @@ def profile(docs: DataFrame, shingle: int) -> DataFrame:
                      pa.array(keys, pa.list_(pa.int64())), pa.array(packed, pa.binary()), pa.array(sketch, pa.binary())],
                     names=["doc_id", "th", "n_shingles", "node", "keys", "packed", "sketch"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", text_hash(F.col("text")).alias("th")).mapInArrow(
+    return small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text", text_hash(F.col("text")).alias("th")).mapInArrow(
         run, "doc_id long, th long, n_shingles long, node long, keys array<long>, packed binary, sketch binary")
 
 

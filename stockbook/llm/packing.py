@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stockbook.llm.common import stored
+from stockbook.llm.common import small_batches, stored
 
 CAPACITY = 2048
 SHARD = 1500
@@ -77,7 +77,7 @@ def tokenized(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY
                 kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32())]
                 yield pa.RecordBatch.from_arrays([pa.array(out[c], k) for c, k in zip(cols, kinds, strict=False)], names=cols)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
+    return small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
         run, "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids)
 
 

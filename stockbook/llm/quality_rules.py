@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stockbook.llm.common import BLANKS, fresh, stored
+from stockbook.llm.common import BLANKS, fresh, small_batches, stored
 
 SYMBOLS = "[#*$%&|<>]"
 TRIM = ".,;:!?\"'()[]-"
@@ -151,7 +151,7 @@ def _base_failed(f: Column) -> Column:
 def score_quality(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
     """doc_id, the base counts, base_failed, kept, the posterior and every vote."""
     f = F.col("f")
-    counted = stored(docs.select("doc_id", features(F.col("text")).alias("f")))
+    counted = stored(small_batches(docs).select("doc_id", features(F.col("text")).alias("f")))
     names = [f"vote_{i}" for i in range(N_RULES)]
     scored = counted.select("doc_id", "f", *[c.alias(n) for c, n in zip(votes(f), names, strict=True)])
     p = posterior([F.col(n) for n in names], fit_rules(scored, names))
@@ -168,7 +168,7 @@ def filter_quality(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
     """
     names = [f"vote_{i}" for i in range(N_RULES)]
     f = F.col("f")
-    model = fit_rules(docs.select(features(F.col("text")).alias("f")).select(
+    model = fit_rules(small_batches(docs).select(features(F.col("text")).alias("f")).select(
         *[c.alias(n) for c, n in zip(votes(f), names, strict=True)]), names)
     name = fresh(docs, "features")
     g = F.col(name)

@@ -39,7 +39,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stockbook.llm.common import BROADCAST_ROWS, null_id, sorted_runs, stored_table
+from stockbook.llm.common import BROADCAST_ROWS, null_id, small_batches, sorted_runs, stored_table
 from stockbook.llm.suffix_array import suffix_array
 
 LENGTH, GRAM = 100, 32
@@ -324,7 +324,7 @@ def _repeated_minimizers(docs: DataFrame) -> DataFrame:
             m, n = np.unique(chunks_of([t or b"" for t in batch.column(0).to_pylist()])["m"], return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(m), pa.array(np.minimum(n, 2).astype(np.int32))], names=["m", "n"])
 
-    return docs.select("text").mapInArrow(run, "m long, n int").groupBy("m").agg(F.sum("n").alias("n")).filter("n > 1").select("m")
+    return small_batches(docs).select("text").mapInArrow(run, "m long, n int").groupBy("m").agg(F.sum("n").alias("n")).filter("n > 1").select("m")
 
 
 def _bitmap(minimizers: DataFrame) -> np.ndarray:
