@@ -25,7 +25,8 @@ Defined cases: null text is empty; texts under 100 bytes lose nothing; a null
 doc_id counts as the smallest; documents with equal ids are ordered by a hash
 of their text, and rows equal in id and text share one result; other columns
 are not looked at. Very long texts are cut into overlapping stretches for the
-scan only. Minimizers and chunks are told apart by 64-bit hashes each.
+scan only. Minimizers, chunks and the texts of one id are told apart by 64-bit
+hashes each.
 """
 
 from __future__ import annotations
@@ -302,8 +303,8 @@ def _first_pass(chunks: DataFrame) -> DataFrame:
 # ------------------------------------------------------------ the corpus
 
 def _keyed(docs: DataFrame, *more: Column) -> DataFrame:
-    """id, tag (25 bits of a text hash, for repeated ids), text as bytes."""
-    tag = F.shiftrightunsigned(F.xxhash64(F.coalesce("text", F.lit(""))), 39)
+    """id, tag (64-bit hash of the text, for repeated ids), text as bytes."""
+    tag = F.xxhash64(F.coalesce("text", F.lit("")))
     return docs.select(null_id().alias("id"), tag.alias("tag"), F.col("text").cast("binary").alias("text"), *more)
 
 
@@ -338,23 +339,23 @@ def _bitmap(minimizers: DataFrame) -> np.ndarray:
 
 
 def _occurrences(docs: DataFrame, bitmap: np.ndarray) -> DataFrame:
-    """m, c, id, at (tag, start and windows less one, packed in this order) of chunks whose minimizer may repeat."""
+    """m, c, id, tag, at (start and windows less one, packed in this order) of chunks whose minimizer may repeat."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _slices(batches, "text"):
             x = chunks_of([t or b"" for t in batch.column(2).to_pylist()])
             spot = x["m"] & ((1 << FILTER_BITS) - 1)
             some = (bitmap[spot >> 6] >> (spot & 63).astype(np.uint64)) & np.uint64(1) == 1
             row = x["row"][some]
-            at = (batch.column(1).to_numpy()[row] << 38) | (x["lo"][some] << 7) | x["n"][some]
-            yield pa.RecordBatch.from_arrays([pa.array(v) for v in (x["m"][some], x["c"][some], batch.column(0).to_numpy()[row], at)],
-                                             names=["m", "c", "id", "at"])
+            at = (x["lo"][some] << 7) | x["n"][some]
+            ids, tags = (batch.column(k).to_numpy()[row] for k in (0, 1))
+            yield pa.RecordBatch.from_arrays([pa.array(v) for v in (x["m"][some], x["c"][some], ids, tags, at)],
+                                             names=["m", "c", "id", "tag", "at"])
 
-    return docs.select("id", "tag", "text").mapInArrow(run, "m long, c long, id long, at long")
+    return docs.select("id", "tag", "text").mapInArrow(run, "m long, c long, id long, tag long, at long")
 
 
 def _unpacked(at: Column) -> list[Column]:
-    lo = F.shiftright(at, 7).bitwiseAND((1 << 31) - 1)
-    return [F.shiftright(at, 38).alias("tag"), lo.alias("lo"), (at.bitwiseAND(127)).alias("n")]
+    return [F.shiftright(at, 7).alias("lo"), (at.bitwiseAND(127)).alias("n")]
 
 
 def _chunk_bytes(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -380,14 +381,14 @@ def repeated_spans(docs: DataFrame, part: int = PART) -> DataFrame:
     keyed = _keyed(docs)
     minimizers = stored_table(_repeated_minimizers(keyed))
     places = stored_table(_occurrences(keyed, _bitmap(minimizers)).join(minimizers, "m"))
-    chunks = stored_table(places.groupBy("m", "c").agg(F.min(F.struct("id", "at")).alias("first"), F.count(F.lit(1)).alias("places")))
-    copies = places.join(chunks.filter("places > 1").select("m", "c", "first"), ["m", "c"]).filter(F.struct("id", "at") > F.col("first"))
-    whole = copies.select("id", *_unpacked(F.col("at"))).select("id", "tag", F.col("lo").alias("start"), (F.col("lo") + F.col("n") + LENGTH).alias("stop"))
+    chunks = stored_table(places.groupBy("m", "c").agg(F.min(F.struct("id", "tag", "at")).alias("first"), F.count(F.lit(1)).alias("places")))
+    copies = places.join(chunks.filter("places > 1").select("m", "c", "first"), ["m", "c"]).filter(F.struct("id", "tag", "at") > F.col("first"))
+    whole = copies.select("id", "tag", *_unpacked(F.col("at"))).select("id", "tag", F.col("lo").alias("start"), (F.col("lo") + F.col("n") + LENGTH).alias("stop"))
 
     several = chunks.groupBy("m").agg(F.count(F.lit(1)).alias("distinct")).filter("distinct > 1")
     n_parts = F.ceil(F.col("distinct") / part)
     wanted = stored_table(chunks.join(several, "m").select(
-        "m", F.pmod(F.xxhash64("c"), n_parts).alias("part"), n_parts.alias("parts"), "first.id", *_unpacked(F.col("first.at"))))
+        "m", F.pmod(F.xxhash64("c"), n_parts).alias("part"), n_parts.alias("parts"), "first.id", "first.tag", *_unpacked(F.col("first.at"))))
     spans = whole.unionByName(_sorted_out(_chunk_bytes(keyed, wanted.filter("parts = 1").drop("parts"))))
     large = wanted.filter("parts > 1")
     if not large.isEmpty():

@@ -216,3 +216,25 @@ def test_lines_empty_table_and_null_id(spark):
     t = prose(random.Random(3), 20)
     got = line_dedup.line_report(docs_of(spark, [(4, t), (None, t), (4, t)])).collect()
     assert sorted((r.doc_id or 0, r.n_removed) for r in got) == [(0, 0), (4, 1), (4, 1)]
+
+
+# ------------------------------------------------------------ repeated and missing ids
+
+
+def _spark_hash(spark, texts):
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k long, text string")
+    return [r.h for r in df.selectExpr("k", "xxhash64(text) AS h").orderBy("k").collect()]
+
+
+def test_repeated_bytes_many_null_ids(spark):
+    """Texts of one id whose hashes share 25 bits, as among thousands of null ids, stay apart."""
+    rng = random.Random(12)
+    passages = [prose(rng, 40, 5000) for _ in range(3)]
+    texts = [f"{prose(rng, rng.choice([5, 30]), 5000)} {passages[k % 3][:rng.choice([150, 220])]} {k}" for k in range(20_000)]
+    by: dict = {}
+    for h, t in zip(_spark_hash(spark, texts), texts, strict=True):
+        by.setdefault((h % 2**64) >> 39, []).append((h, t))
+    rows = sorted(x for same in by.values() if len(same) > 1 for x in same)
+    assert len(rows) > 4
+    got = suffix_dedup.remove_repeats(docs_of(spark, [(None, t) for _, t in rows])).collect()
+    assert sorted((r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == sorted(x[1:] for x in _brute_bytes(rows))
