@@ -358,8 +358,20 @@ def _unpacked(at: Column) -> list[Column]:
     return [F.shiftright(at, 7).alias("lo"), (at.bitwiseAND(127)).alias("n")]
 
 
+def _once(docs: DataFrame) -> DataFrame:
+    """One row for each id and tag: a row given twice must not be taken for its own repeat."""
+    several = stored_table(docs.groupBy("id", "tag").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1").select("id", "tag"))
+    n = several.count()
+    if not n:
+        return docs
+    if n > BROADCAST_ROWS:
+        return docs.dropDuplicates(["id", "tag"])
+    side = F.broadcast(several)
+    return docs.join(side, ["id", "tag"], "left_anti").unionByName(docs.join(side, ["id", "tag"], "left_semi").dropDuplicates(["id", "tag"]))
+
+
 def _chunk_bytes(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(m, part, id, tag, lo, n) -> the same with the chunk's bytes."""
+    """(m, part, id, tag, lo, n) -> the same with the chunk's bytes; docs have one row for each id and tag."""
     per = wanted.groupBy("id", "tag").agg(F.collect_list(F.struct("m", "part", "lo", "n")).alias("w"))
     side = F.broadcast(per) if wanted.count() <= 2 * BROADCAST_ROWS else per
 
@@ -389,10 +401,11 @@ def repeated_spans(docs: DataFrame, part: int = PART) -> DataFrame:
     n_parts = F.ceil(F.col("distinct") / part)
     wanted = stored_table(chunks.join(several, "m").select(
         "m", F.pmod(F.xxhash64("c"), n_parts).alias("part"), n_parts.alias("parts"), "first.id", "first.tag", *_unpacked(F.col("first.at"))))
-    spans = whole.unionByName(_sorted_out(_chunk_bytes(keyed, wanted.filter("parts = 1").drop("parts"))))
+    once = _once(keyed)
+    spans = whole.unionByName(_sorted_out(_chunk_bytes(once, wanted.filter("parts = 1").drop("parts"))))
     large = wanted.filter("parts > 1")
     if not large.isEmpty():
-        passed = stored_table(_first_pass(_chunk_bytes(keyed, large.drop("parts"))))
+        passed = stored_table(_first_pass(_chunk_bytes(once, large.drop("parts"))))
         spans = spans.unionByName(passed.filter("bytes is null").select("id", "tag", "start", "stop"))
         first = passed.filter("bytes is not null").join(large.groupBy("m").agg(F.first("parts").alias("parts")), "m")
         again = first.select("m", F.pmod(F.xxhash64("bytes"), F.col("parts") * 64).alias("part"), "id", "tag", F.col("start").alias("lo"), "bytes")

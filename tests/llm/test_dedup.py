@@ -238,3 +238,14 @@ def test_repeated_bytes_many_null_ids(spark):
     assert len(rows) > 4
     got = suffix_dedup.remove_repeats(docs_of(spark, [(None, t) for _, t in rows])).collect()
     assert sorted((r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == sorted(x[1:] for x in _brute_bytes(rows))
+
+
+@pytest.mark.parametrize("part", [suffix_dedup.PART, 3])
+def test_repeated_bytes_repeated_rows_beside_others(spark, part):
+    """Rows given twice lose what occurs earlier in other rows, not their own text."""
+    rng = random.Random(13)
+    passages = [prose(rng, 40, 5000) for _ in range(3)]
+    rows = [(k, prose(rng, 30, 5000) + passages[k % 3] + prose(rng, 30, 5000)) for k in range(24)]
+    want = [x for x in _brute_bytes(rows) for _ in range(1 + x[0] % 3)]
+    got = suffix_dedup.remove_repeats(docs_of(spark, [x for x in rows for _ in range(1 + x[0] % 3)]), part=part).collect()
+    assert sorted((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == want
