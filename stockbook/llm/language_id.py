@@ -33,8 +33,10 @@ from stockbook.llm.common import small_batches, stored
 WORD = re.compile(r"[^\W\d_]+")
 MARK = "▁"
 LONGEST = 64
-#: Scales probabilities by this much a character, so that 64 of them neither vanish nor overflow.
+#: Scales probabilities by this much a character, so that most words stay near 1.
 LIFT = 100.0
+#: Decimal places that forward sums may fall by before they are rescaled; a double has some 300.
+PLACES = 100
 
 
 def vocabulary_path() -> str:
@@ -154,25 +156,41 @@ def _by_length(words: list[str]) -> Iterator[tuple[int, list[int]]]:
             yield n, at[lo:lo + 8192]
 
 
-def _forward(n: int, steps: list, probs: np.ndarray, rows: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
+def _span(probs: np.ndarray) -> int:
+    """Characters after which forward sums are rescaled: each may cost the smallest probability."""
+    places = -np.log10(max(probs.min() * LIFT, 1e-300))
+    return LONGEST if places * LONGEST <= PLACES else max(1, int(PLACES / places))
+
+
+def _forward(n: int, steps: list, probs: np.ndarray, rows: int) -> tuple[list[np.ndarray], list[np.ndarray], dict[int, np.ndarray]]:
+    """Forward sums, the probability of each step, and by place what the sums from there on were divided by."""
     alpha = [np.ones((rows, probs.shape[1]))] + [np.zeros((rows, probs.shape[1])) for _ in range(n)]
     used = []
+    norms: dict[int, np.ndarray] = {}
+    span, far = _span(probs), 0
     for i, j, r, ids in steps:  # by i ascending: alpha[i] is complete
+        if i and i % span == 0 and i not in norms:
+            norms[i] = np.where(alpha[i] > 0, alpha[i], 1.0)
+            for k in range(i, far + 1):
+                alpha[k] /= norms[i]
+        far = max(far, j)
         p = probs[ids] * LIFT ** (j - i)
         used.append(p)
         if len(r) == rows:
             alpha[j] += alpha[i] * p
         else:
             alpha[j][r] += alpha[i][r] * p
-    return alpha, used
+    return alpha, used, norms
 
 
 def log_likelihoods(words: list[str], pieces: Pieces, probs: np.ndarray) -> np.ndarray:
     """(words, languages): log of the sum over all segmentations."""
     out = np.empty((len(words), probs.shape[1]))
     for n, at in _by_length(words):
-        alpha, _ = _forward(n, pieces.steps(_codes([words[k] for k in at])), probs, len(at))
+        alpha, _, norms = _forward(n, pieces.steps(_codes([words[k] for k in at])), probs, len(at))
         out[at] = np.log(alpha[n]) - n * np.log(LIFT)
+        for c in norms.values():
+            out[at] += np.log(c)
     return out
 
 
@@ -181,7 +199,11 @@ def expected_counts(words: list[str], counts: np.ndarray, pieces: Pieces, probs:
     total = np.zeros(pieces.size)
     for n, at in _by_length(words):
         steps = pieces.steps(_codes([words[k] for k in at]))
-        alpha, used = _forward(n, steps, probs, len(at))
+        alpha, used, norms = _forward(n, steps, probs, len(at))
+        for place, c in norms.items():  # steps across a rescaled place lead from the old scale to the new
+            for k, (i, j, r, _) in enumerate(steps):
+                if i < place <= j:
+                    used[k] = used[k] / c[r]
         beta = [np.zeros((len(at), 1)) for _ in range(n)] + [np.ones((len(at), 1))]
         for (i, j, r, _), p in zip(reversed(steps), reversed(used), strict=True):
             beta[i][r] += p * beta[j][r]

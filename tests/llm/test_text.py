@@ -197,3 +197,46 @@ def test_held_out_accuracy_and_edges(spark):
     empty = language_id.identify_languages(docs_of(spark, [(1, "a b", None)])).collect()
     assert [(r.lang_pred, r.score) for r in empty] == [("und", 0.0)]
     assert language_id.identify_languages(docs_of(spark, [])).count() == 0
+
+
+def test_long_stretches_of_rare_pieces_do_not_underflow():
+    """Smallest probabilities as of 1e10 trained pieces: sums and expected counts agree with exact fractions."""
+    from fractions import Fraction
+
+    pieces = language_id.Pieces(language_id.vocabulary_path())
+    rng = np.random.default_rng(4)
+    probs = np.where(rng.random((pieces.size, 2)) < 0.5, 5e-12, rng.random((pieces.size, 2)) * 1e-4)
+    words = ["▁" + "ω中" * 31 + "x", "▁internationalisation" * 3, "▁the"]
+    words.append("q" * 64)
+    probs[0] = 5e-12
+    probs[:, 1] = 5e-12  # a language that has seen none of it
+    got = language_id.log_likelihoods(words, pieces, probs)
+    for k in (0, 1):
+        used = {}
+        for w, ll in zip(words, got[:, k], strict=True):
+            steps = [(i, j, int(ids[0])) for i, j, _, ids in pieces.steps(language_id._codes([w]))]
+            fore, back = ([Fraction(0)] * (len(w) + 1) for _ in range(2))
+            fore[0] = back[-1] = Fraction(1)
+            for i, j, p in steps:
+                fore[j] += fore[i] * Fraction(probs[p, k])
+            for i, j, p in reversed(steps):
+                back[i] += back[j] * Fraction(probs[p, k])
+            exact = math.log(fore[-1].numerator) - math.log(fore[-1].denominator)
+            assert math.isclose(ll, exact, rel_tol=1e-9), w
+            for i, j, p in steps:
+                used[p] = used.get(p, 0.0) + float(3 * fore[i] * Fraction(probs[p, k]) * back[j] / fore[-1])
+        counts = language_id.expected_counts(words, np.full(len(words), 3.0), pieces, probs[:, [k]])
+        assert np.allclose(counts, [used.get(p, 0.0) for p in range(pieces.size)], rtol=1e-9, atol=1e-12)
+
+
+def test_long_foreign_word_keeps_a_score(spark):
+    """One unbroken stretch unseen in every language: a score between 0 and 1, and the other words decide."""
+    pieces = language_id.Pieces(language_id.vocabulary_path())
+    rows = [(k, "the cat and the dog ran home", "en") for k in range(8)] + [(k + 8, "le chat et le chien sont ici", "fr") for k in range(8)]
+    model = language_id.train(docs_of(spark, rows))
+    assert len(model.probs) == pieces.size
+    probs = model.probs.copy()
+    probs[probs <= probs.min(axis=0) * 1.001] = 5e-12  # unseen pieces after 1e10 trained ones
+    rare = language_id.LanguageModel(model.langs, model.pieces, probs, model.prior)
+    got = language_id.predict(docs_of(spark, [(1, "le chien et le chat sont ici " + "中" * 63)]), rare).collect()
+    assert got[0].lang_pred == "fr" and 0 <= got[0].score <= 1
