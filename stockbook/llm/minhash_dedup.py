@@ -275,8 +275,14 @@ def _links_between(members: DataFrame, facts: DataFrame, percent: int) -> DataFr
     return full.mapInArrow(run, "a long, b long").distinct()
 
 
-def _sets(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
-    """node, set (its shingles) of the wanted nodes; wanted: node, rep_id."""
+def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """node, text of one document of each wanted node; wanted: node, rep_id, th (both name the document)."""
+    named = docs.select(null_id().alias("rep_id"), text_hash(F.col("text")).alias("th"), "text")
+    return named.join(small(wanted), ["rep_id", "th"]).select("node", "text").dropDuplicates(["node"])
+
+
+def _sets(texts: DataFrame, shingle: int) -> DataFrame:
+    """node, set (its shingles) of the nodes of ``texts``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for lo in range(0, whole.num_rows, 512):
@@ -286,8 +292,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array([n for n, _ in got], pa.int64()), pa.array([x.tobytes() for _, x in got], pa.binary())],
                                                  names=["node", "set"])
 
-    texts = docs.select(null_id().alias("rep_id"), "text").join(small(wanted), "rep_id").select("node", "text")
-    return texts.mapInArrow(run, "node long, set binary").dropDuplicates(["node"])
+    return texts.mapInArrow(run, "node long, set binary")
 
 
 def _confirmed(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
@@ -298,7 +303,7 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) -
             for k, (a, b, s, t) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), batch.column(3), strict=True)):
                 x, y = shingle_set(s.as_py(), shingle), shingle_set(t.as_py(), shingle)
                 both = len(np.intersect1d(x, y, assume_unique=True))
-                # repeated ids may bring several texts; the digests say which are meant
+                # texts were found by id and hash; the digests say that they are the nodes' own
                 if 100 * both >= percent * (len(x) + len(y) - both) and node_of(x) == a and node_of(y) == b:
                     keep.append(k)
             yield pa.RecordBatch.from_arrays([c.take(pa.array(keep, pa.int64())) for c in batch.columns[:2]], names=["a", "b"])
@@ -314,7 +319,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     prof = stored(profile(docs, shingle))
     some = prof.filter(F.col("node").isNotNull())
     nodes = stored(some.groupBy("node").agg(
-        F.min(null_id()).alias("rep_id"), F.first("n_shingles").alias("n_shingles"),
+        F.min(F.struct(null_id().alias("rep_id"), "th")).alias("rep"), F.first("n_shingles").alias("n_shingles"),
         F.first("keys").alias("keys"), F.first("packed").alias("packed"), F.first("sketch").alias("sketch")))
     banded = nodes.select(F.explode("keys").alias("key"), "node")
     sizes = banded.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
@@ -323,9 +328,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
 
     def confirm(pairs: DataFrame) -> DataFrame:
         involved = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-        reps = stored(involved.join(nodes.select("node", "rep_id"), "node"))
-        texts = docs.select(null_id().alias("rep_id"), "text").join(small(reps), "rep_id").select("node", "text")
-        return stored(_confirmed(pairs, texts, shingle, percent))
+        reps = stored(involved.join(nodes.select("node", "rep.*"), "node"))
+        return stored(_confirmed(pairs, _texts(docs, reps), shingle, percent))
 
     first = stored(_forest_pairs(groups, facts, threshold))
     links = confirm(first)
@@ -335,8 +339,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
         F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("key", "part")
     members = stored(_open_members(groups.join(split, ["key", "part"]), labelled, threshold))
     if not members.isEmpty():
-        wanted = stored(members.select("node").distinct().join(nodes.select("node", "rep_id"), "node"))
-        sets = _sets(docs, wanted, shingle)
+        wanted = stored(members.select("node").distinct().join(nodes.select("node", "rep.*"), "node"))
+        sets = _sets(_texts(docs, wanted), shingle)
         more = labelled.select("node", "n_shingles", "component").join(sets, "node").join(
             nodes.select("node", F.col("packed").alias("keys")), "node")
         comp = connected_components(links.union(_links_between(members, stored(more), percent)))

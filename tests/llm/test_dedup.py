@@ -249,3 +249,25 @@ def test_repeated_bytes_repeated_rows_beside_others(spark, part):
     want = [x for x in _brute_bytes(rows) for _ in range(1 + x[0] % 3)]
     got = suffix_dedup.remove_repeats(docs_of(spark, [x for x in rows for _ in range(1 + x[0] % 3)]), part=part).collect()
     assert sorted((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == want
+
+
+def test_minhash_many_null_ids_bring_one_text_a_node(spark, monkeypatch):
+    rng = random.Random(15)
+    rows = _near_docs(rng)
+    ids = {k: None if k % 4 else k for k, _ in rows}
+    real, seen = minhash_dedup._confirmed, []
+
+    def confirmed(pairs, texts, *more):
+        seen.append(texts.count())
+        assert seen[-1] == texts.select("node").distinct().count()
+        return real(pairs, texts, *more)
+    monkeypatch.setattr(minhash_dedup, "_confirmed", confirmed)
+    twice = [(ids[k], t) for k, t in rows for _ in range(1 + k % 2)]
+    got = sorted((r.doc_id or -1, r.n_shingles, r.component_id or -1) for r in minhash_dedup.near_duplicates(docs_of(spark, twice), 4, 80).collect())
+    assert seen[0]
+    sets, comp = _brute_near(rows, 4)
+    low: dict = {}
+    for k, c in comp.items():
+        low[c] = min((x for x in (low.get(c), ids[k]) if x is not None), default=None)
+    want = sorted(((-1 if ids[k] is None else ids[k]) or -1, len(sets[k]), low[comp[k]] or -1) for k, _ in rows for _ in range(1 + k % 2))
+    assert got == want
