@@ -58,22 +58,21 @@ def fresh(df: DataFrame, base: str) -> str:
 def sorted_runs(batches: Iterator[pa.RecordBatch], keys: list[str], words: tuple[str, ...] = ()) -> Iterator[dict]:
     """Runs of equal ``keys`` in batches sorted by them: column name -> numpy array.
 
-    Binary columns named in ``words`` are of one width and come as a matrix of
-    unsigned 64-bit words. Holds one run and one batch at a time; callers bound
+    Binary columns named in ``words`` are of one width within a run and come as
+    a matrix of unsigned 64-bit words. Holds one run and one batch at a time; callers bound
     the runs.
     """
     import numpy as np
 
-    def column(name: str, c: pa.Array) -> np.ndarray:
-        if name in words:
-            return np.frombuffer(b"".join(c.to_pylist()), np.uint64).reshape(len(c), -1)
-        return c.to_numpy(zero_copy_only=False)
+    def run(columns: dict, a: int, b: int | None) -> dict:
+        out = {n: c[a:b] for n, c in columns.items()}
+        return out | {n: np.frombuffer(b"".join(out[n].tolist()), np.uint64).reshape(len(out[n]), -1) for n in words}
 
     held: dict = {}
     for batch in batches:
         if not batch.num_rows:
             continue
-        now = {n: column(n, batch.column(i)) for i, n in enumerate(batch.schema.names)}
+        now = {n: batch.column(i).to_numpy(zero_copy_only=False) for i, n in enumerate(batch.schema.names)}
         if held:
             now = {n: np.concatenate([held[n], c]) for n, c in now.items()}
         rows = len(now[keys[0]])
@@ -82,10 +81,10 @@ def sorted_runs(batches: Iterator[pa.RecordBatch], keys: list[str], words: tuple
             cut[1:] |= now[k][1:] != now[k][:-1]
         starts = [0, *np.flatnonzero(cut).tolist()]
         for a, b in zip(starts, starts[1:], strict=False):
-            yield {n: c[a:b] for n, c in now.items()}
+            yield run(now, a, b)
         held = {n: c[starts[-1]:] for n, c in now.items()}
     if held:
-        yield held
+        yield run(held, 0, None)
 
 
 def null_id(name: str = "doc_id") -> Column:

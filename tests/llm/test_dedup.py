@@ -271,3 +271,12 @@ def test_minhash_many_null_ids_bring_one_text_a_node(spark, monkeypatch):
         low[c] = min((x for x in (low.get(c), ids[k]) if x is not None), default=None)
     want = sorted(((-1 if ids[k] is None else ids[k]) or -1, len(sets[k]), low[comp[k]] or -1) for k, _ in rows for _ in range(1 + k % 2))
     assert got == want
+
+
+def test_embeddings_pairs_of_two_lengths(spark):
+    rng = np.random.default_rng(9)
+    rows = [(10 * dim + 2 * p + k, [float(np.float32(x * (1 + k))) for x in v], 0)
+            for dim in (16, 24) for p in range(2) for v in [rng.standard_normal(dim)] for k in (0, 1)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").repartition(1)
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embedding_dedup.embedding_duplicates(df).collect()}
+    assert got == {i: (1, i - i % 2) for i, _, _ in rows}
