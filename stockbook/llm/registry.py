@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockbook.llm import (chat_format, embedding_dedup, language_id, line_dedup, minhash_dedup, mixing, packing,
-                           quality_rules, secret_scan, suffix_dedup)
+from stockbook.llm import (chat_format, embedding_dedup, language_id, line_dedup, minhash_dedup, mixing, packing, pii,
+                           quality_rules, secret_scan, spelling, suffix_dedup, vector_codes)
 from stockbook.llm.common import table
 
 MIX = {"repeat_limit": 4.0}
@@ -60,10 +60,23 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify_languages(table(spark, sf_dir, "documents")).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_spellings(table(spark, sf_dir, "documents"))
+
+
+def op12_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pii_digest(pii.scan_pii(table(spark, sf_dir, "documents")))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.code_report(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_embedding_dedup, op2_quality_rules, op3_packing, op4_chat_format, op5_mixing,
-        op6_suffix_dedup, op7_minhash_dedup, op8_line_dedup, op9_secret_scan, op10_language_id)}
+        op6_suffix_dedup, op7_minhash_dedup, op8_line_dedup, op9_secret_scan, op10_language_id,
+        op11_spelling, op12_pii, op13_vector_codes)}
 
 
 _OP1 = """
@@ -150,5 +163,32 @@ LEFT JOIN (SELECT l.r, string_agg(l.line, chr(10) ORDER BY l.i) AS kept FROM l
 """
 
 
+def _op13() -> str:
+    """Six rounds spelled out; ``x``: (r, vec_id, label, p, j, v) one row a component, ``c0``..``c6``: (p, e, j, c)."""
+    near = ("SELECT r, p, min_by(e, (d, e)) AS e, min(d) AS d FROM (SELECT x.r, x.p, c.e, sum((x.v - c.c) * (x.v - c.c)) AS d "
+            "FROM x JOIN c{k} c ON c.p = x.p AND c.j = x.j GROUP BY x.r, x.p, c.e) GROUP BY r, p")
+    step = ("a{k} AS ({near}), c{n} AS (SELECT c.p, c.e, c.j, coalesce(s.c, c.c) AS c FROM c{k} c LEFT JOIN ("
+            "SELECT x.p, a.e, x.j, ((sum(x.v) - ((sum(x.v) % count(*)) + count(*)) % count(*)) // count(*))::BIGINT AS c "
+            "FROM x JOIN a{k} a ON a.r = x.r AND a.p = x.p GROUP BY x.p, a.e, x.j) s ON s.p = c.p AND s.e = c.e AND s.j = c.j)")
+    rounds = ",\n".join(step.format(k=k, n=k + 1, near=near.format(k=k)) for k in range(vector_codes.ROUNDS))
+    return f"""
+WITH v AS (
+  SELECT row_number() OVER (ORDER BY vec_id, embedding) AS r, vec_id, label, embedding AS e FROM embeddings
+  WHERE len(embedding) > 0 AND len(embedding) % 8 = 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+x AS MATERIALIZED (
+  SELECT r, (i - 1) // (len(e) // 8) AS p, (i - 1) % (len(e) // 8) AS j, floor(4096 * e[i]::DOUBLE)::BIGINT AS v
+  FROM (SELECT *, unnest(range(1, len(e) + 1)) AS i FROM v)),
+c0 AS (SELECT p, r - 1 AS e, j, v AS c FROM x WHERE r <= 16),
+{rounds},
+a{vector_codes.ROUNDS} AS ({near.format(k=vector_codes.ROUNDS)}),
+o AS (SELECT r, string_agg(lpad(printf('%x', e), 2, '0'), '' ORDER BY p) AS code, sum(d)::BIGINT AS error FROM a{vector_codes.ROUNDS} GROUP BY r),
+h AS (SELECT sha256(string_agg(c::VARCHAR, ',' ORDER BY p, e, j)) AS h FROM c{vector_codes.ROUNDS})
+SELECT v.vec_id, o.code, o.error, (sum(o.error) OVER (PARTITION BY v.label))::BIGINT AS label_error, h.h AS codebooks_sha256
+FROM v JOIN o ON o.r = v.r, h
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_embedding_dedup": _OP1, "op4_chat_format": _OP4, "op5_mixing": _OP5, "op8_line_dedup": _OP8}
+    return {"op1_embedding_dedup": _OP1, "op4_chat_format": _OP4, "op5_mixing": _OP5, "op8_line_dedup": _OP8,
+            "op13_vector_codes": _op13()}
