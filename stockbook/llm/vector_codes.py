@@ -41,6 +41,8 @@ ROUNDS = 6
 SCALE = 4096.0
 #: Members of one owner: larger entries are dealt over several by a salt.
 BLOCK = 8192
+#: Bytes of members a task holds, about, if the state is larger than eight such tasks.
+TASK_BYTES = 32 << 20
 LARGEST = 2**63 - 1
 #: Up to this size of a component squared errors of a whole vector fit a long.
 PLAIN = 1 << 27
@@ -136,7 +138,7 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return flat.reshape(len(column), -1)
 
 
-def _blocks(rows: DataFrame) -> DataFrame:
+def _blocks(rows: DataFrame, tasks: int) -> DataFrame:
     """(position, entry, member) rows packed into owners' blocks, dealt by (position, entry, salt)."""
     def block(key: tuple, held: list) -> pa.RecordBatch:
         parts = np.concatenate([x.astype(object) for x in held] if any(x.dtype == object for x in held) else held)
@@ -157,7 +159,7 @@ def _blocks(rows: DataFrame) -> DataFrame:
             yield block(key, held)
 
     keys = ["position", "entry", "salt"]
-    return rows.select(*keys, "width", "member").repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, _STATE)
+    return rows.select(*keys, "width", "member").repartition(tasks, *keys).sortWithinPartitions(*keys).mapInArrow(run, _STATE)
 
 
 def _members(table: DataFrame, books: Codebooks, salts: int) -> DataFrame:
@@ -229,11 +231,13 @@ def _sums(state: DataFrame) -> dict[tuple[int, int], tuple[int, list[int]]]:
     return out
 
 
-def fit_codebooks(table: DataFrame, first: np.ndarray, rounds: int = ROUNDS) -> Codebooks:
-    """Codebooks after ``rounds`` rounds over ``table`` (vector), starting from the rows of ``first``."""
+def fit_codebooks(table: DataFrame, first: np.ndarray, rows: int, rounds: int = ROUNDS) -> Codebooks:
+    """Codebooks after ``rounds`` rounds over ``table`` (vector) of ``rows`` rows, starting from the rows of ``first``."""
     books = Codebooks([m.copy() for m in np.split(integers(first), PARTS, axis=1)])
-    salts = table.count() // (4 * BLOCK) + 1
-    state = stored(_blocks(_members(table, books, salts)))
+    salts = rows // (4 * BLOCK) + 1
+    # the state's size is known, so its tasks are: small states would be spread over many empty ones
+    tasks = max(8, rows * books.width * PARTS * 4 // TASK_BYTES)
+    state = stored(_blocks(_members(table, books, salts), tasks))
     for k in range(rounds):
         books = books.moved(_sums(state))
         if k == rounds - 1:
@@ -242,7 +246,7 @@ def fit_codebooks(table: DataFrame, first: np.ndarray, rounds: int = ROUNDS) ->
         # only the members that change entry are shuffled; the others lie where they lay
         salt = F.pmod(F.xxhash64("members"), F.lit(salts)).cast("int")
         movers = after.filter("moved").select("position", "entry", salt.alias("salt"), "width", F.col("members").alias("member"))
-        state = after.filter("not moved").unionByName(_blocks(movers))
+        state = after.filter("not moved").unionByName(_blocks(movers, tasks)).coalesce(tasks)
     return books
 
 
@@ -270,13 +274,12 @@ def compress_vectors(embeddings: DataFrame, rounds: int = ROUNDS) -> tuple[DataF
     """(vec_id, label, code, error) for every kept row, and the codebooks (None without rows)."""
     rows = _clean(embeddings)
     order = (null_id("vec_id"), F.col("vector"))
-    one = rows.orderBy(*order).limit(1).collect()
-    width = len(one[0].vector) if one else 0
-    table = rows.filter(F.size("vector") == width)
-    if not width:
+    sizes = rows.groupBy(F.size("vector").alias("width")).agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(*order)).alias("low")).orderBy("low").first()
+    if sizes is None:
         return rows.limit(0).select("vec_id", "label", F.lit("").alias("code"), F.lit(0).cast("long").alias("error")), None
+    table = rows.filter(F.size("vector") == sizes.width)
     first = np.array([r.vector for r in table.orderBy(*order).limit(ENTRIES).select("vector").collect()], np.float64)
-    books = fit_codebooks(table, first, rounds)
+    books = fit_codebooks(table, first, sizes.n, rounds)
     return encode(table, books), books
 
 
