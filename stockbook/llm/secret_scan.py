@@ -2,11 +2,13 @@
 
 Base spans come from three patterns. The method adds spans of kind
 ``entropy``: over candidate strings (long runs of key characters holding a
-digit and a letter) a window slides whose Shannon entropy is kept by counts -
-the entering and the leaving character change one term each of
-``sum(c * log2(c))``. Runs of windows above the threshold of the candidate's
-character class become spans, unless an allow-list pattern covers the
-candidate or the span meets a base span.
+digit and a letter) a window slides whose Shannon entropy is kept by counts: the
+accumulator holds the count of each character, five bits each, and the entering and
+the leaving character change one count and one term each of ``sum(c * log2(c))``.
+Runs of windows above the threshold of the candidate's character class become
+spans, unless an allow-list pattern covers the candidate or the span meets a base
+span. Long candidates are folded in stretches of ``STRETCH`` windows, whose runs are
+joined at the borders, so that time is linear in their length.
 
 Positions are code points, end exclusive. Defined cases: null and empty text
 have no spans; each row is scanned by itself, so repeated rows, ties and other
@@ -20,6 +22,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stockbook.llm.spans import hits, let, meeting
+
 KINDS = ("assign", "access", "hex", "entropy")
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]{12,}"  # maximal runs, so the same as + and a length test
@@ -33,7 +37,8 @@ ALLOW = (
     r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",
     r"^[0-9_/=+-]+$",
     r"(?i)abcdefghijklmnop|0123456789|example|sample|placeholder|test_?key",
-    r"^/?([A-Za-z]+[0-9]{0,4}[-_/=+]+){2,}[A-Za-z]*[0-9]{0,4}$",
+    # possessive: no stack frame a repetition
+    r"^/?(?:[A-Za-z]++[0-9]{0,4}+[-_/=+]++){2,}+[A-Za-z]*+[0-9]{0,4}+$",
 )
 
 _SPANS = "array<struct<start:int,kind:int,end:int>>"
@@ -43,69 +48,80 @@ def _none() -> Column:
     return F.array().cast(_SPANS)
 
 
-def _hits(text: Column, pattern: str) -> Column:
-    """Matches of ``pattern``: array<struct<start, end, hit, value>>, leftmost, not overlapping."""
-    group = 2 if pattern == ASSIGN else 0
-    empty = F.array().cast("array<struct<start:int,end:int,hit:string,value:string>>")
-    pieces = F.arrays_zip(
-        F.split(text, pattern, -1).alias("gap"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("hit"),
-        F.regexp_extract_all(text, F.lit(pattern), F.lit(group)).alias("value"))
-    walked = F.aggregate(
-        F.filter(pieces, lambda p: p["hit"].isNotNull()),
-        F.struct(F.lit(0).alias("at"), empty.alias("out")),
-        lambda acc, p: F.struct(
-            (acc["at"] + F.length(p["gap"]) + F.length(p["hit"])).alias("at"),
-            F.array_append(acc["out"], F.struct(
-                (acc["at"] + F.length(p["gap"])).alias("start"),
-                (acc["at"] + F.length(p["gap"]) + F.length(p["hit"])).alias("end"),
-                p["hit"].alias("hit"), p["value"].alias("value"))).alias("out")))
-    return F.when(text.rlike(pattern), walked["out"]).otherwise(empty)
-
-
 def _span(kind: int, start: Column, end: Column) -> Column:
     return F.struct(start.cast("int").alias("start"), F.lit(kind).alias("kind"), end.cast("int").alias("end"))
 
 
-def _term(n: Column) -> Column:
-    """c * log2(c), 0 at 0."""
-    return F.when(n <= 1, 0.0).otherwise(n * F.log2(n))
+#: The characters of candidates; a character's place is that of its count.
+ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
+STRETCH = 512
+_BITS, _EACH = 5, 12  # counts of up to 31 in five bits, twelve to a long
+_UNIT = 1 << 40  # terms are whole multiples of 2^-40, so sums do not drift
 
 
 def entropy_runs(candidate: Column, threshold: Column, window: int = WINDOW) -> Column:
     """Maximal stretches of ``candidate`` whose windows all reach ``threshold``: array<struct<start, end>>.
 
-    The accumulator holds the window's ``sum(c * log2(c))``, the start of the
-    open stretch (-1: none) and the closed ones; each step counts only the
-    entering and the leaving character.
+    ``window`` is 31 at most.
     """
-    runs = "array<struct<start:int,end:int>>"
-
-    def run(chars: Column) -> Column:
-        n = F.size(chars)
-
-        def count(first: Column, size: Column, ch: Column) -> Column:
-            return F.size(F.filter(F.slice(chars, first + 1, size), lambda c: c == ch))
-
-        def step(acc: Column, i: Column) -> Column:
-            old = F.greatest(i - window, F.lit(0))
-            enter, leave = F.get(chars, i), F.get(chars, F.greatest(i - window, F.lit(0)))
-            # entering: count among the window before it; leaving: after it
-            c_in = count(old, i - old, enter)
-            grown = acc["s"] + _term(c_in + 1) - _term(c_in)
-            c_out = count(old, i - old + 1, leave)
-            s = F.when(i >= window, grown + _term(c_out - 1) - _term(c_out)).otherwise(grown)
-            high = (i >= window - 1) & (F.lit(math.log2(window)) - s / window >= threshold)
-            start = F.when(high, F.when(acc["open"] < 0, i - window + 1).otherwise(acc["open"])).otherwise(-1)
-            closed = F.when(~high & (acc["open"] >= 0), F.array_append(
-                acc["done"], F.struct(acc["open"].alias("start"), i.alias("end")))).otherwise(acc["done"])
-            return F.struct(s.alias("s"), start.cast("int").alias("open"), closed.alias("done"))
-
-        zero = F.struct(F.lit(0.0).alias("s"), F.lit(-1).alias("open"), F.array().cast(runs).alias("done"))
-        return F.aggregate(F.sequence(F.lit(0), n - 1), zero, step, lambda acc: F.when(
-            acc["open"] >= 0, F.array_append(acc["done"], F.struct(acc["open"].alias("start"), n.alias("end")))
-        ).otherwise(acc["done"]))
-
-    return F.get(F.transform(F.array(F.split(candidate, "")), run), F.lit(0))
+    terms = F.array(*[F.lit(round(n * math.log2(n) * _UNIT) if n else 0) for n in range(window + 2)])
+    highest = F.floor((F.lit(math.log2(window)) - threshold) * window * _UNIT)
+    empty = F.array().cast("array<struct<start:int,end:int>>")
+
+    def one(place: Column) -> Column:
+        return F.call_function("shiftleft", F.lit(1).cast("long"), (place % _EACH * _BITS).cast("int"))
+
+    def folded(part: Column, base: Column, limit: Column) -> Column:
+        """Runs of high windows of one stretch of places, as window numbers from ``base`` on."""
+        def step(acc: Column, enter: Column) -> Column:
+            i = acc["i"]
+            full = i >= window
+            leave = F.when(full, F.get(part, i - window)).otherwise(F.lit(-1))
+
+            def count(place: Column) -> Column:
+                word = F.get(acc["counts"], (place / _EACH).cast("int"))
+                return F.call_function("shiftright", word, (place % _EACH * _BITS).cast("int")).bitwiseAND(F.lit((1 << _BITS) - 1).cast("long")).cast("int")
+
+            def next_step(c: Column) -> Column:
+                s = acc["s"] + F.get(terms, c["enter"] + 1) - F.get(terms, c["enter"])
+                s = F.when(full, s + F.get(terms, c["leave"] - 1) - F.get(terms, c["leave"])).otherwise(s)
+
+                def decide(s: Column) -> Column:
+                    at = base + i - (window - 1)
+                    high = (i >= window - 1) & (s <= limit)
+                    counts = F.transform(acc["counts"], lambda w, j: w
+                                         + F.when(j == (enter / _EACH).cast("int"), one(enter)).otherwise(F.lit(0).cast("long"))
+                                         - F.when(full & (j == (leave / _EACH).cast("int")), one(leave)).otherwise(F.lit(0).cast("long")))
+                    done = F.when(~high & (acc["open"] >= 0), F.array_append(
+                        acc["done"], F.struct(acc["open"].alias("start"), at.alias("end")))).otherwise(acc["done"])
+                    return F.struct((i + 1).alias("i"), counts.alias("counts"), s.alias("s"), F.when(high, F.when(
+                        acc["open"] < 0, at).otherwise(acc["open"])).otherwise(F.lit(-1)).alias("open"), done.alias("done"))
+                return let(s, decide)
+
+            entering = count(enter)
+            leaving = F.when(full, count(leave) + (leave == enter).cast("int")).otherwise(F.lit(1))
+            return let(F.struct(entering.alias("enter"), leaving.alias("leave")), next_step)
+
+        zero = F.struct(F.lit(0).alias("i"), F.array(*[F.lit(0).cast("long") for _ in range(-(-len(ALPHABET) // _EACH))]).alias("counts"),
+                        F.lit(0).cast("long").alias("s"), F.lit(-1).alias("open"), empty.alias("done"))
+        return F.aggregate(part, zero, step, lambda acc: F.when(acc["open"] >= 0, F.array_append(
+            acc["done"], F.struct(acc["open"].alias("start"), (base + acc["i"] - (window - 1)).alias("end")))).otherwise(acc["done"]))
+
+    def run(places: Column, limit: Column) -> Column:
+        blocks = F.sequence(F.lit(0), F.greatest(F.floor((F.size(places) - window) / STRETCH), F.lit(0)).cast("int"))
+        parts = F.transform(blocks, lambda b: let(
+            F.slice(places, b * STRETCH + 1, STRETCH + window - 1), lambda part: folded(part, b * STRETCH, limit)))
+
+        def joined(runs: Column) -> Column:
+            # a run that ends where the next one starts goes on over a border
+            starts, ends = F.transform(runs, lambda r: r["start"]), F.transform(runs, lambda r: r["end"])
+            pairs = F.arrays_zip(F.array_except(starts, ends).alias("s"), F.array_except(ends, starts).alias("e"))
+            return F.transform(pairs, lambda p: F.struct(p["s"].alias("start"), (p["e"] + (window - 1)).alias("end")))
+        return let(F.flatten(parts), joined)
+
+    places = F.transform(F.split(candidate, ""), lambda c: F.call_function("instr", F.lit(ALPHABET), c) - 1)
+    return F.when(F.length(candidate) < window, empty).otherwise(
+        let(highest, lambda limit: let(places, lambda p: run(p, limit))))
 
 
 def _entropy_spans(text: Column) -> Column:
@@ -117,18 +133,26 @@ def _entropy_spans(text: Column) -> Column:
         limit = F.when(word.rlike("^[0-9a-fA-F]+$"), THRESHOLDS["hex"]).otherwise(THRESHOLDS["base64"])
         return F.when(wanted, F.transform(entropy_runs(word, limit), lambda r: _span(
             3, hit["start"] + r["start"], hit["start"] + r["end"]))).otherwise(_none())
-    return F.flatten(F.transform(_hits(text, CANDIDATE), of))
+    return F.flatten(F.transform(hits(text, CANDIDATE), of))
+
+
+def _apart(base: Column, added: Column) -> Column:
+    """The added spans that meet no base span."""
+    def kept(items: Column) -> Column:
+        pairs = F.arrays_zip(items.alias("s"), meeting(items, lambda s: s["kind"] < 3, "kind").alias("m"))
+        return F.transform(F.filter(pairs, lambda p: (p["s"]["kind"] == 3) & (p["m"]["before"] < 0) & (p["m"]["after"] < 0)), lambda p: p["s"])
+    return F.when((F.size(base) == 0) | (F.size(added) == 0), added).otherwise(let(F.sort_array(F.concat(base, added)), kept))
 
 
 def scan_secrets(docs: DataFrame) -> DataFrame:
     """doc_id, base and added: arrays of (start, kind, end) sorted by start, kind an index into KINDS."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    assign = F.transform(F.filter(_hits(text, ASSIGN), lambda h: F.length(h["value"]) >= 8), lambda h: _span(0, h["start"], h["end"]))
-    access = F.transform(_hits(text, ACCESS), lambda h: _span(1, h["start"], h["end"]))
-    hexes = F.transform(_hits(text, HEX), lambda h: _span(2, h["start"], h["end"]))
-    found = docs.select("doc_id", F.sort_array(F.concat(assign, access, hexes)).alias("base"), _entropy_spans(text).alias("added"))
-    return found.select("doc_id", "base", F.filter("added", lambda a: ~F.exists(
-        "base", lambda b: (b["start"] < a["end"]) & (a["start"] < b["end"]))).alias("added"))
+    assign = F.transform(F.filter(hits(text, ASSIGN, 2), lambda h: F.length(h["value"]) >= 8), lambda h: _span(0, h["start"], h["end"]))
+    access = F.transform(hits(text, ACCESS), lambda h: _span(1, h["start"], h["end"]))
+    hexes = F.transform(hits(text, HEX), lambda h: _span(2, h["start"], h["end"]))
+    both = F.struct(F.sort_array(F.concat(assign, access, hexes)).alias("base"), _entropy_spans(text).alias("added"))
+    return docs.select("doc_id", let(both, lambda x: F.struct(
+        x["base"].alias("base"), _apart(x["base"], x["added"]).cast(_SPANS).alias("added"))).alias("found")).select("doc_id", "found.*")
 
 
 def span_text(spans: Column) -> Column:

@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -155,6 +156,30 @@ def test_secrets_match_brute_force(spark):
     assert any("entropy" in r.spans for r in got)
 
 
+def test_allow_list_keeps_its_verdicts_in_possessive_form():
+    rng = random.Random(3)
+    greedy = re.compile(r"^/?([A-Za-z]+[0-9]{0,4}[-_/=+]+){2,}[A-Za-z]*[0-9]{0,4}$")
+    for _ in range(200_000):
+        word = "".join(rng.choices(["a", "Zb", "1", "22", "-", "/", "_+", "12345"], k=rng.randrange(1, 9)))
+        assert bool(greedy.search(word)) == bool(re.search(secret_scan.ALLOW[3], word)), word
+
+
+def test_secrets_in_very_long_texts_and_strings(spark):
+    rng = random.Random(12)
+    n = 1_000_000
+    key = "".join(rng.choices(secret_scan.ALPHABET, k=20_000))
+    rows = [(k, t) for k, t in enumerate([
+        "a1-" * (n // 3) + "b", "/" + "ab/" * (n // 3), "-" * n, "a" * n, "1" * n, "a1" * (n // 2), " " * n, "f" * n, "AKIA" * (n // 4), "secret" * (n // 6),
+        "token" + " " * n + "=", "token=" * (n // 6), "A1+/_=-z" * (n // 8), "x1" + key, " ".join(key[k:k + 24] for k in range(20_000 - 24)),
+        "token: abcdefgh " * (n // 16), "".join(rng.choices(secret_scan.ALPHABET, k=n))])]
+    start = time.time()
+    found = {r.doc_id: r for r in secret_scan.secret_digest(secret_scan.scan_secrets(docs_of(spark, rows))).collect()}
+    assert time.time() - start < 180
+    assert found[13].spans == _spans("x1" + key)[1]
+    assert found[14].spans == _spans(rows[14][1])[1]
+    assert found[7].n_hex == 1 and found[8].n_access == 1 and found[15].n_assign == n // 16 and found[0].spans == ""
+
+
 # ------------------------------------------------------------ languages
 
 
