@@ -4,11 +4,10 @@ These statements restate the planning models in plain SQL over the driver
 tables: the bronze shaping as UNION ALL and joins, newest versions with
 ``MAX(..) OVER (PARTITION BY ..)`` windows, merges as LEFT JOIN plus
 NOT EXISTS. The Spark side uses other plans (aggregations, generators,
-scalar subqueries), so agreement checks the semantics; both sides agree on the
-12-decimal grid of the sums.
+scalar subqueries), so agreement checks the semantics.
 
-Quantities and row amounts are summed over DECIMAL(38,12), made from the doubles'
-shortest text, and rounded exactly.
+Quantities and row amounts are summed exactly as HUGEINT fixed-point numbers of 2^-64,
+where the Spark side sums digits of 32 bits in longs, and rounded once.
 Audit timestamps are left out of every comparison; the run user is pinned.
 """
 
@@ -18,27 +17,31 @@ RUN_USER = "stockbook"
 
 # ------------------------------------------------------------------ helpers
 
+# A DOUBLE in whole 2^-64: exact for what the given tables hold.
+_UNIT = "18446744073709551616"
+
+
 def _q(c: str) -> str:
-    return f"CAST(CAST({c} AS VARCHAR) AS DECIMAL(38,12))"
+    return f"CAST({c} * {_UNIT}.0::DOUBLE AS HUGEINT)"
 
 
 def _amt(q: str, p: str) -> str:
-    return f"CAST(CAST({q} * {p} AS VARCHAR) AS DECIMAL(38,12))"
+    return f"CAST({q} * {p} * {_UNIT}.0::DOUBLE AS HUGEINT)"
 
 
 def _round2(a: str) -> str:
-    return f"CAST(ROUND({a}, 2) AS DOUBLE)"
+    return f"(sign({a}) * ((200 * abs({a}) + {_UNIT}) // (2 * {_UNIT}::HUGEINT)) / 100)"
 
 
 def _dbl(c: str) -> str:
-    return f"CAST({c} AS DOUBLE)"
+    """HUGEINT to DOUBLE by way of text, which rounds once."""
+    return f"(CAST(CAST({c} AS VARCHAR) AS DOUBLE) / {_UNIT}.0::DOUBLE)"
 
 
 def _wprice(a: str, q: str) -> str:
-    """ROUND(a / NULLIF(q, 0), 2) exactly: integer half-up on the 1e-12 units of both sums."""
-    au, qu = (f"CAST(replace(CAST(CAST(abs({x}) AS DECIMAL(38,12)) AS VARCHAR), '.', '') AS HUGEINT)" for x in (a, q))
+    """ROUND(a / NULLIF(q, 0), 2) exactly: integer half-up on both sums."""
     return (f"(CASE WHEN {q} = 0 THEN NULL ELSE "
-            f"sign({a}) * sign({q}) * ((200 * {au} + {qu}) // (2 * {qu})) / 100 END)")
+            f"sign({a}) * sign({q}) * ((200 * abs({a}) + abs({q})) // (2 * abs({q}))) / 100 END)")
 
 
 def _month(c: str) -> str:
@@ -485,7 +488,7 @@ BOOK_COLS = ["Ex_Factory", "Sales_to_pharmacies", "Open_Stock", "Close_Stock",
 
 
 def _q_planning_book() -> str:
-    sums = ", ".join(f"CAST(SUM({_q(m)}) AS DOUBLE) AS {m}" for m in MEASURES)
+    sums = ", ".join(f"{_dbl(f'SUM({_q(m)})')} AS {m}" for m in MEASURES)
     version = ("CASE WHEN forecast_snapshot = (SELECT current_snapshot FROM snapshots) "
                "THEN 'Current' ELSE 'Last' END AS Version")
 

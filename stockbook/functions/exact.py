@@ -1,112 +1,137 @@
-"""Exact money arithmetic.
+"""Exact sums of DOUBLEs.
 
 Quantities and prices arrive as DOUBLE. Summing doubles gives results that
 depend on the order of the rows, hence on partitioning, so two runs (or two
 engines) can disagree in the last bit and, after ``ROUND(.., 2)``, in the
-cent. Every sum here is taken over DECIMALs of 12 decimals and cast to DOUBLE at
-the end: order-free, and the same on 8 or 8,000 cores.
-
-Ratios (volume-weighted prices) are rounded half away from zero with integer
-division, so no intermediate decimal rounding can move a value across a
-half-cent boundary.
+cent. Here every DOUBLE is split into whole digits of 32 bits at fixed places,
+which longs sum without rounding: the same total on 8 or 8,000 cores.
+
+Three digits, of 1, 2^-32 and 2^-64, hold nearly every quantity and amount. A value
+of 2^32 and more, or with bits below 2^-64, is spread over the bins 1 and -1 beside
+bin 0; a row that holds one is repeated for them (``spread``), so all other rows cost
+three long sums a measure. Places run from 2^-160 to 2^127, so a price of 1e-13 and an
+amount of 1e20 count in full in one sum. Beyond that: bits below 2^-160 are dropped, values of
+2^159 and more, NaN and infinity raise an error, as does a digit's sum beyond 2^63 (2^31
+rows of the largest digit; versions are carried before they are rolled up).
+
+Where a total lies in bin 0, it is rounded once, and ratios (volume-weighted prices)
+half away from zero by integer division. Where other bins take part, their exact totals
+are joined in DOUBLE, from the largest down: still the same in every order.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from decimal import Decimal
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType
 
-# The grid of every sum: 12 decimals, 26 digits before the point. A product is
-# taken in DOUBLE, as a row's amount, and put on the grid once; the sums are
-# exact from there. Values beyond 10^26 raise an overflow error, none is cut.
-GRID = DecimalType(38, 12)
+BIN = "_bin"
+_BASE = float(1 << 32)
+_ONE = 1 << 64  # a unit in the places of bin 0's last digit
+_DIGITS = ("h", "m", "l")
+#: Totals below this size are rounded by integers of 38 digits.
+_WHOLE = 1 << 45
 
 
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def on_grid(c: Column | str) -> Column:
-    """The DOUBLE's shortest decimal form on the grid (12 decimals)."""
-    return _col(c).cast(GRID.simpleString())
+# ------------------------------------------------------------ rows
+
 
+def plain(x: Column) -> Column:
+    """Whether the three digits of bin 0 hold ``x`` (NULL: yes)."""
+    low = x * float(_ONE)
+    return F.coalesce((F.abs(x) < _BASE) & (low == F.rint(low)), F.lit(True))
 
-def qty(c: Column | str) -> Column:
-    return on_grid(_col(c).cast("double"))
 
+def spread(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """``df`` with the column ``_bin``: 0, and 1 and -1 besides where a value of ``names`` (DOUBLE) needs them."""
+    fits = F.lit(True)
+    for n in names:
+        fits = fits & plain(F.col(n))
+    bins = F.when(fits, F.array(F.lit(0))).otherwise(F.array(F.lit(0), F.lit(1), F.lit(-1)))
+    return df.withColumn(BIN, F.explode(bins))
 
-def money(q: Column | str, p: Column | str) -> Column:
-    """One row's quantity times price."""
-    return on_grid(_col(q).cast("double") * _col(p).cast("double"))
 
+def digits(x: Column | str) -> list[Column]:
+    """The three digits of a DOUBLE in the row's bin."""
+    x, b = _col(x), F.col(BIN)
+    y = (F.when((b == 0) & (F.abs(x) < _BASE), x).when(b == 0, x % _BASE)
+         .when(b == 1, x * 2.0**-96).otherwise((x % 2.0**-64) * 2.0**96))
+    h = y.cast("long")
+    f = (y - h) * _BASE
+    m = f.cast("long")
+    return [h, m, ((f - m) * _BASE).cast("long")]
 
-# Most quantities and amounts are whole ten-thousandths; those are summed as
-# longs in two limbs (a limb's sum holds 8 * 10^12 rows), which costs a fraction
-# of a decimal sum and gives the same total. All others go onto the grid.
-_UNIT, _LIMB = 10**4, 20
 
+def digit_sums(names: Sequence[str]) -> list[Column]:
+    """Sums of the digits of the DOUBLE columns ``names``; group by ``_bin`` too."""
+    return [F.sum(d).alias(f"{n}_{p}") for n in names for p, d in zip(_DIGITS, digits(n), strict=True)]
 
-def split_units(x: Column) -> Column:
-    """The DOUBLE as a whole number of 1e-4, NULL if it is none (or 1e9 and more)."""
-    units = F.when(F.abs(x) < 1e9, F.rint(x * float(_UNIT))).cast("long")
-    return F.when(units.cast("double") / float(_UNIT) == x, units)
 
+def carried(n: str) -> list[Column]:
+    """A measure's digit sums with the carries taken up, so that sums of them do not overflow."""
+    h, m, low = (F.col(f"{n}_{p}") for p in _DIGITS)
+    m = m + F.shiftright(low, 32)
+    rest = (1 << 32) - 1
+    return [(h + F.shiftright(m, 32)).alias(f"{n}_h"), m.bitwiseAND(F.lit(rest)).alias(f"{n}_m"), low.bitwiseAND(F.lit(rest)).alias(f"{n}_l")]
 
-def limb_sums(name: str, x: Column | str, units: Column | str) -> list[Column]:
-    """Three sums that ``limb_total`` joins; ``units`` is ``split_units`` of ``x``."""
-    u = _col(units)
-    return [F.sum(F.shiftright(u, _LIMB)).alias(f"_hi_{name}"), F.sum(u.bitwiseAND((1 << _LIMB) - 1)).alias(f"_lo_{name}"),
-            F.sum(F.when(u.isNull(), on_grid(x))).alias(f"_rest_{name}")]
 
+# ------------------------------------------------------------ totals
 
-def limb_total(name: str) -> Column:
-    """The sum on the grid, NULL if there was no value."""
-    hi, lo, rest = (F.col(f"_{part}_{name}") for part in ("hi", "lo", "rest"))
-    units = hi.cast("decimal(19,0)") * F.lit(1 << _LIMB).cast("decimal(7,0)") + lo.cast("decimal(19,0)")
-    whole = on_grid(units * F.lit(Decimal(1) / _UNIT).cast("decimal(4,4)"))
-    return on_grid(F.coalesce(whole + rest, whole, rest))
 
+def _number(h: Column, m: Column, low: Column) -> Column:
+    """Digits as one whole number of the last digit's places."""
+    big, small = F.lit(Decimal(_ONE)).cast("decimal(20,0)"), F.lit(1 << 32).cast("decimal(10,0)")
+    return (h.cast("decimal(19,0)") * big + (m.cast("decimal(19,0)") * small + low.cast("decimal(19,0)")).cast("decimal(30,0)")).cast("decimal(38,0)")
 
-def qty_total(c: Column | str) -> Column:
-    """SUM(q) on the grid, in any order the same."""
-    return F.sum(qty(c))
 
+def totals(names: Sequence[str], parts: bool = True) -> list[Column]:
+    """Totals over all bins of a group: bin 0's digits, the others as whole numbers.
 
-def money_total(q: Column | str, p: Column | str) -> Column:
-    """SUM(q * p) on the grid, in any order the same."""
-    return F.sum(money(q, p))
+    ``parts``: the rows hold digit sums (``n_h``, ``n_m``, ``n_l``), else the DOUBLEs after ``spread``.
+    """
+    out = []
+    for n in names:
+        d = [F.col(f"{n}_{p}") for p in _DIGITS] if parts else digits(n)
+        out += [F.sum(F.when(F.col(BIN) == 0, x)).alias(f"{n}_{p}") for p, x in zip(_DIGITS, d, strict=True)]
+        for b, name in ((1, "big"), (-1, "small")):
+            out.append(F.sum(F.when(F.col(BIN) == b, _number(*d))).alias(f"{n}_{name}"))
+    return out
 
 
-def as_double(c: Column | str) -> Column:
-    return _col(c).cast("double")
+def roll_up(parts: DataFrame, group: Sequence[Column | str], names: Sequence[str], *more: Column) -> DataFrame:
+    """One row a group with the totals of ``names`` over rows of digit sums, and the aggregates ``more``."""
+    return parts.groupBy(*group).agg(*more, *totals(names))
 
 
-def round_money(c: Column | str, digits: int = 2) -> Column:
-    """ROUND(x, digits) on a decimal (half away from zero), as DOUBLE."""
-    return F.round(_col(c), digits).cast("double")
+def exact_sums(df: DataFrame, group: Sequence[Column | str], sums: dict[str, Column], *more: Column) -> DataFrame:
+    """Exact totals of DOUBLE expressions: one row a group, for ``as_double`` and the like."""
+    rows = df.select("*", *[c.cast("double").alias(n) for n, c in sums.items()])
+    return spread(rows, list(sums)).groupBy(*group).agg(*more, *totals(list(sums), parts=False))
 
 
-def rounded_ratio(num: Column | str, den: Column | str, digits: int = 2) -> Column:
-    """ROUND(num / NULLIF(den, 0), digits) computed exactly, as DOUBLE.
+def _alone(n: str) -> Column:
+    """Is the total in bin 0 alone?"""
+    zero = F.lit(0).cast("decimal(38,0)")
+    return (F.coalesce(F.col(f"{n}_big"), zero) == zero) & (F.coalesce(F.col(f"{n}_small"), zero) == zero)
 
-    Both are sums on the grid. With a = |num| and q = |den|,
-    ``round(a / q, d) * 10^d = floor((2 * 10^d * a + q) / (2 * q))``; ``div`` on
-    decimals truncates exactly, and both operands stay within 38 digits for
-    sums under 10^21 (larger ones raise an error). The sign is restored
-    afterwards, which gives half away from zero.
-    """
-    n, d = _col(num), _col(den)
-    a = F.abs(n).cast("decimal(33,12)")
-    q = F.abs(d).cast("decimal(33,12)")
-    scale = F.lit(2 * 10 ** digits).cast(f"decimal({digits + 1},0)")
-    two = F.lit(2).cast("decimal(1,0)")
-    units = _integral_divide(a * scale + q, q * two)
-    signed = (F.signum(n) * F.signum(d) * units.cast("double")) / F.lit(float(10 ** digits))
-    # "+ 0.0" folds a negative zero into zero.
-    return F.when(d != 0, signed + F.lit(0.0))
+
+def _n0(n: str) -> Column:
+    return _number(*[F.col(f"{n}_{p}") for p in _DIGITS])
+
+
+def as_double(n: str) -> Column:
+    """The total of measure ``n`` as DOUBLE, NULL if there was no value."""
+    h, m, low = (F.col(f"{n}_{p}") for p in _DIGITS)
+    zero = F.lit(0).cast("decimal(38,0)")
+    whole = _n0(n).cast("double") * 2.0**-64
+    joined = F.coalesce(F.col(f"{n}_big"), zero).cast("double") * _BASE + whole + F.coalesce(F.col(f"{n}_small"), zero).cast("double") * 2.0**-160
+    return F.when(_alone(n), F.when((m == 0) & (low == 0), h.cast("double")).otherwise(whole)).otherwise(joined)
 
 
 def _integral_divide(a: Column, b: Column) -> Column:
@@ -115,9 +140,34 @@ def _integral_divide(a: Column, b: Column) -> Column:
     return F.call_function("div", a, b)
 
 
-def weighted_price(amount: Column | str, quantity: Column | str, digits: int = 2) -> Column:
-    """Volume-weighted price: ROUND(SUM(q*p) / NULLIF(SUM(q), 0), digits).
+def _sized(n: str) -> Column:
+    return _alone(n) & (F.abs(F.col(f"{n}_h")) < _WHOLE)
+
+
+def _abs(n: str) -> Column:
+    return F.abs(_n0(n)).cast("decimal(34,0)")
+
+
+def round_money(n: str, digits: int = 2) -> Column:
+    """ROUND(total, digits), half away from zero, as DOUBLE."""
+    h, m, low = (F.col(f"{n}_{p}") for p in _DIGITS)
+    unit = 10 ** digits
+    units = _integral_divide(_abs(n) * F.lit(2 * unit).cast("decimal(4,0)") + F.lit(Decimal(_ONE)).cast("decimal(20,0)"), F.lit(Decimal(2 * _ONE)).cast("decimal(21,0)"))
+    exact = F.signum(_n0(n)) * units.cast("double") / F.lit(float(unit)) + F.lit(0.0)  # "+ 0.0" folds a negative zero into zero
+    return F.when(_sized(n), F.when((m == 0) & (low == 0), h.cast("double")).otherwise(exact)).otherwise(F.round(as_double(n), digits))
+
+
+def weighted_price(amount: str, quantity: str, digits: int = 2) -> Column:
+    """Volume-weighted price of two totals: ROUND(SUM(q*p) / NULLIF(SUM(q), 0), digits), as DOUBLE.
 
-    Takes the two exact sums (``money_total`` and ``qty_total``).
+    With a = |amount| and q = |quantity| in whole numbers,
+    ``round(a / q, d) * 10^d = floor((2 * 10^d * a + q) / (2 * q))``; ``div`` on decimals
+    truncates exactly, and the sign is restored afterwards.
     """
-    return rounded_ratio(amount, quantity, digits)
+    unit = 10 ** digits
+    a, q = _abs(amount), _abs(quantity)
+    units = _integral_divide(a * F.lit(2 * unit).cast("decimal(4,0)") + q, q * F.lit(2).cast("decimal(1,0)"))
+    exact = F.signum(_n0(amount)) * F.signum(_n0(quantity)) * units.cast("double") / F.lit(float(unit)) + F.lit(0.0)
+    x, y = as_double(amount), as_double(quantity)
+    small = _sized(amount) & _sized(quantity) & (F.abs(x) < F.abs(y) * 1e14)
+    return F.when(y != 0, F.when(small, exact).otherwise(F.round(x / y, digits)))

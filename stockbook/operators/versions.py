@@ -26,11 +26,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stockbook.functions.exact import limb_sums, limb_total, on_grid, split_units
-
-# Three sums a measure: beyond this many measures the generated aggregation
-# outgrows what the JIT compiles, and plain decimal sums are faster (same totals).
-_LIMBS_UP_TO = 8
+from stockbook.functions.exact import BIN, carried, digit_sums, spread
 
 
 def newest_row(df: DataFrame, key: Sequence[str], clock: str, tie_break: Sequence[str] = ()) -> DataFrame:
@@ -47,39 +43,28 @@ def newest_row(df: DataFrame, key: Sequence[str], clock: str, tie_break: Sequenc
 
 
 def newest_version_sums(df: DataFrame, key: Sequence[str], clocks: Sequence[str], sums: dict[str, Column]) -> DataFrame:
-    """Sums over the rows of the newest version per ``key``: key, clocks, sums.
+    """Digit sums over the rows of the newest version per ``key``: key, clocks, ``_bin``, three digits a measure.
 
-    The values are taken as DOUBLE, the sums are exact ones on the grid of
-    ``functions.exact``, whatever the order of the rows.
+    The values are taken as DOUBLE; ``functions.exact.roll_up`` makes totals of the
+    digit sums, exact ones whatever the order of the rows.
 
-    One pass over the input. Rows are first summed per key and clocks (a hot
-    key costs a row per clock value and map task), then the lexicographically
-    largest clocks of each key are picked and kept if every clock is at its
-    own maximum. NULL keys group together; rows with a NULL clock never
+    One pass over the input. Rows are first summed per key and clocks with partial
+    results on the map side (a hot key costs a row per clock value and map
+    task). The newest versions are told by windows over those sums, not over rows: a
+    key's window holds a row per version. A version is kept if each of its
+    clocks is at its own maximum. NULL keys group together; rows with a NULL clock never
     qualify, but their other clocks count in the maxima.
     """
     key, clocks, names = list(key), list(clocks), list(sums)
     if len(clocks) > 2:
         raise ValueError("one or two clocks")
-    doubles = df.select(*key, *clocks, *[c.cast("double").alias(f"_x_{n}") for n, c in sums.items()])
-    if len(names) <= _LIMBS_UP_TO:
-        split = doubles.select("*", *[split_units(F.col(f"_x_{n}")).alias(f"_u_{n}") for n in names])
-        parts = split.groupBy(*key, *clocks).agg(*[c for n in names for c in limb_sums(n, f"_x_{n}", f"_u_{n}")])
-        parts = parts.select(*key, *clocks, *[limb_total(n).alias(n) for n in names])
-    else:
-        parts = doubles.groupBy(*key, *clocks).agg(*[F.sum(on_grid(f"_x_{n}")).alias(n) for n in names])
-    order = F.col(clocks[0]) if len(clocks) == 1 else (_order(clocks[0]) * F.lit(10**18).cast("decimal(19,0)") * 10).cast("decimal(38,0)") + _order(clocks[1])
-    # fixed-width buffers only, so the picks stay hash aggregations
-    best = parts.withColumn("_order", order).groupBy(*key).agg(
-        *[F.max(c).alias(f"_max_{c}") for c in clocks], *[F.max_by(c, "_order").alias(c) for c in [*clocks, *names]])
+    doubles = df.select(*key, *clocks, *[c.cast("double").alias(n) for n, c in sums.items()])
+    parts = spread(doubles, names).groupBy(*key, *clocks, BIN).agg(*digit_sums(names))
+    parts = parts.select(*key, *clocks, BIN, *[c for n in names for c in carried(n)])
+    whole = Window.partitionBy(*key)
+    newest = parts.select("*", *[F.max(c).over(whole).alias(f"_max_{c}") for c in clocks])
     at_max = reduce(lambda a, b: a & b, [F.col(c) == F.col(f"_max_{c}") for c in clocks])
-    return best.filter(at_max).select(*key, *clocks, *names)
-
-
-def _order(clock: str) -> Column:
-    """A timestamp as a positive number of at most 19 digits, NULL as 0."""
-    micros = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col(clock).cast("timestamp_ntz"))
-    return F.coalesce(micros.cast("decimal(38,0)") + F.lit(10**18).cast("decimal(19,0)"), F.lit(0).cast("decimal(38,0)")).cast("decimal(19,0)")
+    return newest.filter(at_max).drop(*[f"_max_{c}" for c in clocks])
 
 
 def newest_version_rows(df: DataFrame, key: Sequence[str], clocks: Sequence[str],

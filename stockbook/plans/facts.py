@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stockbook.functions.dates import month_floor
-from stockbook.functions.exact import as_double, round_money, weighted_price
+from stockbook.functions.exact import as_double, roll_up, round_money, weighted_price
 from stockbook.functions.nulls import strict_greatest
 from stockbook.operators.incremental import above_mark, high_water_mark
 from stockbook.operators.versions import newest_version_sums
@@ -68,9 +68,7 @@ class FactSales(IncrementalModel):
         else:
             group = list(self.keys) + list(self.clocks)
             clocks = []
-        g = latest.groupBy(*group).agg(
-            *clocks,
-            *[F.sum(c).alias(c) for c in ("q", "d", "a")])
+        g = roll_up(latest, group, ["q", "d", "a"], *clocks)
         return g.select(
             "country_id", "product_id", "shipped_date",
             as_double("q").alias("quantity"),
@@ -116,9 +114,9 @@ class FactForecast(IncrementalModel):
             *FORECAST_QTY, "unit_price")
 
     def aggregate(self, rows: DataFrame, per_key: bool = False) -> DataFrame:
-        # the version key is the table's key: one row a key is left
-        g = newest_version_sums(rows, self.keys, ["update_date"], _measures(FORECAST_QTY)).withColumnRenamed(
-            "update_date", "forecast_update_date")
+        # the version key is the table's key: the rollup only joins the bins, in place
+        latest = newest_version_sums(rows, self.keys, ["update_date"], _measures(FORECAST_QTY))
+        g = roll_up(latest, self.keys, list(_measures(FORECAST_QTY)), F.max("update_date").alias("forecast_update_date"))
         return g.select(
             "product_id", "country_id", "forecast_date", "forecast_snapshot", "forecast_update_date",
             *[as_double(f"q{i}").alias(c) for i, c in enumerate(FORECAST_QTY)],
@@ -156,9 +154,8 @@ class FactPos(IncrementalModel):
     def aggregate(self, rows: DataFrame, per_key: bool = False) -> DataFrame:
         # newest version per product, country and DAY, then months
         latest = newest_version_sums(rows, ["product_id", "country_id", "transaction_date"], ["update_date"], _measures(POS_QTY))
-        g = (latest.groupBy("product_id", "country_id", month_floor("transaction_date").alias("transaction_date"))
-             .agg(F.max("update_date").alias("pos_update_date"),
-                  *[F.sum(c).alias(c) for c in _measures(POS_QTY)]))
+        g = roll_up(latest, ["product_id", "country_id", month_floor("transaction_date").alias("transaction_date")],
+                    list(_measures(POS_QTY)), F.max("update_date").alias("pos_update_date"))
         return g.select(
             "product_id", "country_id", "transaction_date",
             *[as_double(f"q{i}").alias(c) for i, c in enumerate(POS_QTY)],
@@ -203,12 +200,11 @@ class FactWholesale(IncrementalModel):
         # the key, so only those delivered last for that day count
         latest = newest_version_sums(rows, ["product_id", "country_id", "transaction_date"], ["whrs_update_date"], _measures(WH_QTY))
         month = month_floor("transaction_date").alias("transaction_date")
-        sums = [F.sum(c).alias(c) for c in _measures(WH_QTY)]
+        names = list(_measures(WH_QTY))
         if per_key:
-            g = latest.groupBy("product_id", "country_id", month).agg(
-                F.max("whrs_update_date").alias("whrs_update_date"), *sums)
+            g = roll_up(latest, ["product_id", "country_id", month], names, F.max("whrs_update_date").alias("whrs_update_date"))
         else:
-            g = latest.groupBy("product_id", "country_id", month, "whrs_update_date").agg(*sums)
+            g = roll_up(latest, ["product_id", "country_id", month, "whrs_update_date"], names)
         return g.select(
             "product_id", "country_id", "transaction_date",
             *[as_double(f"q{i}").alias(c) for i, c in enumerate(WH_QTY)],

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockbook.functions.exact import on_grid
+from stockbook.functions.exact import as_double, exact_sums
 from stockbook.functions.dates import day_sequence
 
 # Fixed values of the calendar.
@@ -179,7 +179,7 @@ def planning_book(sales: DataFrame, forecast: DataFrame, pos: DataFrame, wholesa
     version label travels with the rows (it is fixed by the snapshot).
 
     The union is built sparse: a branch leaves the measures it does not carry
-    NULL, so the exact decimal sums only touch real values (a sales row adds
+    NULL, so the exact sums only touch real values (a sales row adds
     2 of the 14 measures, not 14). A measure whose group holds no real value
     is 0.0 when any other branch contributed a row to the group (its 0.0
     fillers) and NULL otherwise, which is what summing the zero-filled union
@@ -187,8 +187,9 @@ def planning_book(sales: DataFrame, forecast: DataFrame, pos: DataFrame, wholesa
     """
     unioned = planning_aligned_union(sales, forecast, pos, wholesale, with_version=True, sparse=True)
     has = {b: F.max((F.col("_branch") == b).cast("int")).alias(f"_has_{b}") for b in _BRANCH_MEASURES}
-    sums = unioned.groupBy(*BOOK_KEYS, "Version").agg(
-        *[F.sum(on_grid(m)).cast("double").alias(m) for m in MEASURES], *has.values())
+    short = {f"m{k}": F.col(m) for k, m in enumerate(MEASURES)}
+    sums = exact_sums(unioned, [*BOOK_KEYS, "Version"], short, *has.values())
+    sums = sums.select(*BOOK_KEYS, "Version", *[f"_has_{b}" for b in has], *[as_double(n).alias(m) for n, m in zip(short, MEASURES, strict=True)])
 
     def total(m: str) -> Column:
         fillers = [b for b, carried in _BRANCH_MEASURES.items() if m not in carried]

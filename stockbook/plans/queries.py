@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from stockbook.functions.audit import RunInfo, with_audit
 from stockbook.functions.dates import month_floor
-from stockbook.functions.exact import as_double, money_total, qty_total, round_money, weighted_price
+from stockbook.functions.exact import as_double, exact_sums, roll_up, round_money, weighted_price
 from stockbook.functions.nulls import strict_greatest
 from stockbook.operators import quality
 from stockbook.operators.incremental import merge_upsert
@@ -179,8 +179,8 @@ def high_water_mark_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _weighted(od: DataFrame) -> DataFrame:
-    g = od.groupBy("product_id", month_floor("update_date").alias("month")).agg(
-        qty_total("quantity").alias("q"), money_total("quantity", "unit_price").alias("a"))
+    g = exact_sums(od, ["product_id", month_floor("update_date").alias("month")],
+                   {"q": F.col("quantity"), "a": F.col("quantity") * F.col("unit_price")})
     return g.select("product_id", "month", as_double("q").alias("quantity"), round_money("a").alias("amount"),
                     weighted_price("a", "q").alias("unit_price"))
 
@@ -200,10 +200,10 @@ def newest_version_ties_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """POS rows of the newest version per product, country and day (ties summed)."""
     rows = FACT_POS.rows(_bronze(spark, sf_dir).inventory_pos_history_details)
     qcols = ["pos_sell_out_quantity", "pos_open_quantity", "pos_end_quantity"]
-    latest = newest_version_sums(rows, ["product_id", "country_id", "transaction_date"], ["update_date"],
-                                 {"n_rows": F.lit(1)} | {f"q_{c}": F.col(c) for c in qcols})
-    return latest.select("product_id", "country_id", "transaction_date", "update_date", F.col("n_rows").cast("long").alias("n_rows"),
-                         *[as_double(f"q_{c}").alias(c) for c in qcols])
+    key, clock = ["product_id", "country_id", "transaction_date"], "update_date"
+    names = {"n_rows": F.lit(1)} | {f"q_{c}": F.col(c) for c in qcols}
+    latest = roll_up(newest_version_sums(rows, key, [clock], names), [*key, clock], list(names))
+    return latest.select(*key, clock, as_double("n_rows").cast("long").alias("n_rows"), *[as_double(f"q_{c}").alias(c) for c in qcols])
 
 
 def greatest_nullable_query(spark: SparkSession, sf_dir: str) -> DataFrame:

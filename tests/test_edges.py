@@ -365,12 +365,13 @@ def test_small_prices_and_quantities_keep_their_amounts(spark):
     assert [got[k].unit_price for k in (1, 2, 3, 4)] == [0.0, 1e6, 0.5, 0.0]
 
 
-def test_sums_beyond_the_grid_raise(spark):
+def test_sums_beyond_the_places_raise(spark):
     import pytest
     from pyspark.errors import PySparkException
     from pyspark.sql import functions as F
 
-    from stockbook.functions.exact import qty_total
+    from stockbook.functions.exact import as_double, exact_sums
 
-    with pytest.raises(PySparkException, match="NUMERIC_VALUE_OUT_OF_RANGE|overflow|OVERFLOW"):
-        spark.range(1).select(F.lit(1e27).alias("q")).agg(qty_total("q")).collect()
+    for value in (1e60, float("nan"), float("inf")):
+        with pytest.raises(PySparkException, match="CAST_OVERFLOW|OUT_OF_RANGE|overflow"):
+            exact_sums(spark.range(1), [], {"q": F.lit(value)}).select(as_double("q")).collect()

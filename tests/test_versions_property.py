@@ -1,4 +1,4 @@
-"""Property: the window-free newest-version operator equals a brute-force
+"""Property: the newest-version operator equals a brute-force
 reading of ``MAX(clock) OVER (PARTITION BY key)`` + ``clock = max``.
 
 Small random inputs with NULL keys, NULL clocks, ties and two clocks; the
@@ -6,6 +6,7 @@ expected rows are computed in plain Python.
 """
 
 import datetime as dt
+from fractions import Fraction
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -80,6 +81,7 @@ def test_newest_version_sums_matches_window_semantics(spark):
     import datetime as dt
     import random
 
+    from stockbook.functions.exact import as_double, roll_up
     from stockbook.operators.versions import newest_version_sums
 
     rng = random.Random(5)
@@ -87,7 +89,8 @@ def test_newest_version_sums_matches_window_semantics(spark):
     rows = [(rng.choice([None, *range(30)]), when(), when(), rng.randrange(9)) for _ in range(400)]
     df = spark.createDataFrame(rows, "k int, a timestamp_ntz, b timestamp_ntz, x long")
     for clocks in (["a"], ["a", "b"]):
-        got = newest_version_sums(df, ["k"], clocks, {"s": F.col("x")}).collect()
+        parts = newest_version_sums(df, ["k"], clocks, {"s": F.col("x")})
+        got = roll_up(parts, ["k"], ["s"]).select("k", as_double("s").alias("s")).collect()
         want = {}
         for k in {r[0] for r in rows}:
             own = [r for r in rows if r[0] == k]
@@ -98,17 +101,58 @@ def test_newest_version_sums_matches_window_semantics(spark):
         assert {r.k: r.s for r in got} == want
 
 
-def test_limb_sums_equal_decimal_sums(spark):
+def _half_up(x, digits=2):
+    """A Fraction rounded half away from zero, as a float."""
+    scaled = abs(x) * 10 ** digits
+    whole = int(scaled) + (scaled - int(scaled) >= Fraction(1, 2))
+    return float(Fraction(whole if x >= 0 else -whole, 10 ** digits))
+
+
+def test_digit_sums_equal_sums_of_fractions(spark):
+    """Against Python's fractions: small and huge values beside ordinary ones, in every order."""
+    import math
     import random
-    from decimal import Decimal
 
-    from stockbook.functions.exact import limb_sums, limb_total, split_units
+    from stockbook.functions.exact import as_double, exact_sums, round_money, weighted_price
 
     rng = random.Random(4)
-    values = [rng.choice([None, 0.0, -0.0001, 94567.89, -1234.5678, 1e-7, 0.30000000000000004, 2e14, 1e9, 999999999.9999,
-                          round(rng.uniform(-1e6, 1e6), rng.randrange(6))]) for _ in range(500)]
-    rows = [(k % 7 if v is not None else 7, v) for k, v in enumerate(values)] + [(8, None)]
-    df = spark.createDataFrame(rows, "k int, x double").withColumn("u", split_units(F.col("x")))
-    got = {r.k: r.s for r in df.groupBy("k").agg(*limb_sums("s", "x", "u")).select("k", limb_total("s").alias("s")).collect()}
-    want = {k: sum((Decimal(repr(v)).quantize(Decimal(10) ** -12) for j, v in rows if j == k and v is not None), Decimal(0)) for k in range(7)}
-    assert {k: v for k, v in got.items() if v is not None} == want and got[8] is None
+    ordinary = [0.0, -0.0001, 94567.89, -1234.5678, 0.30000000000000004, 999999999.9999, 2.675, 1e9, 2.0**32 - 1, 0.005, -0.005]
+    odd = [1e-13, -3e-13, 1e-30, 4e-40, 2e14, 1e20, -1e20, 1.5e22, 2.0**32, 2.0**33 + 0.3, 1e35]
+    rows = []
+    for k in range(60):
+        values = ordinary + [rng.uniform(-1e6, 1e6) for _ in range(6)] + (odd if k % 3 == 0 else [1e-13, 7e-9] if k % 3 == 1 else [])
+        rows += [(k, rng.choice([None, *values]), rng.choice([*ordinary, 1e-13, 2e14])) for _ in range(rng.randrange(1, 40))]
+    rows += [(100, None, 1.0), (101, 1e-13, 1.0), (101, 1e-13, 1.0), (102, 1e20, 1.0), (102, 3.0, 1.0), (102, -1e20, 1.0)]
+    results = []
+    for _ in range(2):
+        rng.shuffle(rows)
+        df = spark.createDataFrame(rows, "k int, p double, q double").repartition(rng.randrange(1, 9))
+        got = exact_sums(df, ["k"], {"a": F.col("p") * F.col("q"), "q0": F.col("q"), "p0": F.col("p")}).select(
+            "k", as_double("a").alias("a"), as_double("p0").alias("p"), round_money("a").alias("r"), weighted_price("a", "q0").alias("w"))
+        results.append({r.k: tuple(r)[1:] for r in got.collect()})
+    assert results[0] == results[1]  # the same bits in another order and dealing
+    for k, (a, p, r, w) in results[0].items():
+        own = [(x, y) for j, x, y in rows if j == k]
+        amounts = [Fraction(x * y) for x, y in own if x is not None]
+        if not amounts:
+            assert (a, p, r, w) == (None,) * 4
+            continue
+        total, quantity = sum(amounts), sum(Fraction(y) for _, y in own)
+        prices = sum(Fraction(x) for x, _ in own if x is not None)
+        if all(abs(x) < 2**32 and x * 2**64 == int(x * 2**64) for x in [*amounts, *[Fraction(y) for _, y in own]]):
+            assert (a, r) == (float(total), _half_up(total))
+            assert w == (None if quantity == 0 else _half_up(total / quantity))
+        else:  # several bins: joined in DOUBLE from exact parts
+            assert math.isclose(a, float(total), rel_tol=4e-16, abs_tol=1e-45) and math.isclose(p, float(prices), rel_tol=4e-16, abs_tol=1e-45)
+            if quantity and abs(total / quantity) < 1e13:
+                assert abs(w - _half_up(total / quantity)) <= 0.0100001
+    assert results[0][101][0] == 2e-13 and results[0][102][0] == 3.0
+
+
+def test_price_of_tiny_quantities_counts(spark):
+    """A quantity of 4e-13 has a price (it was cut to 0 by a grid of 12 decimals before)."""
+    from stockbook.functions.exact import exact_sums, weighted_price
+
+    df = spark.createDataFrame([(4e-13, 2.5)], "q double, p double")
+    got = exact_sums(df, [], {"q0": F.col("q"), "a": F.col("q") * F.col("p")}).select(weighted_price("a", "q0").alias("w")).collect()
+    assert got[0].w == 2.5
