@@ -139,15 +139,16 @@ FROM run r JOIN goal g ON r.source IS NOT DISTINCT FROM g.source
 
 _OP8 = r"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
-l AS (SELECT r, doc_id, i, ls[i] AS line, len(regexp_extract_all(ls[i], '[^\x20\x09-\x0D]+')) AS n
+l AS (SELECT r, doc_id, i, ls[i] AS line, greatest(len(regexp_extract_all(ls[i], '[^\x20\x09-\x0D]+')),
+             length(regexp_replace(ls[i], '[\x20\x09-\x0D]', '', 'g')) // 6) AS n
       FROM (SELECT r, doc_id, ls, unnest(range(1, len(ls) + 1)) AS i FROM d)),
 w AS (SELECT *, row_number() OVER (PARTITION BY r ORDER BY i) AS k, sum(n) OVER (PARTITION BY r ORDER BY i) AS c FROM l WHERE n > 0),
 shortest AS (
-  SELECT a.r, a.doc_id, a.k AS s, b.k AS e FROM w a JOIN w b ON a.r = b.r AND b.k BETWEEN a.k AND a.k + 10
-   AND b.c - a.c + a.n >= 10 AND b.c - b.n - a.c + a.n < 10
+  SELECT a.r, a.doc_id, a.k AS s, b.k AS e FROM w a JOIN w b ON a.r = b.r AND b.k BETWEEN a.k AND a.k + 3
+   AND b.c - a.c + a.n >= 3 AND b.c - b.n - a.c + a.n < 3
   UNION
-  SELECT a.r, a.doc_id, a.k, b.k FROM w a JOIN w b ON a.r = b.r AND b.k BETWEEN a.k AND a.k + 10
-   AND b.c - a.c + a.n >= 10 AND b.c - a.c < 10),
+  SELECT a.r, a.doc_id, a.k, b.k FROM w a JOIN w b ON a.r = b.r AND b.k BETWEEN a.k AND a.k + 3
+   AND b.c - a.c + a.n >= 3 AND b.c - a.c < 3),
 named AS (
   SELECT x.r, x.doc_id, s, e, string_agg(w.line, chr(10) ORDER BY w.k) AS body
   FROM shortest x JOIN w ON w.r = x.r AND w.k BETWEEN s AND e GROUP BY x.r, x.doc_id, s, e),

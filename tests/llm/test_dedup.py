@@ -180,14 +180,18 @@ def test_repeated_bytes_empty_null_and_equal_rows(spark):
 # ------------------------------------------------------------ lines
 
 
-def _brute_lines(rows, min_words):
-    docs = [[(n, line, len(words(line))) for n, line in enumerate((t or "").split("\n")) if words(line)] for _, t in rows]
+def _line_size(line):
+    return max(len(words(line)), sum(map(len, words(line))) // 6)
+
+
+def _brute_lines(rows, min_size):
+    docs = [[(n, line, _line_size(line)) for n, line in enumerate((t or "").split("\n")) if words(line)] for _, t in rows]
     seen, gone = set(), [set() for _ in rows]
     for d, lines in enumerate(docs):
         for i in range(len(lines)):
             for j in range(i + 1, len(lines) + 1):
                 run = tuple(x[1] for x in lines[i:j])
-                if sum(x[2] for x in lines[i:j]) >= min_words:
+                if sum(x[2] for x in lines[i:j]) >= min_size:
                     if run in seen:
                         gone[d] |= {x[0] for x in lines[i:j]}
                     seen.add(run)
@@ -196,11 +200,11 @@ def _brute_lines(rows, min_words):
 
 def test_lines_match_brute_force_over_all_runs(spark):
     rng = random.Random(9)
-    pool = [prose(rng, rng.choice([1, 2, 3, 12]), 50) for _ in range(14)] + ["", "  "]
+    pool = [prose(rng, rng.choice([1, 1, 2, 2, 3, 12]), 50) for _ in range(16)] + ["", "  ", "漢字" * 8, "漢字" * 9, "é😀" * 9, "Yes."]
     rows = [(k, "\n".join(rng.choice(pool) for _ in range(rng.randrange(12)))) for k in range(60)]
     rows += [(100, None), (101, ""), (102, "\n\n"), (103, "\n".join(pool * 3))]
     df = docs_of(spark, rows).selectExpr("*", "1 AS id", "2 AS h", "3 AS cut", "4 AS sb_kept")
-    kept, gone = _brute_lines(rows, line_dedup.MIN_WORDS)
+    kept, gone = _brute_lines(rows, line_dedup.MIN_SIZE)
     got = {r.doc_id: r for r in line_dedup.line_report(df).collect()}
     for (i, _), text, g in zip(rows, kept, gone, strict=True):
         assert (got[i].kept_sha256, got[i].n_removed) == (hashlib.sha256(text.encode()).hexdigest(), len(g)), i
