@@ -613,9 +613,10 @@ def _q_orphan_keys() -> str:
 
 
 def _q_orphan_names() -> str:
-    return _with(BRONZE + [_cut("b_products"), ("d", products_sql("b_products"))],
-                 "SELECT product_id, product_name FROM d WHERE lower(trim(product_name)) NOT IN "
-                 "(SELECT lower(product_name) FROM b_products_cut)")
+    return _with(BRONZE + [("d", products_sql("b_products"))], """
+SELECT product_id, CASE product_id % 3 WHEN 0 THEN '  ' || upper(product_name) WHEN 1 THEN lower(product_name) || ' '
+                   ELSE product_name END AS product_name
+FROM d WHERE lower(trim(product_name)) NOT IN (SELECT lower(trim(product_name)) FROM b_products WHERE length(product_name) % 4 <> 1)""")
 
 
 def _q_check_duplicate_customers() -> str:

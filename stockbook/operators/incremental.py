@@ -11,13 +11,12 @@ nothing is collected to the driver by our code and no join is planned.
 * source only: the whole source row is inserted;
 * target only: unchanged.
 
-It is laid out so that a small source never forces a shuffle of the large
-target: the source is reduced to one row per key (with its row count), the
-target is streamed through a left join against it, and the keys that matched
-are found by a semi join whose build side is again the source. Adaptive
-execution turns both into broadcast hash joins when the source proves small
-at run time and keeps sort-merge joins otherwise. No step gathers all rows
-of a key in one task: duplicate detection is a partial aggregation.
+In ``error`` mode the source is reduced to one row per key (with its row count),
+joined to the target from the left, and the matched keys are found by a semi join.
+A source small enough for a broadcast at plan time leaves the target unshuffled;
+otherwise both sides are shuffled by the key. In ``combine`` mode one full outer join
+and a window shuffle the target by the key. Duplicates are told by a partial
+aggregation; no step gathers all source rows of a key in one task.
 """
 
 from __future__ import annotations
@@ -170,20 +169,3 @@ def _merge_one_each(target: DataFrame, src: DataFrame, keys: list[str], update_c
     out = both.select(*[e.alias(c) for c, e in own.items()], matched.alias("_matched"), apart.alias("_apart"))
     w = Window.partitionBy(*keys, "_apart").orderBy(*[F.col(c).asc_nulls_last() for c in rest] or [F.lit(1)])
     return out.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").select(*cols)
-
-
-def merge_into_table(source: DataFrame, table: str, keys: Sequence[str], update_cols: Sequence[str]) -> None:
-    """MERGE into a catalog table whose format supports row-level changes.
-
-    For Delta or Iceberg tables this hands the merge to the table format
-    (``DataFrame.mergeInto``): matched rows get ``update_cols`` from the
-    source, unmatched source rows are inserted whole. Plain parquet tables
-    reject row-level MERGE; use ``merge_upsert`` with ``sources.tables``.
-    """
-    src = source.alias("s")
-    t = table.split(".")[-1]
-    cond = reduce(lambda a, b: a & b, [F.col(f"s.{k}") == F.col(f"{t}.{k}") for k in keys])
-    (src.mergeInto(table, cond)
-     .whenMatched().update({c: F.col(f"s.{c}") for c in update_cols if c not in keys})
-     .whenNotMatched().insertAll()
-     .merge())
