@@ -11,12 +11,12 @@ nothing is collected to the driver by our code and no join is planned.
 * source only: the whole source row is inserted;
 * target only: unchanged.
 
-In ``error`` mode the source is reduced to one row per key (with its row count),
-joined to the target from the left, and the matched keys are found by a semi join.
-A source small enough for a broadcast at plan time leaves the target unshuffled;
-otherwise both sides are shuffled by the key. In ``combine`` mode one full outer join
-and a window shuffle the target by the key. Duplicates are told by a partial
-aggregation; no step gathers all source rows of a key in one task.
+Both modes are one full outer join: source and target are each read once, and the
+windows before it (source rows counted per key in ``error`` mode, target rows of a
+key numbered in ``combine`` mode) need the join's own partitioning and order, so
+neither side is shuffled a second time. A target stored in buckets by the key
+(``sources.keyed_tables``) is not shuffled at all: the source alone moves to it.
+Rows of a key stream through their task; none are gathered in memory.
 """
 
 from __future__ import annotations
@@ -92,6 +92,7 @@ def merge_upsert(
     update_cols: Sequence[str],
     on_duplicate: str = "error",
     combine: Callable[[DataFrame], DataFrame] | None = None,
+    buckets: int | None = None,
 ) -> DataFrame:
     """MERGE ``source`` INTO ``target`` ON keys; see the module notes.
 
@@ -100,8 +101,11 @@ def merge_upsert(
         the job (the warehouse MERGE raises a non-deterministic-merge error);
       * ``"combine"``: ``combine(source)`` first reduces the source to one row
         per key, and target rows that share a matched key collapse into one
-        updated row, so sums over the table count the key once. Source and
-        target are each read once, by one full outer join.
+        updated row, so sums over the table count the key once. The order of
+        their remaining columns decides whose remaining columns stay.
+
+    ``buckets``: the number of buckets by ``keys`` that the target is stored in, if any;
+    the source is dealt to as many, so that Spark has no reason to move the target.
     """
     keys, update_cols = list(keys), list(update_cols)
     cols = target.columns
@@ -115,57 +119,25 @@ def merge_upsert(
     elif on_duplicate != "error":
         raise MergeError(f"unknown on_duplicate={on_duplicate!r}")
 
-    src = source.select(*cols)
-    if on_duplicate == "combine":
-        return _merge_one_each(target, src, keys, update_cols)
-
-    # 1. every target row, updated where a source row matches. The source is
-    #    first reduced to one row per key (a partial aggregation, so a hot key
-    #    costs one row per map task) together with its row count; the update
-    #    values are only used where that count is 1.
-    upd = [c for c in update_cols if c not in keys]
-    s = src.groupBy(*keys).agg(
-        *[F.any_value(c).alias(f"_s_{c}") for c in upd],
-        F.count(F.lit(1)).alias("_n"))
-    s = s.select(*[F.col(k).alias(f"_s_{k}") for k in keys], *[f"_s_{c}" for c in upd], "_n")
-    cond = reduce(lambda a, b: a & b, [target[k] == s[f"_s_{k}"] for k in keys])
-    joined = target.join(s, cond, "left")
-    matched = F.col("_n").isNotNull()
-    out = []
-    for c in cols:
-        if c in upd:
-            out.append(F.when(matched, F.col(f"_s_{c}")).otherwise(F.col(c)).alias(c))
-        else:
-            out.append(F.col(c))
-    guard = F.when(matched & (F.col("_n") > 1),
-                   F.raise_error(F.lit("merge: a target row matches several source rows"))
-                   ).otherwise(F.lit(True))
-    joined = joined.filter(guard.cast("boolean"))
-    updated = joined.select(*out)
-
-    # 2. source rows whose key is in no target row
-    src_keys = src.select(*keys)
-    hit = target.select(*keys).join(src_keys, keys, "left_semi")
-    inserted = src.join(hit.distinct(), keys, "left_anti").select(*cols)
-    return updated.unionByName(inserted)
-
-
-def _merge_one_each(target: DataFrame, src: DataFrame, keys: list[str], update_cols: list[str]) -> DataFrame:
-    """Full outer join of the target and a source with one row per key.
-
-    The order of a key's target rows decides which one's remaining columns
-    stay; it is fixed by those columns themselves.
-    """
-    cols = target.columns
+    keep_one = on_duplicate == "combine"
     rest = [c for c in cols if c not in keys and c not in update_cols]
     t = target.select(*[F.col(c).alias(f"_t_{c}") for c in cols], F.lit(True).alias("_in_t"))
-    s = src.select(*cols, F.lit(True).alias("_in_s"))
-    cond = reduce(lambda a, b: a & b, [t[f"_t_{k}"] == s[k] for k in keys])
-    both = t.join(s, cond, "full_outer")
-    matched = F.col("_in_t").isNotNull() & F.col("_in_s").isNotNull()
-    own = {c: F.when(F.col("_in_t").isNull() | (matched & F.lit(c in update_cols)), F.col(c)).otherwise(F.col(f"_t_{c}")) for c in cols}
-    # matched rows of a key meet in one partition, all others stay spread and are kept
-    apart = F.when(~matched, F.monotonically_increasing_id())
-    out = both.select(*[e.alias(c) for c, e in own.items()], matched.alias("_matched"), apart.alias("_apart"))
-    w = Window.partitionBy(*keys, "_apart").orderBy(*[F.col(c).asc_nulls_last() for c in rest] or [F.lit(1)])
-    return out.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").select(*cols)
+    s = source.select(*cols, F.lit(True).alias("_in_s"))
+    if buckets:
+        s = s.repartition(buckets, *keys)
+    if keep_one:
+        order = [F.col(f"_t_{c}").asc_nulls_last() for c in rest] or [F.lit(1)]
+        t = t.withColumn("_rn", F.row_number().over(Window.partitionBy(*[f"_t_{k}" for k in keys]).orderBy(*order)))
+    else:
+        s = s.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(*keys)))
+    both = t.join(s, reduce(lambda a, b: a & b, [t[f"_t_{k}"] == s[k] for k in keys]), "full_outer")
+    in_t, in_s = F.col("_in_t").isNotNull(), F.col("_in_s").isNotNull()
+    if keep_one:
+        both = both.filter(~(in_t & in_s) | (F.col("_rn") == 1))
+    else:
+        stop = F.raise_error(F.lit("merge: a target row matches several source rows"))
+        both = both.filter(F.when(in_t & in_s & (F.col("_n") > 1), stop).otherwise(F.lit(True)).cast("boolean"))
+    upd = {c for c in update_cols if c not in keys}
+    return both.select(*[
+        (F.when(in_s, F.col(c)).otherwise(F.col(f"_t_{c}")) if c in upd
+         else F.when(in_t, F.col(f"_t_{c}")).otherwise(F.col(c))).alias(c) for c in cols])

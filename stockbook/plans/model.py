@@ -63,16 +63,16 @@ class IncrementalModel:
         return with_audit(self.aggregate(self.rows(*inputs)), run, first_load=True)
 
     def incremental(self, *inputs: DataFrame, target: DataFrame, run: RunInfo = RunInfo(),
-                    mode: str = "recompute", on_duplicate: str = "error") -> DataFrame:
-        """The whole new target after one incremental run (lazy)."""
+                    mode: str = "recompute", on_duplicate: str = "error", buckets: int | None = None) -> DataFrame:
+        """The whole new target after one incremental run (lazy); ``buckets`` as in ``merge_upsert``."""
         if mode not in MODES:
             raise ValueError(f"mode must be one of {MODES}")
         rows = self.rows(*inputs)
         return self.incremental_from(rows, self.changed(rows, target), target=target, run=run, mode=mode,
-                                     on_duplicate=on_duplicate)
+                                     on_duplicate=on_duplicate, buckets=buckets)
 
     def incremental_from(self, rows: DataFrame, changed: DataFrame, target: DataFrame, run: RunInfo = RunInfo(),
-                         mode: str = "recompute", on_duplicate: str = "error") -> DataFrame:
+                         mode: str = "recompute", on_duplicate: str = "error", buckets: int | None = None) -> DataFrame:
         """As ``incremental`` with the changed rows given (e.g. a stream's new files)."""
         if mode not in MODES:
             raise ValueError(f"mode must be one of {MODES}")
@@ -80,7 +80,7 @@ class IncrementalModel:
             per_key = on_duplicate == "combine"
             src = with_audit(self.aggregate(changed, per_key=per_key), run, first_load=False)
             return merge_upsert(target, src, self.keys, self.update_cols,
-                                on_duplicate=on_duplicate, combine=(lambda s: s) if per_key else None)
+                                on_duplicate=on_duplicate, combine=(lambda s: s) if per_key else None, buckets=buckets)
         return self._recompute(rows, changed, target, run)
 
     def touched_partitions(self, *inputs: DataFrame, target: DataFrame) -> DataFrame:

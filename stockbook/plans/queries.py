@@ -10,7 +10,8 @@ the audit users are pinned so outputs repeat.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import uuid
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,6 +29,7 @@ from stockbook.plans.facts import FACT_FORECAST, FACT_POS, FACT_SALES, FACT_WHOL
 from stockbook.session import ensure_checkpoint_dir
 from stockbook.sources.bronze import Bronze
 from stockbook.sources.driver_tables import before_cut, bronze_from_driver
+from stockbook.sources.keyed_tables import keyed_frame
 
 RUN = RunInfo(user="stockbook")
 _HIDDEN = ("update_ts", "insert_ts")
@@ -49,6 +51,21 @@ def _stored(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def _stored_table(df: DataFrame) -> DataFrame:
+    """The same as a Parquet table in the shared folder: later readers take the columns they need."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def _stored_by_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The same, stored in buckets of the merge key (``sources.keyed_tables``): a merge leaves it unshuffled."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/keyed-{uuid.uuid4().hex}"
+    return keyed_frame(df, path, keys, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 def _bronze(spark: SparkSession, sf_dir: str) -> Bronze:
     return bronze_from_driver(spark, sf_dir)
 
@@ -112,16 +129,20 @@ def _fact_incremental(name: str, mode: str) -> Callable[[SparkSession, str], Dat
         b = _bronze(spark, sf_dir)
         customers = _customers(b)
         model = _MODELS[name]
-        target = _stored(model.full(*_fact_inputs(name, before_cut(b), customers), run=RUN))
+        old = model.full(*_fact_inputs(name, before_cut(b), customers), run=RUN)
+        target = _stored_by_key(old, model.keys) if mode == "delta" else _stored(old)
         return _visible(model.incremental(*_fact_inputs(name, b, customers), target=target, run=RUN,
                                           mode=mode, on_duplicate=_COMBINE[name]))
     return run
 
 
-def _silver(b: Bronze) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+def _silver(b: Bronze, store_forecast: bool = False) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """The four facts. The book reads the forecast twice, its newest snapshot and its
+    rows; stored first, as on a lake, the fact is computed once."""
+    keep = _stored_table if store_forecast else (lambda df: df)
     customers = _customers(b)
     return (FACT_SALES.full(*_fact_inputs("sales", b, customers), run=RUN),
-            FACT_FORECAST.full(*_fact_inputs("forecast", b, customers), run=RUN),
+            keep(FACT_FORECAST.full(*_fact_inputs("forecast", b, customers), run=RUN)),
             FACT_POS.full(*_fact_inputs("pos", b, customers), run=RUN),
             FACT_WHOLESALE.full(*_fact_inputs("wholesale", b, customers), run=RUN))
 
@@ -144,11 +165,11 @@ def planning_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def planning_aligned_union(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gold.planning_aligned_union(*_silver(_bronze(spark, sf_dir)))
+    return gold.planning_aligned_union(*_silver(_bronze(spark, sf_dir), store_forecast=True))
 
 
 def planning_book(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gold.planning_book(*_silver(_bronze(spark, sf_dir)))
+    return gold.planning_book(*_silver(_bronze(spark, sf_dir), store_forecast=True))
 
 
 # ------------------------------------------------------------ operators

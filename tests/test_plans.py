@@ -29,6 +29,14 @@ def test_book_has_no_pair_producing_join(spark):
     assert "Subquery" in plan          # the snapshot marks
 
 
+def test_book_computes_the_forecast_once(spark):
+    """The marks and the branch read the stored forecast: lineitem serves each other fact once."""
+    plan = _plan(spark, "planning_book")
+    assert plan.count("/lineitem.parquet") == 3                # sales, POS, wholesale
+    marks = [x for x in plan.split("\n") if "FileScan" in x and "/table-" in x and "pos_end_amount" not in x]
+    assert marks and all("ReadSchema: struct<forecast_snapshot:date>" in x for x in marks)
+
+
 def test_scans_read_only_needed_columns(spark):
     plan = _plan(spark, "dim_customers_full")
     assert "ReadSchema: struct<c_custkey:bigint,c_name:string,c_nationkey:int,c_mktsegment:string>" in plan
