@@ -9,7 +9,7 @@ scalar subqueries), so agreement checks the semantics; both sides agree on the
 
 Quantities and row amounts are summed over DECIMAL(38,12), made from the doubles'
 shortest text, and rounded exactly.
-Audit timestamps are left out of every comparison; the run user is pinned.
+Audit timestamps are left out of every comparison but ``audit_stamps``; the run user is pinned.
 """
 
 from __future__ import annotations
@@ -538,6 +538,16 @@ def _q_merge_upsert() -> str:
     return _with(ctes, "SELECT * FROM merged")
 
 
+def _q_audit_stamps() -> str:
+    """Who is stamped follows from the delivery's date alone: before April, up to the cut, from the cut on."""
+    first, second = "TIMESTAMP '2001-01-01 02:03:04'", "TIMESTAMP '2001-02-01 02:03:04'"
+    old, new = f"update_date < {_ts(CUTS['b_customers'])}", f"update_date >= {_ts('2000-04-01')}"
+    return _with(BRONZE, f"""
+SELECT customer_id, CASE WHEN {new} THEN {second} ELSE {first} END AS update_ts, CASE WHEN {old} THEN {first} END AS insert_ts,
+       CASE WHEN {new} THEN 'second' ELSE 'first' END AS updated_by, CASE WHEN {old} THEN 'first' END AS inserted_by
+FROM b_customers""")
+
+
 def _q_high_water_mark() -> str:
     """Order lines newer than the newest clock that the target built before the cut holds.
 
@@ -644,6 +654,8 @@ def all_sql() -> dict[str, str]:
     }
     for f in (_fact_sales, _fact_forecast, _fact_pos, _fact_wholesale):
         out.update(f())
+    # a fact kept by its state equals a full refresh
+    out |= {f"fact_{f}_state": out[f"fact_{f}_full"] for f in ("sales", "forecast", "pos", "wholesale")}
     out.update({
         "gold_products": _q_gold_products(),
         "gold_regions": _q_gold_regions(),
@@ -651,6 +663,7 @@ def all_sql() -> dict[str, str]:
         "planning_aligned_union": _q_planning_aligned_union(),
         "planning_book": _q_planning_book(),
         "merge_upsert": _q_merge_upsert(),
+        "audit_stamps": _q_audit_stamps(),
         "high_water_mark": _q_high_water_mark(),
         "weighted_price": _q_weighted_price(),
         "weighted_price_fine": _q_weighted_price("(quantity * 1000)", "(unit_price / 16384)"),

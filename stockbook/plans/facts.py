@@ -16,7 +16,6 @@ from stockbook.functions.dates import month_floor
 from stockbook.functions.exact import as_double, round_money, weighted_price
 from stockbook.functions.nulls import strict_greatest
 from stockbook.operators.incremental import above_mark, high_water_mark
-from stockbook.operators.versions import newest_version_sums
 from stockbook.plans.model import IncrementalModel
 
 
@@ -34,6 +33,7 @@ class FactSales(IncrementalModel):
     update_cols = ("quantity", "discount", "amount", "unit_price", "order_details_update_date",
                    "order_update_date", "update_ts", "updated_by")
     partition_col = "shipped_date"
+    version_key = ("order_id", "product_id", "country_id", "shipped_date")
     clocks = ("order_details_update_date", "order_update_date")
 
     def rows(self, orders: DataFrame, order_details: DataFrame, customers: DataFrame) -> DataFrame:
@@ -57,11 +57,15 @@ class FactSales(IncrementalModel):
                 .select("order_id", "country_id", "product_id", "shipped_date", "unit_price", "quantity",
                         "discount", "order_details_update_date", "order_update_date"))
 
-    def aggregate(self, rows: DataFrame, per_key: bool = False) -> DataFrame:
+    def measures(self) -> dict[str, Column]:
+        return {"q": F.col("quantity"), "d": F.col("discount"), "a": F.col("quantity") * F.col("unit_price")}
+
+    def delivery_clock(self) -> Column:
+        return strict_greatest(*self.clocks)
+
+    def rollup(self, latest: DataFrame, per_key: bool = False) -> DataFrame:
         # newest version per order LINE (order, product, country, ship month),
         # each clock at its own maximum; then country x product x month
-        latest = newest_version_sums(rows, ["order_id", "product_id", "country_id", "shipped_date"], self.clocks, {
-            "q": F.col("quantity"), "d": F.col("discount"), "a": F.col("quantity") * F.col("unit_price")})
         if per_key:
             group = list(self.keys)
             clocks = [F.max(c).alias(c) for c in self.clocks]
@@ -85,7 +89,7 @@ class FactSales(IncrementalModel):
         mark = high_water_mark(target, strict_greatest(
             F.col("order_details_update_date").cast("timestamp_ntz"),
             F.col("order_update_date").cast("timestamp_ntz")))
-        return above_mark(rows, strict_greatest("order_details_update_date", "order_update_date"), mark)
+        return above_mark(rows, self.delivery_clock(), mark)
 
 
 # ============================================================ forecast
@@ -101,6 +105,8 @@ class FactForecast(IncrementalModel):
     keys = ("product_id", "country_id", "forecast_date", "forecast_snapshot")
     update_cols = ("forecast_update_date", *FORECAST_QTY, *FORECAST_AMT, "unit_price", "update_ts", "updated_by")
     partition_col = "forecast_snapshot"
+    version_key = keys
+    clocks = ("update_date",)
 
     def rows(self, forecast_details: DataFrame) -> DataFrame:
         """Forecast lines with both dates floored to the month up front.
@@ -115,10 +121,15 @@ class FactForecast(IncrementalModel):
             month_floor("forecast_snapshot").alias("forecast_snapshot"),
             *FORECAST_QTY, "unit_price")
 
-    def aggregate(self, rows: DataFrame, per_key: bool = False) -> DataFrame:
+    def measures(self) -> dict[str, Column]:
+        return _measures(FORECAST_QTY)
+
+    def delivery_clock(self) -> Column:
+        return F.col("update_date")
+
+    def rollup(self, latest: DataFrame, per_key: bool = False) -> DataFrame:
         # the version key is the table's key: one row a key is left
-        g = newest_version_sums(rows, self.keys, ["update_date"], _measures(FORECAST_QTY)).withColumnRenamed(
-            "update_date", "forecast_update_date")
+        g = latest.withColumnRenamed("update_date", "forecast_update_date")
         return g.select(
             "product_id", "country_id", "forecast_date", "forecast_snapshot", "forecast_update_date",
             *[as_double(f"q{i}").alias(c) for i, c in enumerate(FORECAST_QTY)],
@@ -140,6 +151,8 @@ class FactPos(IncrementalModel):
     keys = ("product_id", "country_id", "transaction_date")
     update_cols = (*POS_QTY, *POS_AMT, "unit_price", "pos_update_date", "update_ts", "updated_by")
     partition_col = "transaction_date"
+    version_key = keys  # by day here, by month in the table
+    clocks = ("update_date",)
 
     def rows(self, pos: DataFrame) -> DataFrame:
         return pos.select(
@@ -153,9 +166,14 @@ class FactPos(IncrementalModel):
         return {"product_id": F.col("product_id"), "country_id": F.col("country_id"),
                 "transaction_date": month_floor("transaction_date")}
 
-    def aggregate(self, rows: DataFrame, per_key: bool = False) -> DataFrame:
+    def measures(self) -> dict[str, Column]:
+        return _measures(POS_QTY)
+
+    def delivery_clock(self) -> Column:
+        return F.col("update_date")
+
+    def rollup(self, latest: DataFrame, per_key: bool = False) -> DataFrame:
         # newest version per product, country and DAY, then months
-        latest = newest_version_sums(rows, ["product_id", "country_id", "transaction_date"], ["update_date"], _measures(POS_QTY))
         g = (latest.groupBy("product_id", "country_id", month_floor("transaction_date").alias("transaction_date"))
              .agg(F.max("update_date").alias("pos_update_date"),
                   *[F.sum(c).alias(c) for c in _measures(POS_QTY)]))
@@ -181,6 +199,8 @@ class FactWholesale(IncrementalModel):
     keys = ("product_id", "country_id", "transaction_date")
     update_cols = (*WH_QTY, *WH_AMT, "unit_price", "whrs_update_date", "update_ts", "updated_by")
     partition_col = "transaction_date"
+    version_key = keys  # by day here, by month in the table
+    clocks = ("whrs_update_date",)
 
     def rows(self, inventory: DataFrame, customers: DataFrame) -> DataFrame:
         """Wholesaler lines with the wholesaler's country (inner join)."""
@@ -198,10 +218,15 @@ class FactWholesale(IncrementalModel):
         return {"product_id": F.col("product_id"), "country_id": F.col("country_id"),
                 "transaction_date": month_floor("transaction_date")}
 
-    def aggregate(self, rows: DataFrame, per_key: bool = False) -> DataFrame:
+    def measures(self) -> dict[str, Column]:
+        return _measures(WH_QTY)
+
+    def delivery_clock(self) -> Column:
+        return F.col("whrs_update_date")
+
+    def rollup(self, latest: DataFrame, per_key: bool = False) -> DataFrame:
         # newest version per product, country and DAY: the wholesaler is not in
         # the key, so only those delivered last for that day count
-        latest = newest_version_sums(rows, ["product_id", "country_id", "transaction_date"], ["whrs_update_date"], _measures(WH_QTY))
         month = month_floor("transaction_date").alias("transaction_date")
         sums = [F.sum(c).alias(c) for c in _measures(WH_QTY)]
         if per_key:

@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from stockbook.functions.audit import RunInfo, with_audit
 from stockbook.operators.incremental import merge_upsert, replace_keys
+from stockbook.operators.versions import merge_version_states, newest_of_state, newest_version_sums, version_state
 
 MODES = ("delta", "recompute")
 
@@ -36,20 +37,30 @@ class IncrementalModel:
     keys: Sequence[str] = ()
     update_cols: Sequence[str] = ()
     partition_col: str | None = None
+    version_key: Sequence[str] = ()   # rows of one key replace each other ...
+    clocks: Sequence[str] = ()        # ... by these clocks
 
     # --- to implement -------------------------------------------------
     def rows(self, *inputs: DataFrame) -> DataFrame:
         """Prepared source rows (casts, joins)."""
         raise NotImplementedError
 
-    def aggregate(self, rows: DataFrame, per_key: bool = False) -> DataFrame:
-        """The table (without audit) from prepared rows.
+    def measures(self) -> dict[str, Column]:
+        """What is summed over the rows of a newest version."""
+        raise NotImplementedError
+
+    def rollup(self, latest: DataFrame, per_key: bool = False) -> DataFrame:
+        """The table (without audit) from the sums of the newest versions.
 
         ``per_key=True`` reduces to exactly one row per merge key, for models
         whose natural grain is finer than the key.
         """
         raise NotImplementedError
 
+    def delivery_clock(self) -> Column:
+        """The clock over prepared rows that tells a new row from one loaded before."""
+        raise NotImplementedError
+
     def changed(self, rows: DataFrame, target: DataFrame) -> DataFrame:
         """Rows above the target's high-water mark."""
         raise NotImplementedError
@@ -59,6 +70,21 @@ class IncrementalModel:
         return {k: F.col(k) for k in self.keys}
 
     # --- provided -----------------------------------------------------
+    def aggregate(self, rows: DataFrame, per_key: bool = False) -> DataFrame:
+        """The table (without audit) from prepared rows."""
+        return self.rollup(newest_version_sums(rows, self.version_key, self.clocks, self.measures()), per_key)
+
+    def state(self, rows: DataFrame) -> DataFrame:
+        """The rows' state (``operators.versions.version_state``); ``sources.version_state`` keeps it."""
+        return version_state(rows, self.version_key, self.clocks, self.measures(), self.delivery_clock())
+
+    def merge_states(self, states: DataFrame) -> DataFrame:
+        return merge_version_states(states, self.version_key, self.clocks, list(self.measures()))
+
+    def table_of_state(self, state: DataFrame) -> DataFrame:
+        """``aggregate`` of the rows behind ``state`` (one row a version key)."""
+        return self.rollup(newest_of_state(state, self.version_key, self.clocks, list(self.measures())))
+
     def full(self, *inputs: DataFrame, run: RunInfo = RunInfo()) -> DataFrame:
         return with_audit(self.aggregate(self.rows(*inputs)), run, first_load=True)
 

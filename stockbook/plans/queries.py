@@ -4,12 +4,13 @@ Every query shapes the driver tables into bronze (``sources.driver_tables``)
 and runs library code on all of it. Incremental queries build the target
 from the rows before each table's cut, materialize it (as a stored table
 would be), and then load everything into it.
-Audit timestamps are dropped from the outputs (they carry the run time);
-the audit users are pinned so outputs repeat.
+Audit timestamps are dropped from the outputs (they carry the run time) but
+for ``audit_stamps``, which pins them; the audit users are pinned so outputs repeat.
 """
 
 from __future__ import annotations
 
+import datetime as _dt
 import uuid
 from collections.abc import Callable, Sequence
 
@@ -30,6 +31,8 @@ from stockbook.session import ensure_checkpoint_dir
 from stockbook.sources.bronze import Bronze
 from stockbook.sources.driver_tables import before_cut, bronze_from_driver
 from stockbook.sources.keyed_tables import keyed_frame
+from stockbook.sources.tables import load_table
+from stockbook.sources.version_state import load_with_state
 
 RUN = RunInfo(user="stockbook")
 _HIDDEN = ("update_ts", "insert_ts")
@@ -136,6 +139,20 @@ def _fact_incremental(name: str, mode: str) -> Callable[[SparkSession, str], Dat
     return run
 
 
+def _fact_state(name: str) -> Callable[[SparkSession, str], DataFrame]:
+    """The fact after a first load before the cut and one run over everything, both by its kept state."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        b = _bronze(spark, sf_dir)
+        customers = _customers(b)
+        model = _MODELS[name]
+        root = f"{ensure_checkpoint_dir(spark)}/state-{uuid.uuid4().hex}"
+        for bronze in (before_cut(b), b):
+            inputs = _fact_inputs(name, bronze, customers)
+            load_with_state(spark, model, *inputs, path=f"{root}/table", state=f"{root}/state", run=RUN)
+        return _visible(load_table(spark, f"{root}/table", like=model.full(*inputs, run=RUN)))
+    return run
+
+
 def _silver(b: Bronze, store_forecast: bool = False) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """The four facts. The book reads the forecast twice, its newest snapshot and its
     rows; stored first, as on a lake, the fact is computed once."""
@@ -189,6 +206,24 @@ def merge_upsert_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _visible(merged)
 
 
+FIRST_RUN, SECOND_RUN = (RunInfo(ts=_dt.datetime(2001, m, 1, 2, 3, 4), user=u) for m, u in ((1, "first"), (2, "second")))
+
+
+def audit_stamps_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The four audit columns after two runs with pinned times: rows loaded, updated and inserted.
+
+    Customers before the cut are loaded by the first run; the second merges
+    those delivered from April 2000 on.
+    """
+    b = _bronze(spark, sf_dir)
+    target = dims.dim_customers(before_cut(b).customers, b.countries, FIRST_RUN)
+    rows = dims.customer_rows(b.customers, b.countries).filter(
+        F.col("customer_update_date") >= F.lit("2000-04-01").cast("timestamp_ntz"))
+    merged = merge_upsert(target, with_audit(rows, SECOND_RUN, first_load=False), dims.CUSTOMER_KEYS, dims.CUSTOMER_UPDATE_COLS)
+    return merged.select("customer_id", *[F.col(c).cast("timestamp_ntz").alias(c) for c in ("update_ts", "insert_ts")],
+                         "updated_by", "inserted_by")
+
+
 def high_water_mark_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines above the mark of the sales target built before the cut."""
     b = _bronze(spark, sf_dir)
@@ -308,6 +343,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         q[f"fact_{name}_full"] = _fact_full(name)
         q[f"fact_{name}_delta"] = _fact_incremental(name, "delta")
         q[f"fact_{name}_recompute"] = _fact_incremental(name, "recompute")
+        q[f"fact_{name}_state"] = _fact_state(name)
     q.update({
         "gold_products": gold_products,
         "gold_regions": gold_regions,
@@ -315,6 +351,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "planning_aligned_union": planning_aligned_union,
         "planning_book": planning_book,
         "merge_upsert": merge_upsert_query,
+        "audit_stamps": audit_stamps_query,
         "high_water_mark": high_water_mark_query,
         "weighted_price": weighted_price_query,
         "weighted_price_fine": weighted_price_fine_query,

@@ -38,10 +38,16 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     except AnalysisException as e:
         if e.getCondition() == "PATH_NOT_FOUND":
             return False
-        raise
+        if not _is_empty_write(spark, path, e):
+            raise
     return True
 
 
+def _is_empty_write(spark: SparkSession, path: str, e: AnalysisException) -> bool:
+    """Whether a finished write of no rows by partition left nothing but its marker."""
+    return e.getCondition() == "UNABLE_TO_INFER_SCHEMA" and _has(spark, _fs(spark, path), f"{path.rstrip('/')}/_SUCCESS")
+
+
 _NEW, _OLD = ".rebuild", ".replaced"
 
 
@@ -113,8 +119,13 @@ def as_view(df: DataFrame, name: str) -> DataFrame:
 
 
 def load_table(spark: SparkSession, path: str, like: DataFrame | None = None) -> DataFrame:
-    """Read a stored table; ``like`` restores the column order and types."""
-    df = spark.read.parquet(path)
+    """Read a stored table; ``like`` restores the column order and types (and reads a table without rows)."""
+    try:
+        df = spark.read.parquet(path)
+    except AnalysisException as e:
+        if like is None or not _is_empty_write(spark, path, e):
+            raise
+        return spark.createDataFrame([], like.schema)
     if like is not None:
         df = df.select(*[F.col(f.name).cast(f.dataType.simpleString()).alias(f.name) for f in like.schema.fields])
     return df
