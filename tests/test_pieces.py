@@ -92,3 +92,40 @@ def test_the_mark_reads_one_column_of_a_stored_target(spark, name):
     assert "Scan ExistingRDD" not in plan
     scans = [x for x in plan.split("\n") if "FileScan" in x and "/table-" in x]
     assert any("update_date" in x and "amount" not in x for x in scans)
+
+
+@pytest.mark.parametrize("name", MODELS)
+def test_a_delivery_moves_state_and_table_once_and_is_not_checkpointed(spark, tmp_path, monkeypatch, name):
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    from stockbook.sources import version_state as vs
+    from stockbook.sources.driver_tables import before_cut
+    from stockbook.sources.tables import load_table
+
+    model, b = MODELS[name].in_pieces(5), bronze_from_driver(spark, SF_SMALL)
+    args = {"path": f"{tmp_path}/t", "state": f"{tmp_path}/s", "run": queries.RUN}
+    monkeypatch.setattr(DataFrame, "checkpoint", lambda *a, **k: pytest.fail("checkpointed"))
+    plans, real = [], vs.replace_partitions
+    monkeypatch.setattr(vs, "replace_partitions", lambda staged, *a: (plans.append(_plan(staged)), real(staged, *a)))
+    for x in (before_cut(b), b):
+        inputs = queries._fact_inputs(name, x, queries._customers(x))
+        vs.load_with_state(spark, model, *inputs, **args)
+    full = MODELS[name].full(*inputs, run=queries.RUN)
+    assert _rows(load_table(spark, f"{tmp_path}/t", like=full)) == _rows(full)
+    assert "Join" not in plans[0]
+    assert plans[0].count("Exchange") == (3 if model.by_day else 2)      # days are rolled up to months after the merge
+
+
+def test_null_keys_of_a_delivery_meet_in_pieces(spark, tmp_path):
+    from stockbook.sources import version_state as vs
+    from stockbook.sources.tables import load_table
+
+    rows = FACT_FORECAST.rows(bronze_from_driver(spark, SF_SMALL).forecast_details)
+    k = F.col("product_id")
+    rows = rows.withColumn("product_id", F.when(k % 3 > 0, k % 3)).localCheckpoint()
+    cut = F.col("update_date") < F.lit("2000-06-05").cast("timestamp_ntz")
+    model, args = FACT_FORECAST.in_pieces(3), {"path": f"{tmp_path}/t", "state": f"{tmp_path}/s", "run": queries.RUN}
+    for n, part in enumerate([rows.filter(cut), rows.filter(~cut & (k.isNull() | (F.col("country_id") % 2 == 0)))]):
+        vs.apply_delivery(spark, model, part, number=n, **args)
+    full = FACT_FORECAST.full(rows.filter(cut | k.isNull() | (F.col("country_id") % 2 == 0)), run=queries.RUN)
+    assert _rows(load_table(spark, f"{tmp_path}/t", like=full)) == _rows(full)
