@@ -20,11 +20,12 @@ agree; other columns are not looked at.
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
+from itertools import pairwise, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,6 +36,8 @@ MARK = "▁"
 LONGEST = 64
 #: Scales probabilities by this much a character, so that most words stay near 1.
 LIFT = 100.0
+#: (language, word) rows that a training task segments at once: by length they fill numpy's loops.
+GATHER = 1 << 17
 #: Decimal places that forward sums may fall by before they are rescaled; a double has some 300.
 PLACES = 100
 
@@ -48,6 +51,32 @@ def raw_words(text: str | None) -> list[str]:
     return WORD.findall((text or "").lower())
 
 
+#: Latin-1 bytes, lower-cased; a blank for those that are no part of a run.
+_LATIN = bytes(ord(c) if WORD.fullmatch(c) else 32 for c in (chr(b).lower() for b in range(256)))
+
+
+def _blanked(text: str | None) -> bytes:
+    """The runs of ``raw_words`` with blanks between them, as UTF-8; texts within Latin-1 need no search."""
+    if text is None or text.isascii():
+        return (text or "").encode().translate(_LATIN)
+    try:
+        return text.encode("latin-1").translate(_LATIN).decode("latin-1").encode()
+    except UnicodeEncodeError:
+        return " ".join(raw_words(text)).encode()
+
+
+def _strings(column: pa.Array | pa.ChunkedArray) -> list[str]:
+    """``to_pylist`` of strings, several times as fast."""
+    return column.to_numpy(zero_copy_only=False).tolist()
+
+
+def runs(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
+    """Where each text's runs begin and end, each run's place in the distinct runs, and these (``""`` may be one)."""
+    found = pc.ascii_split_whitespace(pa.array([_blanked(t.as_py()) for t in texts], pa.large_string()))
+    coded = found.values.dictionary_encode()
+    return found.offsets.to_numpy(), coded.indices.to_numpy().astype(np.int64), _strings(coded.dictionary)
+
+
 def stretches(word: str) -> list[str]:
     """What is scored of a run of word characters: none without a letter, else it with the mark, in stretches."""
     if not (word.isalpha() or any(map(str.isalpha, word))):
@@ -56,6 +85,17 @@ def stretches(word: str) -> list[str]:
     return [word] if len(word) <= LONGEST else [word[i:i + LONGEST] for i in range(0, len(word), LONGEST)]
 
 
+def cut(words: list[str]) -> tuple[list[str], np.ndarray]:
+    """The ``stretches`` of all ``words``, one word's after another's, and how many each has."""
+    flat, sizes = [MARK + w for w in words], np.ones(len(words), np.int64)
+    odd = [k for k, w in enumerate(words) if len(w) >= LONGEST or not w.isalpha()]
+    if odd:
+        parts = [stretches(words[k]) for k in odd]
+        sizes[odd] = list(map(len, parts))
+        flat = [x for k, last, p in zip(odd, [-1, *odd], parts, strict=False) for x in (*flat[last + 1:k], *p)] + flat[odd[-1] + 1:]
+    return flat, sizes
+
+
 def _codes(words: list[str]) -> np.ndarray:
     """(words, length) code points of words of one length."""
     return np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(len(words), -1).astype(np.uint64)
@@ -71,8 +111,9 @@ class Pieces:
     """The vocabulary's pieces by hash of each of their prefixes; id 0 is the unknown character.
 
     ``nodes`` are the prefixes' hashes, ``piece`` the id of the piece a prefix
-    is (-1: none). A prefix is found by one of two tables of slots: the second
-    holds those whose slot in the first is taken.
+    is (-1: none), ``inner`` whether a longer one goes on from it. A prefix is
+    found by one of two tables of slots: the second holds those whose slot in
+    the first is taken.
     """
 
     SLOTS = 20
@@ -95,6 +136,8 @@ class Pieces:
         self.size, self.longest = len(names) + 1, max(map(len, names), default=1)
         self.nodes = np.concatenate([np.zeros(1, np.uint64), hashes])  # node 0: no prefix
         self.piece = np.array([-1] + [number.get(p, -1) for p in prefixes], np.int64)
+        inner = {p[:-1] for p in prefixes}
+        self.inner = np.array([False] + [p in inner for p in prefixes])
         self.first, left = self._table(np.arange(1, len(self.nodes)), 0)
         self.second, rest = self._table(left, self.SLOTS)
         self.rest = rest[np.argsort(self.nodes[rest])]  # in neither table; looked up by search
@@ -127,19 +170,21 @@ class Pieces:
         """(i, j, rows, piece ids) for each stretch [i, j) that is a piece of some of the words, by i."""
         out = []
         n = codes.shape[1]
+        column = np.ascontiguousarray(codes.T)
+        every, none = np.arange(len(codes)), np.zeros(len(codes), np.uint64)
         for i in range(n):
-            rows, h = np.arange(len(codes)), np.zeros(len(codes), np.uint64)
+            rows, h = every, none
             for j in range(i + 1, min(n, i + self.longest) + 1):
-                h = _grow(h, codes[rows, j - 1])
+                h = _grow(h, column[j - 1] if rows is every else column[j - 1].take(rows))
                 node = self.find(h)
-                got = self.piece[node]
+                got = self.piece.take(node)
                 if j == i + 1:
                     out.append((i, j, rows, np.maximum(got, 0)))
                 else:
                     some = got > 0
                     if some.any():
                         out.append((i, j, rows[some], got[some]))
-                alive = node > 0
+                alive = self.inner.take(node)
                 if not alive.all():
                     rows, h = rows[alive], h[alive]
                     if not len(rows):
@@ -148,12 +193,12 @@ class Pieces:
 
 
 def _by_length(words: list[str]) -> Iterator[tuple[int, list[int]]]:
-    by: dict[int, list[int]] = {}
-    for k, w in enumerate(words):
-        by.setdefault(len(w), []).append(k)
-    for n, at in by.items():
-        for lo in range(0, len(at), 8192):
-            yield n, at[lo:lo + 8192]
+    sizes = np.fromiter(map(len, words), np.int64, len(words))
+    order = np.argsort(sizes, kind="stable")
+    edges = np.flatnonzero(np.diff(sizes[order], prepend=-1, append=-1))
+    for a, b in pairwise(edges.tolist()):
+        for lo in range(a, b, 8192):
+            yield int(sizes[order[a]]), order[lo:min(b, lo + 8192)].tolist()
 
 
 def _span(probs: np.ndarray) -> int:
@@ -174,7 +219,8 @@ def _forward(n: int, steps: list, probs: np.ndarray, rows: int) -> tuple[list[np
             for k in range(i, far + 1):
                 alpha[k] /= norms[i]
         far = max(far, j)
-        p = probs[ids] * LIFT ** (j - i)
+        p = probs.take(ids, axis=0)
+        p *= LIFT ** (j - i)
         used.append(p)
         if len(r) == rows:
             alpha[j] += alpha[i] * p
@@ -194,23 +240,64 @@ def log_likelihoods(words: list[str], pieces: Pieces, probs: np.ndarray) -> np.n
     return out
 
 
-def expected_counts(words: list[str], counts: np.ndarray, pieces: Pieces, probs: np.ndarray) -> np.ndarray:
-    """Expected uses of each piece over all segmentations of ``words`` (one language)."""
-    total = np.zeros(pieces.size)
+def run_likelihoods(words: list[str], pieces: Pieces, probs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(words, languages): log likelihoods, summed over a run's stretches; and whether it has a letter."""
+    flat, sizes = cut(words)
+    if len(flat) == len(words) and sizes.all():
+        return log_likelihoods(flat, pieces, probs), sizes > 0
+    row: dict[str, int] = {}  # stretches of long runs may repeat
+    at = np.array([row.setdefault(x, len(row)) for x in flat], np.int64)
+    ll = log_likelihoods(list(row), pieces, probs)[at]
+    out, some = np.zeros((len(words), probs.shape[1])), sizes > 0
+    if len(flat):
+        out[some] = np.add.reduceat(ll, (np.cumsum(sizes) - sizes)[some], axis=0)
+    return out, some
+
+
+def expected_counts(words: list[str], counts: np.ndarray, pieces: Pieces, probs: np.ndarray, lang: np.ndarray | None = None) -> np.ndarray:
+    """Expected uses of each piece over all segmentations of ``words``: of one language, or each of its own column of ``probs``."""
+    width = probs.shape[1]
+    total = np.zeros(pieces.size * width)
+    cells = probs.reshape(-1, 1)
     for n, at in _by_length(words):
         steps = pieces.steps(_codes([words[k] for k in at]))
-        alpha, used, norms = _forward(n, steps, probs, len(at))
+        if lang is not None:
+            own = lang[at]
+            steps = [(i, j, r, ids * width + own[r]) for i, j, r, ids in steps]
+        alpha, used, norms = _forward(n, steps, cells, len(at))
         for place, c in norms.items():  # steps across a rescaled place lead from the old scale to the new
             for k, (i, j, r, _) in enumerate(steps):
                 if i < place <= j:
                     used[k] = used[k] / c[r]
         beta = [np.zeros((len(at), 1)) for _ in range(n)] + [np.ones((len(at), 1))]
         for (i, j, r, _), p in zip(reversed(steps), reversed(used), strict=True):
-            beta[i][r] += p * beta[j][r]
+            if len(r) == len(at):
+                beta[i] += p * beta[j]
+            else:
+                beta[i][r] += p * beta[j][r]
         scale = counts[at][:, None] / alpha[n]
-        for (i, j, r, ids), p in zip(steps, used, strict=True):
-            total += np.bincount(ids, weights=(alpha[i][r] * p * beta[j][r] * scale[r])[:, 0], minlength=pieces.size)
-    return total
+        weights = [(alpha[i][r] * p * beta[j][r] * scale[r])[:, 0] for (i, j, r, _), p in zip(steps, used, strict=True)]
+        total += np.bincount(np.concatenate([ids for *_, ids in steps]), weights=np.concatenate(weights), minlength=len(total))
+    return total if lang is None else total.reshape(-1, width)
+
+
+def gathered(batches: Iterator[pa.RecordBatch], rows: int = GATHER) -> Iterator[tuple[list[str], list[str], np.ndarray]]:
+    """Languages, words and counts of at least ``rows`` rows at a time (the last: of the rest)."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.num_rows
+        if size >= rows:
+            yield _columns(held)
+            held, size = [], 0
+    if size:
+        yield _columns(held)
+
+
+def _columns(held: list[pa.RecordBatch]) -> tuple[list[str], list[str], np.ndarray]:
+    t = pa.Table.from_batches(held)
+    return _strings(t.column(0)), _strings(t.column(1)), t.column(2).to_numpy()
 
 
 class LanguageModel:
@@ -224,16 +311,18 @@ def train(docs: DataFrame, path: str | None = None, rounds: int = 2, smooth: flo
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            raw: dict[str, Counter] = {}
-            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                raw.setdefault(lang, Counter()).update(raw_words(text.as_py()))
-            got: Counter = Counter()
-            for lang, counted in raw.items():
-                for w, n in counted.items():
-                    for x in stretches(w):
-                        got[lang, x] += n
-            yield pa.RecordBatch.from_pydict({"lang": [k[0] for k in got], "word": [k[1] for k in got], "n": list(got.values())},
-                                             schema=pa.schema([("lang", pa.string()), ("word", pa.string()), ("n", pa.int64())]))
+            ends, at, words = runs(batch.column(1))
+            lang = batch.column(0).cast(pa.string()).dictionary_encode()
+            width = max(1, len(words))
+            keys, n = np.unique(np.repeat(lang.indices.to_numpy().astype(np.int64), np.diff(ends)) * width + at, return_counts=True)
+            flat, sizes = cut(words)
+            own = keys % width
+            times = sizes[own]  # a run's stretches follow each other
+            part = np.repeat((np.cumsum(sizes) - sizes)[own] - (np.cumsum(times) - times), times) + np.arange(times.sum())
+            yield pa.RecordBatch.from_arrays(
+                [lang.dictionary.take(pa.array(np.repeat(keys // width, times))),
+                 pa.array(flat, pa.string()).take(pa.array(part)), pa.array(np.repeat(n, times))],
+                schema=pa.schema([("lang", pa.string()), ("word", pa.string()), ("n", pa.int64())]))
 
     known = small_batches(docs).filter(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "text")
     counts = stored(known.mapInArrow(count, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n")))
@@ -246,13 +335,8 @@ def train(docs: DataFrame, path: str | None = None, rounds: int = 2, smooth: flo
 
         def expect(batches: Iterator[pa.RecordBatch], model=model) -> Iterator[pa.RecordBatch]:
             total = np.zeros((pieces.size, len(place)))
-            for batch in batches:
-                lang = np.array([place[x] for x in batch.column(0).to_pylist()], np.int64)
-                words = batch.column(1).to_pylist()
-                n = batch.column(2).to_numpy().astype(float)
-                for k in np.unique(lang):
-                    own = np.flatnonzero(lang == k)
-                    total[:, k] += expected_counts([words[i] for i in own], n[own], pieces, model[:, [k]])
+            for lang, words, n in gathered(batches):
+                total += expected_counts(words, n.astype(float), pieces, model, np.array([place[x] for x in lang], np.int64))
             p, k = np.nonzero(total)
             yield pa.RecordBatch.from_pydict({"p": p.astype(np.int64), "k": k.astype(np.int64), "n": total[p, k]})
 
@@ -277,25 +361,21 @@ def predict(docs: DataFrame, model: LanguageModel) -> DataFrame:
         for whole in batches:
             for lo in range(0, whole.num_rows, 2048):
                 batch = whole.slice(lo, 2048)
-                rows = [raw_words(t.as_py()) for t in batch.column(1)]
+                ends, at, words = runs(batch.column(1))
                 if len(index) > 400_000:  # the cache is bounded; what it held is computed anew
                     index, known = {}, known[:1]
-                new = list(set().union(*rows).difference(index)) if langs else []
-                if new:
-                    parts = [stretches(w) for w in new]
-                    flat = list(dict.fromkeys(x for p in parts for x in p))
-                    ll = dict(zip(flat, log_likelihoods(flat, pieces, probs), strict=True))
-                    at = len(known)
-                    more = []
-                    for w, p in zip(new, parts, strict=True):
-                        index[w] = at + len(more) if p else 0
-                        if p:
-                            more.append(ll[p[0]] if len(p) == 1 else np.sum([ll[x] for x in p], axis=0))
-                    if more:
-                        known = np.vstack([known, more])
+                places = np.fromiter(map(index.get, words, repeat(-1 if langs else 0)), np.int64, len(words))
+                miss = np.flatnonzero(places < 0)
+                if len(miss):
+                    new = [words[k] for k in miss.tolist()]
+                    more, lettered = run_likelihoods(new, pieces, probs)
+                    places[miss] = np.where(lettered, np.arange(len(known), len(known) + len(new)), 0)
+                    index.update(zip(new, places[miss].tolist(), strict=True))
+                    known = np.vstack([known, more])
+                places = places[at]
                 pred, score, scored = [], [], []
-                for r in rows:
-                    at = np.fromiter(map(index.__getitem__, r), np.int64, len(r)) if langs else np.zeros(0, np.int64)
+                for first, end in pairwise(ends.tolist()):
+                    at = places[first:end]
                     scored.append(int(np.count_nonzero(at)))
                     if not scored[-1]:
                         pred.append("und")

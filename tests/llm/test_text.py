@@ -265,3 +265,46 @@ def test_long_foreign_word_keeps_a_score(spark):
     rare = language_id.LanguageModel(model.langs, model.pieces, probs, model.prior)
     got = language_id.predict(docs_of(spark, [(1, "le chien et le chat sont ici " + "中" * 63)]), rare).collect()
     assert got[0].lang_pred == "fr" and 0 <= got[0].score <= 1
+
+
+def test_runs_of_a_batch_are_those_of_each_text():
+    """Latin-1 texts are split without the pattern: the same runs for every character, alone and among others."""
+    import pyarrow as pa
+
+    odd = ["İstanbul ΑΣ. ǅ ﬁ x²³ ¹² ½ a1b2_c", "l’été “œuvre”", None, "", " \x85a\x1cb\xa0c\x00d", "中文 日本\u3000語 ٣٤ ÿŸ ß ẞ", "NAÏVE naïve 12"]
+    odd += [f"{chr(c)}a{chr(c)} B{chr(c)}" for c in range(0x250)] + [" ".join(map(chr, range(lo, lo + 128))) for lo in range(0, 0x3000, 128)]
+    for texts in (odd, [None], []):
+        ends, at, words = language_id.runs(pa.array(texts, pa.string()))
+        assert len(set(words)) == len(words)
+        got = [[words[k] for k in at[a:b] if words[k]] for a, b in zip(ends, ends[1:], strict=False)]
+        assert got == [language_id.raw_words(t) for t in texts]
+    words = ["", "le", "²³", "x" * 63, "x" * 64, "x" * 200, "a²", "²" * 70, "chat"]
+    flat, sizes = language_id.cut(words)
+    assert flat == [x for w in words for x in language_id.stretches(w)]
+    assert sizes.tolist() == [len(language_id.stretches(w)) for w in words]
+    assert [f.tolist() if isinstance(f, np.ndarray) else f for f in language_id.cut([])] == [[], []]
+
+
+def test_training_segments_languages_and_small_batches_together(monkeypatch):
+    """One walk over the pieces for each length of word, however the rows are dealt to batches and languages; same counts."""
+    import pyarrow as pa
+
+    pieces = language_id.Pieces(language_id.vocabulary_path())
+    rng = np.random.default_rng(2)
+    probs = rng.random((pieces.size, 3)) * 1e-3
+    words = ["▁chat", "▁chien", "▁the", "▁" + "ω中" * 31, "▁internationalisation"]
+    rows = [(int(k), w, int(rng.integers(1, 9))) for w in words * 8 for k in rng.integers(0, 3, 5)]
+    batches = [pa.RecordBatch.from_pydict({"lang": [str(k) for k, _, _ in rows[lo:lo + 7]], "word": [w for _, w, _ in rows[lo:lo + 7]],
+                                           "n": [n for *_, n in rows[lo:lo + 7]]}) for lo in range(0, len(rows), 7)]
+    assert [len(w) for _, w, _ in language_id.gathered(iter(batches), 50)] == [56, 56, 56, 32]
+    (lang, got, n), = language_id.gathered(iter(batches))
+    assert [(int(k), w, c) for k, w, c in zip(lang, got, n.tolist(), strict=True)] == rows
+    alone = np.zeros((pieces.size, 3))
+    for k, w, c in rows:
+        alone[:, k] += language_id.expected_counts([w], np.array([float(c)]), pieces, probs[:, [k]])
+    walks = []
+    steps = language_id.Pieces.steps
+    monkeypatch.setattr(language_id.Pieces, "steps", lambda self, codes: walks.append(codes.shape[1]) or steps(self, codes))
+    whole = language_id.expected_counts(got, n.astype(float), pieces, probs, np.array([int(k) for k in lang]))
+    assert sorted(walks) == sorted({len(w) for w in words})
+    assert np.allclose(whole, alone, rtol=1e-9, atol=1e-12)
