@@ -129,3 +129,34 @@ def test_null_keys_of_a_delivery_meet_in_pieces(spark, tmp_path):
         vs.apply_delivery(spark, model, part, number=n, **args)
     full = FACT_FORECAST.full(rows.filter(cut | k.isNull() | (F.col("country_id") % 2 == 0)), run=queries.RUN)
     assert _rows(load_table(spark, f"{tmp_path}/t", like=full)) == _rows(full)
+
+
+def _shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+
+
+def test_a_stored_table_leaves_no_shuffle_files(spark):
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, held = _shuffle_files(spark), spark.conf.get(setting)
+    rows = spark.range(1000).select((F.col("id") % 7).alias("k"), F.col("id").alias("v"))
+    queries._stored_table(rows.repartition(5, "k"))
+    queries._stored_by_key(rows, ["k"])
+    assert _shuffle_files(spark) <= before and spark.conf.get(setting) == held
+
+
+def test_lines_of_the_forecast_move_to_one_join_before_their_copies_are_made(spark):
+    plan = _plan(bronze_from_driver(spark, SF_SMALL).forecast_details)
+    assert plan.count("Generate") == 2 and plan.rindex("Generate") < plan.index("Join")
+
+
+@pytest.mark.parametrize("name", ["planning_book", "planning_aligned_union"])
+def test_facts_in_pieces_are_stored_one_by_one_and_read_where_they_lie(spark, small_pieces, name):
+    before = _shuffle_files(spark)
+    df = queries.registry()[name](spark, SF_SMALL)
+    assert _shuffle_files(spark) <= before
+    plan = _plan(df)
+    assert "/lineitem.parquet" not in plan and "Exchange hashpartitioning" not in plan
+    got = _rows(df)
+    driver_tables.SPREAD_FROM = 1 << 30
+    assert got == _rows(queries.registry()[name](spark, SF_SMALL))
