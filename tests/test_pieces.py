@@ -150,6 +150,29 @@ def test_lines_of_the_forecast_move_to_one_join_before_their_copies_are_made(spa
     assert plan.count("Generate") == 2 and plan.rindex("Generate") < plan.index("Join")
 
 
+def _odd(spark, name):
+    """Prepared rows with NULL keys, NULL clocks and copies; the cut between two deliveries."""
+    model = MODELS[name]
+    rows, clock = model.rows(*_inputs(spark, name)), model.clocks[0]
+    k = F.col("product_id")
+    odd = rows.withColumn("product_id", F.when(k % 3 > 0, k % 40)).withColumn("country_id", F.when(F.col("country_id") % 4 > 0, F.col("country_id")))
+    odd = odd.withColumn(clock, F.when(F.rand(5) < 0.9, F.col(clock)))
+    cut = "2000-06-05" if name == "forecast" else "1998-01-01"
+    return odd.unionByName(odd.filter(F.rand(3) < 0.2)).localCheckpoint(), F.col(clock) < F.lit(cut).cast("timestamp_ntz")
+
+
+@pytest.mark.parametrize("name", ["forecast", "pos", "wholesale"])
+def test_recompute_in_pieces_moves_rows_once_and_the_target_not_at_all(spark, monkeypatch, name):
+    rows, cut = _odd(spark, name)
+    model = MODELS[name].in_pieces(5)
+    monkeypatch.setattr(type(model), "rows", lambda self, df: df)
+    target = queries._stored_in_pieces(model, model.full(rows.filter(cut), run=queries.RUN))
+    got = model.incremental(rows, target=target, run=queries.RUN, mode="recompute")
+    above = _plan(got).split("REPARTITION_BY_NUM")[0]
+    assert "Join" not in above and above.count("Exchange hashpartitioning") == 1
+    assert _rows(got) == _rows(MODELS[name].incremental(rows, target=target, run=queries.RUN, mode="recompute"))
+
+
 @pytest.mark.parametrize("name", ["planning_book", "planning_aligned_union"])
 def test_facts_in_pieces_are_stored_one_by_one_and_read_where_they_lie(spark, small_pieces, name):
     before = _shuffle_files(spark)
