@@ -173,6 +173,15 @@ def test_recompute_in_pieces_moves_rows_once_and_the_target_not_at_all(spark, mo
     assert _rows(got) == _rows(MODELS[name].incremental(rows, target=target, run=queries.RUN, mode="recompute"))
 
 
+def test_a_forecast_delta_in_pieces_moves_its_rows_once(spark, small_pieces):
+    got = queries.registry()["fact_forecast_delta"](spark, SF_SMALL)
+    above = _plan(got).split("REPARTITION_BY_NUM")[0]
+    assert "Bucketed: true" in above and above.count("Exchange") == 1
+    rows = _rows(got)
+    driver_tables.SPREAD_FROM = 1 << 30
+    assert rows == _rows(queries.registry()["fact_forecast_delta"](spark, SF_SMALL))
+
+
 @pytest.mark.parametrize("name", ["planning_book", "planning_aligned_union"])
 def test_facts_in_pieces_are_stored_one_by_one_and_read_where_they_lie(spark, small_pieces, name):
     before = _shuffle_files(spark)
