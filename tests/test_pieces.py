@@ -192,3 +192,29 @@ def test_facts_in_pieces_are_stored_one_by_one_and_read_where_they_lie(spark, sm
     got = _rows(df)
     driver_tables.SPREAD_FROM = 1 << 30
     assert got == _rows(queries.registry()[name](spark, SF_SMALL))
+
+
+def test_months_new_to_the_state_are_not_merged(spark, tmp_path, monkeypatch):
+    from stockbook.sources import version_state as vs
+    from stockbook.sources.driver_tables import before_cut
+    from stockbook.sources.tables import load_table
+
+    b, met, files = bronze_from_driver(spark, SF_SMALL), [], _shuffle_files(spark)
+    args = {"path": f"{tmp_path}/t", "state": f"{tmp_path}/s", "run": queries.RUN}
+    real = vs.affected_table
+    monkeypatch.setattr(vs, "affected_table", lambda m, s, delta, months: (met.append((months, delta)), real(m, s, delta, months))[1])
+    model = FACT_FORECAST.in_pieces(5)
+    assert vs.load_with_state(spark, model, before_cut(b).forecast_details, **args) == "full"
+    assert vs.load_with_state(spark, model, b.forecast_details, **args) == "partitions"
+    (months, delta), = met                       # June was stored, July is the delivery's alone
+    assert [str(m) for m in months] == ["2000-06-01"] and delta.filter("forecast_snapshot <> DATE'2000-06-01'").isEmpty()
+    full = FACT_FORECAST.full(b.forecast_details, run=queries.RUN)
+    assert _rows(load_table(spark, f"{tmp_path}/t", like=full)) == _rows(full)
+    met.clear()
+    late = FACT_FORECAST.rows(b.forecast_details).filter("product_id % 5 = 0").withColumn("forecast_snapshot", F.lit(None).cast("date"))
+    vs.apply_delivery(spark, model, late, number=9, **args)      # a NULL month, new as a whole
+    both = FACT_FORECAST.rows(b.forecast_details).unionByName(late)
+    assert met == [] and _rows(load_table(spark, f"{tmp_path}/t", like=full)) == _rows(FACT_FORECAST.in_pieces(None).table_of_state(
+        FACT_FORECAST.state(both)).withColumns({"updated_by": F.lit("stockbook"), "inserted_by": F.lit("stockbook")}))
+    vs.apply_delivery(spark, model, late.withColumn("quantity", F.lit(1.0)), number=10, **args)
+    assert [m for m, _ in met] == [[None]]                       # and met once it is stored
